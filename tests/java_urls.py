@@ -42,6 +42,11 @@ MORE = [
     "mailto: ://", "mailto:a@b://c", "http://a.com/x?y@z:9", "http://..a", "http://a...", "http://...",
     "http://a.com:80\u00a0/", "http://\u3000a/", "http://a.com\\x/y", "http://a.com/12\n34.apk",
     "http://a.com/1😀2.apk", "http://a.com/一龿.apk", "http://a.com/𠀀9.zip", "a:b@c:80/x", "1.2.3.4",
+    "http://b:0002147483647/", "http://b:2147483639/x", "http://b:1999999999", "http://b:9999999999",
+    "http://b:-2", "http://b:-01", "http://b:-10", "http://b:+", "http://b:+-1", "http://. ", "http://. /x",
+    "http://.:80/", "http://..:/", "ftp://./x", "jar:http://./x!/y", "jar:http://a:80!/b", "jar:http://a:80!/b!/c",
+    "jar:http://a:8x!/b", "jar:url: http://a/x!/b", "jar: url:http://a/x !/b", "jar:mailto:!/://", "jar:mailto:a!/://",
+    "jar:http://u@v@x/!/y", "jar:http://[::1]!/y", "http://[::1%25 a]/", "http://[::1%a:b]:1/",
     "ftp://a\tb.com/x", "http://a\tb@c.com/x", "https://[::1%a\nb]/x", "ftp://[::1%a\nb]/x", "file://a\x7f/",
 ]
 

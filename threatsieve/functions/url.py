@@ -1,8 +1,10 @@
 """URL parsing and lexical features as native column expressions.
 
 The accepted syntax is that of ``java.net.URL``, not of ``parse_url`` (which follows
-``java.net.URI`` and rejects underscores and blanks). Every part is one flat pattern over the
-URL, so a filter on ``valid`` can be pushed below the projections without growing.
+``java.net.URI`` and rejects underscores and blanks). Whether a URL is accepted is a single
+pattern over it, so a filter on it can be pushed below the projections without growing.
+
+Nested ``jar:`` URLs (a jar inside a jar) and ports in non-ASCII digits count as malformed here.
 """
 
 from __future__ import annotations
@@ -20,14 +22,17 @@ LEXICAL_FEATURES = (
 )
 
 _TRIMMED = "".join(chr(c) for c in range(0x21))
-
-# Possessive quantifiers keep the user-info choice final, as the parser's own left-to-right scan is.
-_START = r"^(?i:url:)?"
-_HIERARCHICAL = r"(?i:https?|ftp|file):"
-_AUTHORITY = _START + _HIERARCHICAL + r"//(?!//)(?:[^/?#@]*+@)?+"
-_END = r"(?=[/?#]|\z)"
-_CONTROL = r"[\x00-\x1f\x7f]"
-_PORT_TAIL = rf"(?::(?:[+-]?[0-9]+)?)?{_END}"
+_BLANKS = r"[\x00-\x20]*+"
+_SCHEMED = r"(?i:https?|ftp|file):"
+_JAR = r"(?i:jar:)"
+
+# The patterns use possessive quantifiers: the parser scans from left to right and never goes
+# back, and a possessive class neither backtracks nor recurses on long texts.
+_USER = r"(?:[^/?#@]*+@)?+"
+_AUTHORITY = rf"^(?i:url:)?{_SCHEMED}//(?!//){_USER}"
+_SCHEME = r"^(?i:url:)?([A-Za-z][A-Za-z0-9+.\-]*+):"
+_HOST = _AUTHORITY + r"(\[[^\]/?#@]*+\]|[^\[:/?#@][^:/?#@]*+)(?=[:/?#]|\z)"
+_PORT = _AUTHORITY + r"(?:\[[^\]/?#@]*+\]|(?!\[)[^:/?#@]*+):([^/?#@]++)(?=[/?#]|\z)"
 
 _HEX = r"0*[0-9A-Fa-f]{1,4}"
 _OCTET = r"0*(?:25[0-5]|2[0-4]\d|1?\d?\d)"
@@ -38,24 +43,57 @@ _IPV6 = (
     rf"|(?:{_HEX}:){{6}}{_QUAD}"
     rf"|(?!(?::*[0-9A-Fa-f]+){{8}})(?:{_HEX}(?::{_HEX})*+)?::(?:{_HEX}(?::{_HEX})*+)?(?=[%\]])"
     rf"|(?!(?::*[0-9A-Fa-f]+:+){{6}})(?:{_HEX}(?::{_HEX})*+)?::(?:{_HEX}:)*+{_QUAD}"
-    r")(?:%[^\]]+)?"
+    r")"
 )
 
-_SCHEME = _START + r"([A-Za-z][A-Za-z0-9+.\-]*):"
-_HOST = _AUTHORITY + r"(\[[^\]/?#@]*+\]|[^\[:/?#@][^:/?#@]*+)(?=[:/?#]|\z)"
-_PORT = _AUTHORITY + rf"(?:\[[^\]/?#@]*+\]|(?!\[)[^:/?#@]*+):([^/?#@]+){_END}"
-_PARSES = (
-    _START
-    + r"(?:"
-    + _HIERARCHICAL + r"(?:(?!//)|////)"
-    + r"|" + _HIERARCHICAL + r"//(?!//)[^/?#@]*+@[^/?#@]*+@"
-    + r"|(?i:https?|file)://(?!//)(?:[^/?#@]*+@)?+"
-    + rf"(?:\[(?![^\]]*{_CONTROL}){_IPV6}\]|(?!\[)(?:(?!{_CONTROL})[^:/?#@])*+){_PORT_TAIL}"
-    + rf"|(?i:ftp)://(?!//)(?:[^/?#@]*+@)?+(?:\[{_IPV6}\]|(?!\[)[^:/?#@]*+){_PORT_TAIL}"
-    + r"|(?i:mailto):[^#]*?[^\s#]"
-    + r")"
-)
-_JAR_INNER = r"^(?i:jar:)([^#]*)!/"
+
+# Whether a dotted quad is found somewhere needs no more than one digit on either side of the two
+# full middle numbers, and no groups; the same for the length of all number matches.
+_MIDDLE = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+_HAS_QUAD = rf"\d\.{_MIDDLE}\.{_MIDDLE}\.\d"
+_NUMBERS = "-?[0-9]+.[0-9]+|-?[0-9]+"
+
+
+def _digits_up_to(bound: int) -> str:
+    """Pattern of the whole numbers from 0 to ``bound``, leading zeros allowed."""
+    text = str(bound)
+    longest = [
+        f"{text[:i]}[0-{int(d) - 1}]\\d{{{len(text) - i - 1}}}"
+        for i, d in enumerate(text)
+        if d != "0"
+    ]
+    return f"0*(?:\\d{{1,{len(text) - 1}}}|{'|'.join(longest)}|{text})(?!\\d)"
+
+
+def _accepted(end: str, rest: str, usable_host: bool) -> str:
+    """Pattern of an accepted URL text whose authority stops at ``end``, followed by ``rest``.
+
+    ``usable_host`` also turns away hosts made of dots only, which have no label to look at.
+    """
+    port = rf"(?::(?:\+?{_digits_up_to(2**31 - 1)}|-0*[01])?+)?+{end}"
+    dots = rf"(?!\.++(?::|{end}))" if usable_host else ""
+    printable, any_char = r"[^:/?#@\x00-\x1f\x7f]*+", r"[^:/?#@]*+"
+    printable_zone, any_zone = r"(?:%[^\]/?#@\x00-\x1f\x7f]++)?", r"(?:%[^\]/?#@]++)?"
+    return (
+        rf"(?:{_SCHEMED}(?:(?!//)|////|//[^/?#@]*+@[^/?#@]*+@)"
+        rf"|(?i:https?|file)://(?!//){_USER}{dots}"
+        rf"(?:\[{_IPV6}{printable_zone}\]|(?!\[){printable}){port}"
+        rf"|(?i:ftp)://(?!//){_USER}{dots}(?:\[{_IPV6}{any_zone}\]|(?!\[){any_char}){port}"
+        rf"|(?i:mailto):[^#]*?[^\s#]{rest})"
+    )
+
+
+def _pattern(usable_host: bool) -> str:
+    at_text_end = rf"(?=[/?#]|{_BLANKS}\z)"
+    at_bang = rf"(?=[/?]|{_BLANKS}!/(?![^#]*!/))"
+    return (
+        rf"^(?:{_BLANKS}(?i:url:)?{_accepted(at_text_end, '', usable_host)}"
+        rf"|{_JAR}(?=[^#]*!/){_BLANKS}(?i:url:)?{_accepted(at_bang, '(?=[^#]*!/)', False)})"
+    )
+
+
+_PARSES = _pattern(usable_host=False)
+_VALID = _pattern(usable_host=True)
 
 
 def with_default_scheme(raw: Column) -> Column:
@@ -77,29 +115,30 @@ def ends_with_any(text: Column, suffixes: Sequence[str]) -> Column:
     return found
 
 
+def parses(url: Column) -> Column:
+    """Whether the URL has an accepted syntax."""
+    return url.rlike(_PARSES)
+
+
 def url_parts(df: DataFrame, column: str) -> DataFrame:
-    """Append ``scheme``, ``host``, ``port_number`` (-1 = none given) and ``parses``."""
+    """Append ``parses``, ``scheme``, ``host`` and ``port_number`` (-1 = none given).
+
+    The parts mean something only where ``parses`` holds.
+    """
     spec = F.col(column)
     is_jar = F.lower(F.substring(spec, 1, 4)) == "jar:"
-    inner = F.when(is_jar, F.regexp_extract(spec, _JAR_INNER, 1)).otherwise(spec)
-    df = df.select("*", is_jar.alias("_jar"), F.btrim(inner, F.lit(_TRIMMED)).alias("_spec"))
-    port_text = F.regexp_extract("_spec", _PORT, 1)
-    number = F.when(port_text == "", F.lit(-1)).otherwise(port_text.try_cast("int"))
+    df = df.select("*", is_jar.alias("_jar"), F.btrim(spec, F.lit(_TRIMMED)).alias("_spec"))
+    jar, spec = F.col("_jar"), F.col("_spec")
+    df = df.select("*", F.regexp_extract(spec, _PORT, 1).alias("_port"))
+    port = F.when(jar | (F.col("_port") == ""), F.lit(-1)).otherwise(F.col("_port").try_cast("int"))
     df = df.select(
         "*",
-        F.when(F.col("_jar"), F.lit("jar"))
-        .otherwise(F.lower(F.regexp_extract("_spec", _SCHEME, 1)))
-        .alias("scheme"),
-        F.when(F.col("_jar"), F.lit("")).otherwise(F.regexp_extract("_spec", _HOST, 1)).alias("host"),
-        F.when(F.col("_jar"), F.lit(-1)).otherwise(number).alias("port_number"),
-        (F.col("_spec").rlike(_PARSES) & F.coalesce(number >= -1, F.lit(False))).alias("parses"),
+        parses(F.col(column)).alias("parses"),
+        F.lower(F.regexp_extract(spec, _SCHEME, 1)).alias("scheme"),
+        F.when(jar, F.lit("")).otherwise(F.regexp_extract(spec, _HOST, 1)).alias("host"),
+        port.alias("port_number"),
     )
-    return df.drop("_jar", "_spec")
-
-
-def host_is_usable(host: Column) -> Column:
-    """False for a host made of dots only, which has no label to look at."""
-    return (host == "") | (F.rtrim(host, F.lit(".")) != "")
+    return df.drop("_jar", "_spec", "_port")
 
 
 def lexical_columns(
@@ -114,7 +153,7 @@ def lexical_columns(
         *kept,
         "full_url",
         "port_number",
-        (F.col("parses") & host_is_usable(host)).alias("valid"),
+        url.rlike(_VALID).alias("valid"),
         F.rtrim(host, F.lit(".")).alias("_labels"),
         F.substring_index(F.rtrim(url, F.lit("/")), "/", -1).alias("_file"),
     )
@@ -130,7 +169,7 @@ def lexical_columns(
         F.when(F.col("port_number") == -1, F.lit(80)).otherwise(F.col("port_number")).alias("port"),
         (F.char_length(labels) - F.char_length(F.replace(labels, F.lit("."))) + 1)
         .alias("domainNameLevels"),
-        url.rlike(C.IPV4_PATTERN).alias("isIP"),
+        url.rlike(_HAS_QUAD).alias("isIP"),
         utf16_length(url).alias("urllen"),
         term_count.alias("longTermCount"),
         F.substring_index(labels, ".", -1)
@@ -139,7 +178,7 @@ def lexical_columns(
         ends_with_any(url, C.SENSITIVE_SUFFIXES).alias("is_Prefix_sensitive"),
         file.rlike(C.CHINESE_PATTERN).alias("ishaschn"),
         utf16_length(file).alias("execfile_len"),
-        (utf16_length(file) - utf16_length(F.regexp_replace(file, C.NUMBER_PATTERN, "")))
+        (utf16_length(file) - utf16_length(F.regexp_replace(file, _NUMBERS, "")))
         .alias("Numricinlength"),
     )
 
