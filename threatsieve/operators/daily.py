@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from threatsieve.functions.stamps import DAY, stamp
+
 STAGES = ("input_count", "suffix_count", "gbdt_count", "bayes_count", "output_count")
 
 
@@ -17,7 +19,7 @@ def verdict_stats(verdicts: DataFrame) -> DataFrame:
     """
     gbdt = F.col("kept") & (F.col("gbdt_pred") == 0)
     bayes = F.col("kept") & (F.col("bayes_pred") == 0)
-    per_url = verdicts.groupBy(F.to_date("ts").alias("day"), "batch", "gbdt_url").agg(
+    per_url = verdicts.groupBy(stamp(F.col("ts"), DAY).alias("day"), "batch", "gbdt_url").agg(
         F.count("*").alias("input_count"),
         F.count_if("kept").alias("suffix_count"),
         F.count_if(gbdt).alias("gbdt_count"),

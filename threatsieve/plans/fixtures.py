@@ -7,6 +7,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from threatsieve.sources.lines import spread
+
 URL_INDEX = 2
 REPORT_LIMIT = 1000
 # Up to this many ids and URLs are broadcast (well below 100 MB); more are joined by shuffling.
@@ -16,7 +18,7 @@ REPORT_TIME = datetime(2024, 2, 1, 6, 30, 0)
 
 def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One URL hit per event; eight kinds of URL, one of them a heavy duplicate."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = spread(spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts"))
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     page_count = pages.count()
     keyed = events.select("event_id", "ts", (F.col("event_id") % page_count).alias("page_id"))
@@ -69,7 +71,7 @@ def verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stand-in model outputs; the hour plays the micro-batch."""
     return hits(spark, sf_dir).selectExpr(
         "ts",
-        "CAST(date_trunc('hour', ts) AS TIMESTAMP_NTZ) AS batch",
+        "date_format(ts, 'yyyyMMddHH') AS batch",
         "url AS bayes_url",
         "CASE WHEN instr(url, '://') > 0 THEN url ELSE concat('http://', url) END AS gbdt_url",
         "CASE WHEN event_id % 3 <> 0 AND event_id % 8 <> 6 THEN 0 ELSE 1 END AS gbdt_pred",

@@ -15,7 +15,7 @@ def _ends_with(column: str, suffixes) -> str:
 
 
 HITS = """
-hits AS (
+hits AS MATERIALIZED (
   SELECT e.event_id, e.ts, CASE e.event_id % 8
     WHEN 0 THEN regexp_replace(p.url,'[?#].*$','') || '/app_' || CAST(e.event_id AS VARCHAR) || '.apk'
     WHEN 1 THEN regexp_replace(regexp_replace(p.url,'[?#].*$',''),'^https?://','') || '/setup-1.2.3.4.exe'
@@ -49,7 +49,7 @@ labelled AS (
 
 VERDICTS = """
 verdicts AS (
-  SELECT ts, date_trunc('hour', ts) AS batch,
+  SELECT ts, strftime(ts, '%Y%m%d%H') AS batch,
     CASE WHEN url LIKE '%://%' THEN url ELSE 'http://' || url END AS gbdt_url, url AS bayes_url,
     CASE WHEN event_id % 3 <> 0 AND event_id % 8 <> 6 THEN 0 ELSE 1 END AS gbdt_pred,
     CASE WHEN event_id % 4 <> 1 OR event_id % 5 = 0 THEN 0 ELSE 1 END AS bayes_pred,
@@ -59,7 +59,7 @@ verdicts AS (
 
 FUSED = """
 fused AS (
-  SELECT g.batch, g.gbdt_url AS url, CAST(0.58 AS DECIMAL(2,2)) AS "prob_GBDT",
+  SELECT g.batch, g.gbdt_url AS url, CAST(0.58 AS DOUBLE) AS "prob_GBDT",
     b.bayes_prob AS "prob_Bayes"
   FROM verdicts g JOIN verdicts b ON g.batch = b.batch AND g.gbdt_url = b.bayes_url
   WHERE g.gbdt_pred = 0 AND b.bayes_pred = 0
@@ -210,8 +210,9 @@ WHERE split_part(value, '|', {fx.URL_INDEX + 1}) <> ''""",
 WHERE coalesce(string_split(value, '|')[{fx.URL_INDEX + 1}], '') = ''""",
         "suffix_filter": _with(HITS) + f"SELECT event_id, url FROM hits WHERE {DOWNLOAD}",
         "url_parts": _with(*lexical_hits)
-        + """SELECT event_id, url, parses, CASE WHEN parses THEN scheme END AS scheme,
-  CASE WHEN parses THEN host END AS host, CASE WHEN parses THEN port_number END AS port_number
+        + """SELECT event_id, url, parses, CASE WHEN parses THEN scheme ELSE '' END AS scheme,
+  CASE WHEN parses THEN host ELSE '' END AS host,
+  CASE WHEN parses THEN port_number ELSE -1 END AS port_number
 FROM parts""",
         "lexical_features": _with(*lexical_hits, _lexical("event_id"))
         + f"SELECT event_id, {_LEXICAL_COLUMNS} FROM lexical",
@@ -226,7 +227,7 @@ FROM sc WHERE s0 >= s1""",
         "fusion_join": _with(HITS, VERDICTS, FUSED)
         + 'SELECT batch, url, "prob_GBDT", "prob_Bayes", copies FROM counted',
         "fusion_normalized": _with(HITS, VERDICTS)
-        + """SELECT g.batch, g.gbdt_url AS url, CAST(0.58 AS DECIMAL(2,2)) AS "prob_GBDT",
+        + """SELECT g.batch, g.gbdt_url AS url, CAST(0.58 AS DOUBLE) AS "prob_GBDT",
   max(b.bayes_prob) AS "prob_Bayes"
 FROM (SELECT DISTINCT batch, gbdt_url FROM verdicts WHERE gbdt_pred = 0) g
 JOIN (SELECT batch, gbdt_url, bayes_prob FROM verdicts WHERE bayes_pred = 0) b
@@ -253,12 +254,12 @@ FROM hits""",
         "daily_stats": _with(HITS, VERDICTS)
         + f""", kept AS (SELECT *, {kept} AS kept FROM verdicts),
 fused AS (
-  SELECT CAST(g.batch AS DATE) AS day, count(*) AS output_count
+  SELECT substr(g.batch, 1, 8) AS day, count(*) AS output_count
   FROM kept g JOIN kept b ON g.batch = b.batch AND g.gbdt_url = b.bayes_url
   WHERE g.kept AND b.kept AND g.gbdt_pred = 0 AND b.bayes_pred = 0 GROUP BY ALL
 ),
 stages AS (
-  SELECT CAST(ts AS DATE) AS day, count(*) AS input_count, count(*) FILTER (kept) AS suffix_count,
+  SELECT strftime(ts, '%Y%m%d') AS day, count(*) AS input_count, count(*) FILTER (kept) AS suffix_count,
     count(*) FILTER (kept AND gbdt_pred = 0) AS gbdt_count,
     count(*) FILTER (kept AND bayes_pred = 0) AS bayes_count
   FROM kept GROUP BY ALL

@@ -46,7 +46,8 @@ def suffix_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fx.hits(spark, sf_dir).select("event_id", with_default_scheme(F.col("url")).alias("url"))
     found = url_parts(rows, "url")
-    shown = [F.when(F.col("parses"), F.col(c)).alias(c) for c in ("scheme", "host", "port_number")]
+    empty = {"scheme": F.lit(""), "host": F.lit(""), "port_number": F.lit(-1)}
+    shown = [F.when(F.col("parses"), F.col(c)).otherwise(e).alias(c) for c, e in empty.items()]
     return found.select("event_id", "url", "parses", *shown)
 
 
@@ -81,7 +82,8 @@ def bayes_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gbdt_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scoring.gbdt_verdicts(_downloads(spark, sf_dir), models_for(spark, sf_dir).gbdt)
+    rows = scoring.gbdt_verdicts(_downloads(spark, sf_dir), models_for(spark, sf_dir).gbdt)
+    return rows.withColumn("prob_GBDT", F.col("prob_GBDT").cast("double"))
 
 
 def score_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,15 +101,17 @@ def _verdict_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 
 
 def fusion_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fusion.fusion_join(*_verdict_sides(spark, sf_dir), within=["batch"])
+    fused = fusion.fusion_join(*_verdict_sides(spark, sf_dir), within=["batch"])
+    return fused.withColumn("prob_GBDT", F.col("prob_GBDT").cast("double"))
 
 
 def fusion_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fusion.fusion_normalized(*_verdict_sides(spark, sf_dir), within=["batch"])
+    fused = fusion.fusion_normalized(*_verdict_sides(spark, sf_dir), within=["batch"])
+    return fused.withColumn("prob_GBDT", F.col("prob_GBDT").cast("double"))
 
 
 def verdict_line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return verdict_lines(fusion_join(spark, sf_dir))
+    return verdict_lines(fusion.fusion_join(*_verdict_sides(spark, sf_dir), within=["batch"]))
 
 
 def dedup_urls(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,6 +14,16 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.option("recursiveFileLookup", True).text(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Redistribute a scan that has fewer splits than the session has task slots.
+
+    That is the case for few small files and for compressed text, which cannot be split. A scan
+    with enough splits is left alone.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= slots else df.repartition(slots)
+
+
 def stream_lines(
     spark: SparkSession, path: str, max_files: int | None = None
 ) -> DataFrame:
