@@ -17,20 +17,22 @@ def weigh(df: DataFrame, *columns: str) -> DataFrame:
     return df.groupBy(*columns).agg(F.count("*").alias(COPIES))
 
 
-def unweigh(df: DataFrame, block: int = 1000) -> DataFrame:
+def unweigh(df: DataFrame) -> DataFrame:
     """Every row as often as ``copies`` says, without that column.
 
-    The repetition goes in two steps with a redistribution in between: no task has to write out
-    all copies of one row, and no array grows beyond ``copies / block`` entries.
+    A row is first cut into about sqrt(copies) blocks of as many copies; these are redistributed
+    before they are written out, so that no task repeats one row alone.
     """
     rest = [c for c in df.columns if c != COPIES]
-    blocks = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col(COPIES) - 1) / block))
-    size = F.least(F.lit(block).cast("bigint"), F.col(COPIES) - F.col("_block") * block)
+    slots = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    copies, side, block = F.col(COPIES), F.col("_side"), F.col("_block")
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    blocks = df.where(copies > 0).withColumn("_side", F.ceil(F.sqrt(copies)).cast("bigint"))
+    blocks = blocks.withColumn("_block", F.explode(F.sequence(zero, F.floor((copies - 1) / side))))
+    size = F.least(side, copies - block * side)
     return (
-        df.where(F.col(COPIES) > 0)
-        .select(*rest, COPIES, F.explode(blocks).alias("_block"))
-        .select(*rest, size.alias("_size"))
-        .repartition()
-        .select(*rest, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_size"))).alias("_copy"))
+        blocks.select(*rest, size.alias("_size"))
+        .repartition(slots)
+        .select(*rest, F.explode(F.sequence(one, F.col("_size"))).alias("_copy"))
         .select(*rest)
     )
