@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threatsieve.functions import constants as C
@@ -26,17 +26,29 @@ def report_urls(lines: DataFrame, listed: DataFrame) -> DataFrame:
     return exclude_listed(package_suffix(first_field(lines)).distinct(), listed)
 
 
-def funnel_counts(lines: DataFrame, listed: DataFrame) -> DataFrame:
-    """One row of counts over the whole funnel, in one pass.
+def flagged_urls(lines: DataFrame, listed: DataFrame) -> DataFrame:
+    """Distinct URLs with their line count and whether they are listed: the whole funnel's input."""
+    return flag_listed(weigh(first_field(lines), "url"), listed)
+
+
+def _in_result() -> Column:
+    return ~F.col("listed") & is_package(F.col("url"))
+
+
+def result_urls(flagged: DataFrame) -> DataFrame:
+    """The URLs that ``report_urls`` gives, out of ``flagged_urls``."""
+    return flagged.where(_in_result()).select("url")
+
+
+def funnel_counts(flagged: DataFrame) -> DataFrame:
+    """One row of counts over the whole funnel, in one pass over ``flagged_urls``.
 
     ``filtered_count`` is what the lists *and* the package filter take away together.
     """
-    urls = flag_listed(weigh(first_field(lines), "url"), listed)
-    result = ~F.col("listed") & is_package(F.col("url"))
-    counts = urls.agg(
+    counts = flagged.agg(
         F.coalesce(F.sum(COPIES), F.lit(0)).alias("input_count"),
         F.count("*").alias("dedup_count"),
-        F.count_if(result).alias("result_count"),
+        F.count_if(_in_result()).alias("result_count"),
     )
     return counts.select(
         "input_count",

@@ -135,7 +135,8 @@ def package_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def funnel_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.funnel_counts(fx.result_lines(spark, sf_dir), _listed(spark, sf_dir))
+    flagged = report.flagged_urls(fx.result_lines(spark, sf_dir), _listed(spark, sf_dir))
+    return report.funnel_counts(flagged)
 
 
 def daily_stats(spark: SparkSession, sf_dir: str) -> DataFrame:

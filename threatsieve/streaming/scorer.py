@@ -172,3 +172,17 @@ def publish_options(servers: str, topic: str) -> dict[str, str]:
 def publish_lines(lines: DataFrame, options: dict[str, str]) -> None:
     """Send text lines to Kafka without keys; needs the Kafka connector on the class path."""
     lines.selectExpr("CAST(value AS STRING) AS value").write.format("kafka").options(**options).save()
+
+
+def replay_query(
+    lines: DataFrame, options: dict[str, str], checkpoint: str, seconds: int = 5
+) -> StreamingQuery:
+    """Send a stream of lines on to Kafka, paced by its source's files per batch."""
+    return (
+        lines.selectExpr("CAST(value AS STRING) AS value")
+        .writeStream.format("kafka")
+        .options(**options)
+        .option("checkpointLocation", checkpoint)
+        .trigger(processingTime=f"{seconds} seconds")
+        .start()
+    )
