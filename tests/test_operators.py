@@ -118,7 +118,7 @@ def test_fusion_counts_every_pair(spark):
 
 
 def test_fusion_is_inside_both_sides(spark, sf_dir):
-    verdicts = fx.verdicts(spark, sf_dir)
+    verdicts = fx.verdicts(fx.hits(spark, sf_dir))
     fused = QUERIES["fusion_join"](spark, sf_dir).select("batch", "url").distinct()
     for side, prediction in (("gbdt_url", "gbdt_pred"), ("bayes_url", "bayes_pred")):
         flagged = fusion.flagged(verdicts, prediction).select("batch", F.col(side).alias("url"))
@@ -154,19 +154,19 @@ def test_tree_scores_by_brute_force(spark, sf_dir):
 
 def test_models_learn_the_labels(spark, sf_dir):
     models = models_for(spark, sf_dir)
-    labelled = weigh(fx.labelled(spark, sf_dir), "url", "label")
+    labelled = weigh(fx.labelled(fx.hits(spark, sf_dir)), "url", "label")
     gbdt = models.gbdt.transform(lexical_features(labelled, keep=["label", "copies"]))
     hit, total = gbdt.selectExpr(
         "sum(IF(predictions = label, copies, 0))", "sum(copies)"
     ).first()
     assert hit / total > 0.9
-    again = training.fit_gbdt(fx.labelled(spark, sf_dir), rounds=3)
-    once = training.fit_gbdt(fx.labelled(spark, sf_dir), rounds=3)
+    again = training.fit_gbdt(fx.labelled(fx.hits(spark, sf_dir)), rounds=3)
+    once = training.fit_gbdt(fx.labelled(fx.hits(spark, sf_dir)), rounds=3)
     assert again.stages[-1].toDebugString.split("\n")[1:] == once.stages[-1].toDebugString.split("\n")[1:]
 
 
 def test_hashed_tokens_beyond_the_vocabulary(spark, sf_dir):
-    labelled = fx.labelled(spark, sf_dir)
+    labelled = fx.labelled(fx.hits(spark, sf_dir))
     exact = models_for(spark, sf_dir).bayes
     hashed = training.fit_bayes(labelled, max_vocabulary=64)
     assert type(exact.stages[1]).__name__ == "CountVectorizerModel"
@@ -179,7 +179,7 @@ def test_hashed_tokens_beyond_the_vocabulary(spark, sf_dir):
 
 def test_weighted_bayes_equals_rows(spark, sf_dir):
     """Fitting on counted rows gives the parameters of fitting on all rows."""
-    labelled = fx.labelled(spark, sf_dir).select("url", "label")
+    labelled = fx.labelled(fx.hits(spark, sf_dir)).select("url", "label")
     model = models_for(spark, sf_dir).bayes.stages[-1]
     words = training.token_training(labelled)
     priors = {r.label: r.n for r in words.groupBy("label").agg(F.count("*").alias("n")).collect()}
@@ -197,7 +197,7 @@ def test_no_python_and_no_cross_join(spark, sf_dir):
 
 def test_scoring_shuffles_once(spark, sf_dir):
     df = scoring.score_lines(
-        fx.hit_lines(spark, sf_dir), fx.URL_INDEX, models_for(spark, sf_dir)
+        fx.hit_lines(fx.hits(spark, sf_dir)), fx.URL_INDEX, models_for(spark, sf_dir)
     )
     assert plan(df).count("Exchange hashpartitioning") == 1
     assert "Join" not in plan(df).replace("BroadcastHashJoin", "", 1)

@@ -22,7 +22,7 @@ def models(spark, sf_dir):
 @pytest.fixture(scope="module")
 def source(spark, sf_dir, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("lines") / "in")
-    fx.hit_lines(spark, sf_dir).select("value").repartition(4).write.text(path)
+    fx.hit_lines(fx.hits(spark, sf_dir)).select("value").repartition(4).write.text(path)
     return path
 
 
@@ -115,7 +115,7 @@ def test_one_pass_fusion_equals_the_join(spark, models):
         "ahttp:/10.0.0.9/a.sisx", "10.0.0.1/r?u=http://10.0.0.2/a.sisx",
     ]
     rows = spark.createDataFrame([(u,) for u in urls], "url string")
-    one_pass = fusion.fuse_scored(scoring.score_both(fusion.meeting_counts(rows), models))
+    one_pass = fusion.fuse_scored(scoring.score_both(fusion.meeting_counts(rows).where("download"), models))
     weighted = weigh(rows, "url")
     joined = fusion.fusion_join(
         scoring.gbdt_verdicts(weighted, models.gbdt), scoring.bayes_verdicts(weighted, models.bayes)
@@ -153,7 +153,7 @@ def test_saved_models_score_the_same(spark, sf_dir, models, tmp_path):
     training.save_model(models.gbdt, str(tmp_path / "gbdt"))
     training.save_model(models.bayes, str(tmp_path / "bayes"))
     loaded = scoring.load_models(str(tmp_path / "gbdt"), str(tmp_path / "bayes"))
-    lines = fx.hit_lines(spark, sf_dir)
+    lines = fx.hit_lines(fx.hits(spark, sf_dir))
     first = sorted(map(tuple, scoring.score_lines(lines, fx.URL_INDEX, models).collect()))
     second = sorted(map(tuple, scoring.score_lines(lines, fx.URL_INDEX, loaded).collect()))
     assert first == second

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from threatsieve.functions import constants as C
 from threatsieve.functions.url import with_default_scheme
+from threatsieve.operators.filters import is_download
 from threatsieve.operators.weights import COPIES
 
 CLASS_SUSPICIOUS = 0
@@ -65,15 +66,22 @@ def fusion_normalized(gbdt: DataFrame, bayes: DataFrame, within: Sequence[str] =
     )
 
 
-def meeting_counts(df: DataFrame, column: str = "url") -> DataFrame:
-    """Distinct URLs with their default scheme, ready to be scored once each.
+def meeting_counts(df: DataFrame, *extra: Column, column: str = "url") -> DataFrame:
+    """Distinct downloadable URLs with their default scheme, ready to be scored once each.
 
     ``copies`` counts the rows of a URL (its tree-side rows) and ``own_copies`` those written
-    exactly so (its Bayes-side rows): all that the join of both sides needs.
+    exactly so (its Bayes-side rows): all that the join of both sides needs. All other rows are
+    counted in one row with a NULL URL and ``download`` false, which costs one row per task; a
+    filter before the shuffle would work out a computed URL once for every suffix instead.
+    ``extra`` are more aggregates per URL.
     """
     raw = F.col(column)
-    return df.groupBy(with_default_scheme(raw).alias("url")).agg(
-        F.count("*").alias(COPIES), F.count_if(F.contains(raw, F.lit("://"))).alias(OWN_COPIES)
+    kept = is_download(raw)
+    return df.groupBy(F.when(kept, with_default_scheme(raw)).alias("url")).agg(
+        F.count("*").alias(COPIES),
+        F.count_if(F.contains(raw, F.lit("://"))).alias(OWN_COPIES),
+        F.coalesce(F.bool_or(kept), F.lit(False)).alias("download"),
+        *extra,
     )
 
 

@@ -12,7 +12,7 @@ from threatsieve.functions.stamps import READABLE, province, run_time, stamp
 from threatsieve.functions.url import url_parts
 from threatsieve.operators.filters import is_package, package_suffix
 from threatsieve.operators.lists import exclude_listed, flag_listed
-from threatsieve.operators.weights import COPIES, weigh
+from threatsieve.operators.weights import COPIES, once_per_row, weigh
 from threatsieve.sources.lines import first_field
 
 
@@ -23,7 +23,8 @@ def dedup_urls(lines: DataFrame) -> DataFrame:
 
 def report_urls(lines: DataFrame, listed: DataFrame) -> DataFrame:
     """Distinct package URLs on no list. The cheap suffix test goes before both shuffles."""
-    return exclude_listed(package_suffix(first_field(lines)).distinct(), listed)
+    packages = weigh(package_suffix(first_field(lines)), "url")
+    return once_per_row(exclude_listed(packages, listed)).select("url")
 
 
 def flagged_urls(lines: DataFrame, listed: DataFrame) -> DataFrame:

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from threatsieve.functions.tokens import token_text, token_word
 from threatsieve.functions.url import LEXICAL_FEATURES, lexical_columns, lexical_features
-from threatsieve.operators.filters import download_suffix
 from threatsieve.operators.fusion import (
     CLASS_SUSPICIOUS,
     flagged,
@@ -20,8 +19,8 @@ from threatsieve.operators.fusion import (
     meeting_counts,
 )
 from threatsieve.operators.training import load_model
-from threatsieve.operators.weights import COPIES
-from threatsieve.sources.lines import extract_field
+from threatsieve.operators.weights import COPIES, once_per_row
+from threatsieve.sources.lines import field
 
 
 @dataclass(frozen=True)
@@ -43,7 +42,7 @@ def first_probability(vector: Column) -> Column:
 
 def gbdt_verdicts(urls: DataFrame, model: PipelineModel) -> DataFrame:
     """``url_GBDT, prob_GBDT, copies`` of the weighted URLs the tree model flags."""
-    rows = lexical_features(urls, keep=[COPIES])
+    rows = lexical_features(once_per_row(urls), keep=[COPIES])
     return flagged(model.transform(rows), "predictions").select(
         F.col("Url").alias("url_GBDT"), gbdt_probability().alias("prob_GBDT"), COPIES
     )
@@ -51,7 +50,7 @@ def gbdt_verdicts(urls: DataFrame, model: PipelineModel) -> DataFrame:
 
 def bayes_verdicts(urls: DataFrame, model: PipelineModel) -> DataFrame:
     """``url_Bayes, prob_Bayes, copies`` of the weighted URLs the naive Bayes model flags."""
-    rows = token_text(urls, keep=[COPIES])
+    rows = token_text(once_per_row(urls).where("url IS NOT NULL"), keep=[COPIES])
     return flagged(model.transform(rows), "predictions").select(
         F.col("Url").alias("url_Bayes"),
         first_probability(F.col("myProbability")).alias("prob_Bayes"),
@@ -65,7 +64,7 @@ def score_both(urls: DataFrame, models: Models) -> DataFrame:
     URLs that cannot be parsed get zero features so that the tree model can run; their tree flag is
     false whatever it says.
     """
-    rows = lexical_columns(urls)
+    rows = lexical_columns(once_per_row(urls).where("url IS NOT NULL"))
     filled = [
         F.when(F.col("valid"), F.col(f).cast("int")).otherwise(0).alias(f) for f in LEXICAL_FEATURES
     ]
@@ -84,5 +83,5 @@ def score_both(urls: DataFrame, models: Models) -> DataFrame:
 
 def score_lines(lines: DataFrame, index: int, models: Models, normalized: bool = False) -> DataFrame:
     """Log lines to fused verdicts in one batch."""
-    urls = meeting_counts(download_suffix(extract_field(lines, index)))
-    return fuse_scored(score_both(urls, models), normalized)
+    urls = meeting_counts(lines.select(field(F.col("value"), index).alias("url")))
+    return fuse_scored(score_both(urls.where("download"), models), normalized)

@@ -7,6 +7,10 @@ output columns (``predictions`` and, for naive Bayes, ``myProbability``).
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, NaiveBayes
 from pyspark.ml.feature import CountVectorizer, HashingTF, RegexTokenizer, VectorAssembler
@@ -15,7 +19,7 @@ from pyspark.sql import functions as F
 
 from threatsieve.functions.tokens import token_text
 from threatsieve.functions.url import LEXICAL_FEATURES, lexical_features
-from threatsieve.operators.weights import COPIES, weigh
+from threatsieve.operators.weights import COPIES, once_per_row, weigh
 
 MAX_VOCABULARY = 1 << 20
 
@@ -32,15 +36,26 @@ def token_training(labelled: DataFrame) -> DataFrame:
     return rows.select("Url", "Word", F.col("label").cast("int").alias("label"))
 
 
+@contextmanager
+def _kept(rows: DataFrame) -> Iterator[DataFrame]:
+    """Keep the training rows while a fit goes over them several times."""
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield rows
+    finally:
+        rows.unpersist()
+
+
 def fit_gbdt(labelled: DataFrame, rounds: int = 20, depth: int = 5, seed: int = 7) -> PipelineModel:
     """Boosted trees on the lexical features; equal rows are fitted as one weighted row."""
-    rows = lexical_features(weigh(labelled, "url", "label"), keep=["label", COPIES])
     assembler = VectorAssembler(inputCols=list(LEXICAL_FEATURES), outputCol="features")
     trees = GBTClassifier(
         featuresCol="features", labelCol="label", predictionCol="predictions",
         weightCol=COPIES, maxIter=rounds, maxDepth=depth, seed=seed,
     )
-    return Pipeline(stages=[assembler, trees]).fit(rows)
+    counted = once_per_row(weigh(labelled, "url", "label"))
+    with _kept(lexical_features(counted, keep=["label", COPIES])) as rows:
+        return Pipeline(stages=[assembler, trees]).fit(rows)
 
 
 def fit_bayes(labelled: DataFrame, max_vocabulary: int = MAX_VOCABULARY) -> PipelineModel:
@@ -49,21 +64,23 @@ def fit_bayes(labelled: DataFrame, max_vocabulary: int = MAX_VOCABULARY) -> Pipe
     The vocabulary passes through the driver, so its size is measured first. Beyond
     ``max_vocabulary`` tokens are hashed into that many places instead: all still count.
     """
-    rows = token_text(weigh(labelled, "url", "label"), keep=["label", COPIES])
     tokenizer = RegexTokenizer(
         inputCol="Word", outputCol="tokens", pattern="/+", gaps=True, toLowercase=False
     )
-    tokens = tokenizer.transform(rows.select("Word").distinct())
-    distinct = tokens.select(F.explode("tokens")).distinct().count()
-    if distinct <= max_vocabulary:
-        counts = CountVectorizer(inputCol="tokens", outputCol="counts", vocabSize=max(distinct, 1))
-    else:
-        counts = HashingTF(inputCol="tokens", outputCol="counts", numFeatures=max_vocabulary)
-    bayes = NaiveBayes(
-        featuresCol="counts", labelCol="label", predictionCol="predictions",
-        probabilityCol="myProbability", weightCol=COPIES, smoothing=1.0,
-    )
-    return Pipeline(stages=[tokenizer, counts, bayes]).fit(rows)
+    with _kept(token_text(weigh(labelled, "url", "label"), keep=["label", COPIES])) as rows:
+        tokens = tokenizer.transform(rows).select(F.explode("tokens").alias("token"))
+        distinct = tokens.distinct().count()
+        if distinct <= max_vocabulary:
+            counts = CountVectorizer(
+                inputCol="tokens", outputCol="counts", vocabSize=max(distinct, 1)
+            )
+        else:
+            counts = HashingTF(inputCol="tokens", outputCol="counts", numFeatures=max_vocabulary)
+        bayes = NaiveBayes(
+            featuresCol="counts", labelCol="label", predictionCol="predictions",
+            probabilityCol="myProbability", weightCol=COPIES, smoothing=1.0,
+        )
+        return Pipeline(stages=[tokenizer, counts, bayes]).fit(rows)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -6,7 +6,7 @@ shuffled. A URL that makes up a third of the input is one row per task by then.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 COPIES = "copies"
@@ -17,6 +17,27 @@ def weigh(df: DataFrame, *columns: str) -> DataFrame:
     return df.groupBy(*columns).agg(F.count("*").alias(COPIES))
 
 
+def weigh_where(df: DataFrame, condition: Column, column: str = "url") -> DataFrame:
+    """``weigh`` of the rows that meet a condition, which may mention a computed column often.
+
+    The condition is part of the counting, not a filter before it: pushed down, it would work out
+    the column anew at every mention. The other rows shrink to one per task before the shuffle.
+    """
+    counted = df.groupBy(F.when(condition, F.col(column)).alias(column)).agg(
+        F.count("*").alias(COPIES), F.bool_or(condition).alias("_met")
+    )
+    return counted.where("_met").drop("_met")
+
+
+def once_per_row(df: DataFrame, column: str = "url") -> DataFrame:
+    """Keep what is worked out from the column above the counting.
+
+    A filter on the column alone, say on a model's verdict, would be pushed below the aggregate and
+    run for every input row. Tied to ``copies`` it can only run on the counted rows.
+    """
+    return df.withColumn(column, F.when(F.col(COPIES) > 0, F.col(column)))
+
+
 def unweigh(df: DataFrame) -> DataFrame:
     """Every row as often as ``copies`` says, without that column.
 

@@ -38,38 +38,38 @@ def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.join(pages, "page_id").select("event_id", "ts", F.expr(url).alias("url"))
 
 
-def hit_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def hit_lines(hits: DataFrame) -> DataFrame:
     """Raw log lines with the URL at index 2; every 101st line is short."""
     number = F.col("event_id").cast("string")
     short = F.concat(number, F.lit("|LTE"))
     full = F.concat(number, F.lit("|LTE|"), F.col("url"), F.lit("|200"))
     value = F.when(F.col("event_id") % 101 == 0, short).otherwise(full)
-    return hits(spark, sf_dir).select("event_id", value.alias("value"))
+    return hits.select("event_id", value.alias("value"))
 
 
-def result_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def result_lines(hits: DataFrame) -> DataFrame:
     """Result lines as the scorer writes them, one per hit."""
-    return hits(spark, sf_dir).select(F.concat("url", F.lit("|0.58|0.9")).alias("value"))
+    return hits.select(F.concat("url", F.lit("|0.58|0.9")).alias("value"))
 
 
-def white(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hits(spark, sf_dir).where("event_id % 40 = 0").select("url").distinct()
+def white(hits: DataFrame) -> DataFrame:
+    return hits.where("event_id % 40 = 0").select("url").distinct()
 
 
-def black(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hits(spark, sf_dir).where("event_id % 36 = 4").select("url").distinct()
+def black(hits: DataFrame) -> DataFrame:
+    return hits.where("event_id % 36 = 4").select("url").distinct()
 
 
-def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+def labelled(hits: DataFrame) -> DataFrame:
     """Training rows, 0 = suspicious; 1 in 29 flipped as noise, no unparseable URLs."""
     label = F.expr("CASE WHEN (event_id % 8 IN (0,4,5)) <> (event_id % 29 = 0) THEN 0 ELSE 1 END")
-    rows = hits(spark, sf_dir).where("event_id % 8 <> 6")
+    rows = hits.where("event_id % 8 <> 6")
     return rows.select("event_id", "url", label.alias("label"))
 
 
-def verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def verdicts(hits: DataFrame) -> DataFrame:
     """Stand-in model outputs; the hour plays the micro-batch."""
-    return hits(spark, sf_dir).selectExpr(
+    return hits.selectExpr(
         "ts",
         "date_format(ts, 'yyyyMMddHH') AS batch",
         "url AS bayes_url",

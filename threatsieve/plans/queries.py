@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from threatsieve.functions.tokens import token_text
 from threatsieve.functions.url import lexical_features, url_parts, with_default_scheme
 from threatsieve.operators import daily, filters, fusion, lists, report, scoring, training
-from threatsieve.operators.weights import weigh
+from threatsieve.operators.weights import weigh_where
 from threatsieve.plans import fixtures as fx
 from threatsieve.sinks.text import verdict_lines
 from threatsieve.sources import lines as src
@@ -23,20 +23,24 @@ def models_for(spark: SparkSession, sf_dir: str) -> scoring.Models:
     """Both models fitted on the labelled rows, once per application and data set."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MODELS:
-        labelled = fx.labelled(spark, sf_dir)
+        labelled = fx.labelled(fx.hits(spark, sf_dir))
         _MODELS[key] = scoring.Models(
             training.fit_gbdt(labelled, rounds=GBDT_ROUNDS), training.fit_bayes(labelled)
         )
     return _MODELS[key]
 
 
+def hit_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.hit_lines(fx.hits(spark, sf_dir))
+
+
 def extract_field(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = src.extract_field(fx.hit_lines(spark, sf_dir), fx.URL_INDEX)
+    rows = src.extract_field(fx.hit_lines(fx.hits(spark, sf_dir)), fx.URL_INDEX)
     return rows.select("event_id", "url")
 
 
 def bad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return src.bad_records(fx.hit_lines(spark, sf_dir), fx.URL_INDEX)
+    return src.bad_records(fx.hit_lines(fx.hits(spark, sf_dir)), fx.URL_INDEX)
 
 
 def suffix_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +64,7 @@ def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _labelled_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = fx.labelled(spark, sf_dir).select("url", "label")
+    rows = fx.labelled(fx.hits(spark, sf_dir)).select("url", "label")
     return src.labelled_union(rows.where("label = 1"), rows.where("label = 0"))
 
 
@@ -72,27 +76,27 @@ def train_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training.token_training(_labelled_sets(spark, sf_dir))
 
 
-def _downloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return weigh(filters.download_suffix(fx.hits(spark, sf_dir)), "url")
+def _downloads(hits: DataFrame) -> DataFrame:
+    return weigh_where(hits, filters.is_download(F.col("url")))
 
 
 def bayes_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = scoring.bayes_verdicts(_downloads(spark, sf_dir), models_for(spark, sf_dir).bayes)
+    rows = scoring.bayes_verdicts(_downloads(fx.hits(spark, sf_dir)), models_for(spark, sf_dir).bayes)
     return rows.withColumn("prob_Bayes", F.round("prob_Bayes", 6))
 
 
 def gbdt_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = scoring.gbdt_verdicts(_downloads(spark, sf_dir), models_for(spark, sf_dir).gbdt)
+    rows = scoring.gbdt_verdicts(_downloads(fx.hits(spark, sf_dir)), models_for(spark, sf_dir).gbdt)
     return rows.withColumn("prob_GBDT", F.col("prob_GBDT").cast("double"))
 
 
 def score_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = fx.hit_lines(spark, sf_dir)
+    lines = fx.hit_lines(fx.hits(spark, sf_dir))
     return scoring.score_lines(lines, fx.URL_INDEX, models_for(spark, sf_dir))
 
 
 def _verdict_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    rows = fx.verdicts(spark, sf_dir)
+    rows = fx.verdicts(fx.hits(spark, sf_dir))
     gbdt = fusion.flagged(rows, "gbdt_pred").select("batch", F.col("gbdt_url").alias("url_GBDT"))
     bayes = fusion.flagged(rows, "bayes_pred").select(
         "batch", F.col("bayes_url").alias("url_Bayes"), F.col("bayes_prob").alias("prob_Bayes")
@@ -115,37 +119,44 @@ def verdict_line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedup_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.dedup_urls(fx.result_lines(spark, sf_dir))
+    return report.dedup_urls(fx.result_lines(fx.hits(spark, sf_dir)))
+
+
+def _listed(hits: DataFrame) -> DataFrame:
+    return lists.list_union(fx.white(hits), fx.black(hits))
 
 
-def _listed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lists.list_union(fx.white(spark, sf_dir), fx.black(spark, sf_dir))
+def list_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _listed(fx.hits(spark, sf_dir))
 
 
 def exclude_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lists.exclude_listed(dedup_urls(spark, sf_dir), _listed(spark, sf_dir))
+    hits = fx.hits(spark, sf_dir)
+    return lists.exclude_listed(report.dedup_urls(fx.result_lines(hits)), _listed(hits))
 
 
 def stream_whitelist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lists.exclude_listed(_downloads(spark, sf_dir), fx.white(spark, sf_dir))
+    hits = fx.hits(spark, sf_dir)
+    return lists.exclude_listed(_downloads(hits), fx.white(hits))
 
 
 def package_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return filters.package_suffix(src.first_field(fx.result_lines(spark, sf_dir))).distinct()
+    return filters.package_suffix(src.first_field(fx.result_lines(fx.hits(spark, sf_dir)))).distinct()
 
 
 def funnel_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flagged = report.flagged_urls(fx.result_lines(spark, sf_dir), _listed(spark, sf_dir))
-    return report.funnel_counts(flagged)
+    hits = fx.hits(spark, sf_dir)
+    return report.funnel_counts(report.flagged_urls(fx.result_lines(hits), _listed(hits)))
 
 
 def daily_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = fx.verdicts(spark, sf_dir)
+    rows = fx.verdicts(fx.hits(spark, sf_dir))
     return daily.verdict_stats(rows.withColumn("kept", filters.is_download(F.col("bayes_url"))))
 
 
 def _report_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.report_urls(fx.result_lines(spark, sf_dir), _listed(spark, sf_dir))
+    hits = fx.hits(spark, sf_dir)
+    return report.report_urls(fx.result_lines(hits), _listed(hits))
 
 
 def report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,7 +168,7 @@ def report_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "hit_lines": fx.hit_lines,
+    "hit_lines": hit_lines,
     "extract_field": extract_field,
     "bad_records": bad_records,
     "suffix_filter": suffix_filter,
@@ -173,7 +184,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fusion_normalized": fusion_normalized,
     "verdict_lines": verdict_line_rows,
     "dedup_urls": dedup_urls,
-    "list_union": _listed,
+    "list_union": list_union,
     "exclude_listed": exclude_listed,
     "stream_whitelist": stream_whitelist,
     "package_urls": package_urls,

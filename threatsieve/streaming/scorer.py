@@ -13,8 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from threatsieve.functions.stamps import DAY
 from threatsieve.functions.url import with_default_scheme
-from threatsieve.operators.filters import is_download
-from threatsieve.operators.fusion import OWN_COPIES, fuse_scored
+from threatsieve.operators.fusion import OWN_COPIES, fuse_scored, meeting_counts
 from threatsieve.operators.lists import flag_listed
 from threatsieve.operators.scoring import Models, score_both
 from threatsieve.operators.weights import COPIES, unweigh
@@ -24,8 +23,11 @@ from threatsieve.sources.lines import field
 
 METRICS_SCHEMA = (
     "day STRING, input_count BIGINT, bad_count BIGINT, suffix_count BIGINT, "
-    "listed_count BIGINT, gbdt_count BIGINT, bayes_count BIGINT, output_count BIGINT"
+    "listed_count BIGINT, gbdt_count BIGINT, bayes_count BIGINT, output_count BIGINT, "
+    "verdict_count BIGINT"
 )
+# Distinct verdicts per result file: small batches write one file.
+LINES_PER_FILE = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -52,15 +54,8 @@ class Scorer:
 
     def distinct_urls(self, batch: DataFrame) -> DataFrame:
         """One row per downloadable URL and one, without URL, for all other lines."""
-        url = F.col("url")
-        bad = url.isNull() | (url == "")
-        key = F.when(is_download(url), with_default_scheme(url)).alias("url")
-        return batch.groupBy(key).agg(
-            F.count("*").alias(COPIES),
-            F.count_if(F.contains(url, F.lit("://"))).alias(OWN_COPIES),
-            F.count_if(bad).alias("bad"),
-            F.max("batch_ts").alias("batch_ts"),
-        )
+        bad = F.count_if(F.col("url").isNull() | (F.col("url") == "")).alias("bad")
+        return meeting_counts(batch, bad, F.max("batch_ts").alias("batch_ts"))
 
     def stage_counts(self, distinct: DataFrame, scored: DataFrame, fused: DataFrame) -> dict:
         """The day and the number of lines (not of distinct URLs) after every stage."""
@@ -73,21 +68,21 @@ class Scorer:
             F.date_format(F.max("batch_ts"), DAY).alias("day"),
             total().alias("input_count"),
             F.coalesce(F.sum("bad"), F.lit(0)).alias("bad_count"),
-            total(F.col("url").isNotNull()).alias("suffix_count"),
+            total(F.col("download")).alias("suffix_count"),
         )
         flags = scored.agg(
             total(F.col("listed")).alias("listed_count"),
             total(F.col("gbdt_flag") & ~F.col("listed")).alias("gbdt_count"),
             total(F.col("bayes_flag") & ~F.col("listed")).alias("bayes_count"),
         )
-        output = fused.agg(total().alias("output_count"))
+        output = fused.agg(total().alias("output_count"), F.count("*").alias("verdict_count"))
         return {k: v for part in (lines, flags, output) for k, v in part.first().asDict().items()}
 
     def run_batch(self, batch: DataFrame, name: str) -> None:
         """Score one batch: shuffle once, score every distinct URL once, write what both flag."""
         spark = batch.sparkSession
         distinct = self.distinct_urls(batch).persist(StorageLevel.MEMORY_AND_DISK)
-        urls = distinct.where(F.col("url").isNotNull()).select("url", COPIES, OWN_COPIES)
+        urls = distinct.where("download").select("url", COPIES, OWN_COPIES)
         if self.whitelist is None:
             urls = urls.withColumn("listed", F.lit(False))
         else:
@@ -100,7 +95,10 @@ class Scorer:
             if counts["input_count"] == 0:
                 return
             if counts["output_count"] > 0:
-                lines = unweigh(fused) if self.repeat else fused.drop(COPIES)
+                if self.repeat:
+                    lines = unweigh(fused)
+                else:
+                    lines = fused.drop(COPIES).coalesce(1 + counts["verdict_count"] // LINES_PER_FILE)
                 write_batch_text(lines, self.output, counts["day"], name)
             row = spark.createDataFrame([counts], METRICS_SCHEMA)
             row.coalesce(1).write.mode("overwrite").json(f"{self.metrics}/batch={name}")
