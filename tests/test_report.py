@@ -96,7 +96,7 @@ def test_report_job(spark, tmp_path):
             spark, day, str(tmp_path / "report") + "/", str(tmp_path / "white.txt"),
             str(tmp_path / "black.txt"), 5, NOW, merge_to=merge_to,
         )
-        assert path == str(tmp_path / "report" / "20240506_maliceurl")
+        assert path == str(tmp_path / "report" / "20240506_malicious_urls")
         assert counts == {
             "input_count": 7, "duplicate_count": 4, "dedup_count": 3, "filtered_count": 2, "result_count": 1,
         }

@@ -128,11 +128,11 @@ def test_one_pass_fusion_equals_the_join(spark, models):
 
 def test_kafka_options():
     options = src.kafka_options(
-        "h1:9092,h2:9092", "logtopic", "group", "earliest", 100_000, seconds=5, partitions=3
+        "h1:9092,h2:9092", "access", "group", "earliest", 100_000, seconds=5, partitions=3
     )
     assert options == {
-        "kafka.bootstrap.servers": "h1:9092,h2:9092", "subscribe": "logtopic",
-        "startingOffsets": "earliest", "failOnDataLoss": "false", "kafka.group.id": "group",
+        "kafka.bootstrap.servers": "h1:9092,h2:9092", "subscribe": "access",
+        "startingOffsets": "earliest", "kafka.group.id": "group",
         "maxOffsetsPerTrigger": "1500000",
     }
     with pytest.raises(ValueError):

@@ -190,7 +190,8 @@ def lexical_features(
     tlds: Sequence[str] | None = None,
 ) -> DataFrame:
     """The lexical feature rows; URLs that cannot be parsed are left out."""
-    featured = lexical_columns(df, column, tlds)
+    needed = df.select(*keep, F.col(column).alias("_raw"))
+    featured = lexical_columns(needed, "_raw", tlds)
     return featured.where("valid").select(
         *keep, F.col("full_url").alias("Url"), *LEXICAL_FEATURES
     )

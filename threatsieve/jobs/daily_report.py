@@ -26,7 +26,7 @@ def run_report(
     black: str,
     limit: int,
     now: datetime | None = None,
-    name: str = "maliceurl",
+    name: str = "malicious_urls",
     merge_to: str | None = None,
 ) -> tuple[str, dict[str, int]]:
     """Write the report and give its path and the funnel counts.
@@ -61,7 +61,7 @@ def main() -> None:
     parser.add_argument("--white", required=True, help="text file, one URL per line")
     parser.add_argument("--black", required=True, help="text file, one URL per line")
     parser.add_argument("--limit", type=int, required=True, help="most URLs in the report")
-    parser.add_argument("--name", default="maliceurl", help="file name after the day")
+    parser.add_argument("--name", default="malicious_urls", help="file name after the day")
     parser.add_argument("--merge-to", help="directory for a merged copy of the input")
     args = parser.parse_args()
     logging.basicConfig(level=logging.INFO)

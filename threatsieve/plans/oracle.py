@@ -150,9 +150,14 @@ report_urls AS (
   WHERE url NOT IN (SELECT url FROM listed) AND ends_with(url, '.apk')
 )"""
 
+AREA = (
+    f"([{_quoted(C.PROVINCE_CODES)}])"
+    f"[CAST(1 + ('0x' || substr(md5(url), 1, 8))::BIGINT % {len(C.PROVINCE_CODES)} AS INTEGER)]"
+)
+
 REPORT_ROWS = f"""
 report_rows AS (
-  SELECT ([{_quoted(C.PROVINCE_CODES)}])[CAST(1 + ('0x' || substr(md5(url), 1, 8))::BIGINT % {len(C.PROVINCE_CODES)} AS INTEGER)] AS area,
+  SELECT {AREA} AS area,
     '{C.REPORT_DEGREE}' AS degree, host AS domain, url
   FROM parts WHERE parses ORDER BY url LIMIT {fx.REPORT_LIMIT}
 )"""
@@ -266,6 +271,11 @@ stages AS (
 )
 SELECT day, input_count, suffix_count, gbdt_count, bayes_count, coalesce(output_count, 0) AS output_count
 FROM stages LEFT JOIN fused USING (day)""",
+        "date_stamps": _with(HITS)
+        + """SELECT event_id, strftime(ts, '%Y%m%d') AS day, strftime(ts, '%Y%m%d%H%M%S') AS second,
+  strftime(ts, '%Y-%m-%d %H:%M:%S') AS readable
+FROM hits""",
+        "province_codes": _with(HITS) + f"SELECT event_id, {AREA} AS area FROM hits",
         "report_rows": _with(*reported) + "SELECT area, degree, domain, url FROM report_rows",
         "report_json": _with(*reported)
         + f"""SELECT CAST(to_json({{'date': '{fx.REPORT_TIME:%Y-%m-%d %H:%M:%S}',

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from threatsieve.functions.stamps import DAY, READABLE, SECOND, province, stamp
 from threatsieve.functions.tokens import token_text
 from threatsieve.functions.url import lexical_features, url_parts, with_default_scheme
 from threatsieve.operators import daily, filters, fusion, lists, report, scoring, training
@@ -167,6 +168,20 @@ def report_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.report_json(_report_urls(spark, sf_dir), fx.REPORT_LIMIT, fx.REPORT_TIME)
 
 
+def date_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ts = F.col("ts")
+    return fx.hits(spark, sf_dir).select(
+        "event_id",
+        stamp(ts, DAY).alias("day"),
+        stamp(ts, SECOND).alias("second"),
+        stamp(ts, READABLE).alias("readable"),
+    )
+
+
+def province_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.hits(spark, sf_dir).select("event_id", province(F.col("url")).alias("area"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hit_lines": hit_lines,
     "extract_field": extract_field,
@@ -190,6 +205,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "package_urls": package_urls,
     "funnel_counts": funnel_counts,
     "daily_stats": daily_stats,
+    "date_stamps": date_stamps,
+    "province_codes": province_codes,
     "report_rows": report_rows,
     "report_json": report_json,
 }

@@ -52,7 +52,7 @@ def merge_small_files(
     lines.write.mode("overwrite").option("compression", "none").text(target)
 
 
-def write_report(report: DataFrame, directory: str, day: str, name: str = "maliceurl") -> str:
+def write_report(report: DataFrame, directory: str, day: str, name: str = "malicious_urls") -> str:
     """The one-row report as a single text file in ``directory/yyyyMMdd_name``; gives the path."""
     path = f"{directory.rstrip('/')}/{day}_{name}"
     report.coalesce(1).write.mode("overwrite").option("compression", "none").text(path)

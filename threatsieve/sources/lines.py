@@ -54,7 +54,6 @@ def kafka_options(
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": start,
-        "failOnDataLoss": "false",
     }
     if group:
         options["kafka.group.id"] = group
