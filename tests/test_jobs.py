@@ -1,0 +1,94 @@
+"""The command lines, run in this process on the test session."""
+
+from __future__ import annotations
+
+import json
+import sys
+
+import pytest
+
+from threatsieve.jobs import daily_report, feed_lines, fit_models, score_stream
+from threatsieve.plans import fixtures as fx
+from threatsieve.sources.lines import read_lines
+from threatsieve.streaming.scorer import read_metrics
+
+
+class Borrowed:
+    """A session that outlives the job using it."""
+
+    def __init__(self, session):
+        self._session = session
+
+    def __getattr__(self, name):
+        return getattr(self._session, name)
+
+    def stop(self):
+        pass
+
+
+@pytest.fixture
+def call(spark, monkeypatch):
+    def run(job, *arguments):
+        monkeypatch.setattr(job, "build_session", lambda *_: Borrowed(spark))
+        monkeypatch.setattr(sys, "argv", ["job", *map(str, arguments)])
+        job.main()
+
+    return run
+
+
+def test_fit_score_report(spark, sf_dir, tmp_path, call):
+    rows = fx.labelled(fx.hits(spark, sf_dir))
+    rows.where("label = 1").select("url").write.parquet(str(tmp_path / "good"))
+    rows.where("label = 0").select("url").write.parquet(str(tmp_path / "bad"))
+    fx.hit_lines(fx.hits(spark, sf_dir)).select("value").write.text(str(tmp_path / "lines"))
+    models = ("--gbdt-model", tmp_path / "gbdt", "--bayes-model", tmp_path / "bayes")
+    call(fit_models, "--white", tmp_path / "good", "--black", tmp_path / "bad", *models)
+
+    white = tmp_path / "white.txt"
+    white.write_text("http://10.0.0.5/a.sisx\n")
+    call(
+        score_stream, "--lines", tmp_path / "lines", "--url-index", fx.URL_INDEX, *models,
+        "--output", tmp_path / "out", "--metrics", tmp_path / "metrics",
+        "--checkpoint", tmp_path / "ck", "--whitelist", white, "--once",
+    )
+    counts = read_metrics(spark, str(tmp_path / "metrics")).first()
+    assert counts.input_count == 1000 and counts.listed_count > 0
+    day = tmp_path / "out" / counts.day
+    lines = [r.value for r in read_lines(spark, str(day)).collect()]
+    assert len(lines) == counts.verdict_count > 0
+    assert not any(line.startswith("http://10.0.0.5/a.sisx|") for line in lines)
+
+    black = tmp_path / "black.txt"
+    black.write_text("http://none/\n")
+    call(
+        daily_report, "--input", day, "--output", tmp_path / "report", "--white", white,
+        "--black", black, "--limit", 7, "--name", "named", "--merge-to", tmp_path / "merged",
+    )
+    (report,) = (tmp_path / "report").glob("*_named")
+    document = json.loads(spark.read.text(str(report)).first().value)
+    packages = {line.split("|")[0] for line in lines if line.split("|")[0].endswith(".apk")}
+    assert document["size"] == min(7, len(packages)) == len(document["list"])
+    assert [e["url"] for e in document["list"]] == sorted(packages)[:7]
+
+
+def test_one_source_must_be_given(call, tmp_path):
+    with pytest.raises(SystemExit):
+        call(
+            score_stream, "--url-index", 0, "--gbdt-model", "g", "--bayes-model", "b",
+            "--output", "o", "--metrics", "m", "--checkpoint", "c",
+        )
+
+
+def test_feeding_needs_the_connector(call, tmp_path):
+    (tmp_path / "a.txt").write_text("1|2\n")
+    for action in ("publish", "replay", "probe"):
+        with pytest.raises(Exception, match="(?i)kafka"):
+            call(
+                feed_lines, action, "--servers", "none:1", "--topic", "t", "--lines", tmp_path,
+                "--checkpoint", tmp_path / "ck",
+            )
+
+
+def test_checkpoint_folder_comes_from_the_settings(spark):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    assert folder and folder.split(":")[-1] in spark.sparkContext.getCheckpointDir()

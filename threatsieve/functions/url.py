@@ -31,8 +31,7 @@ _JAR = r"(?i:jar:)"
 _USER = r"(?:[^/?#@]*+@)?+"
 _AUTHORITY = rf"^(?i:url:)?{_SCHEMED}//(?!//){_USER}"
 _SCHEME = r"^(?i:url:)?([A-Za-z][A-Za-z0-9+.\-]*+):"
-_HOST = _AUTHORITY + r"(\[[^\]/?#@]*+\]|[^\[:/?#@][^:/?#@]*+)(?=[:/?#]|\z)"
-_PORT = _AUTHORITY + r"(?:\[[^\]/?#@]*+\]|(?!\[)[^:/?#@]*+):([^/?#@]++)(?=[/?#]|\z)"
+_HOST_PORT = _AUTHORITY + r"([^/?#@]++)(?=[/?#]|\z)"
 
 _HEX = r"0*[0-9A-Fa-f]{1,4}"
 _OCTET = r"0*(?:25[0-5]|2[0-4]\d|1?\d?\d)"
@@ -128,17 +127,21 @@ def url_parts(df: DataFrame, column: str) -> DataFrame:
     spec = F.col(column)
     is_jar = F.lower(F.substring(spec, 1, 4)) == "jar:"
     df = df.select("*", is_jar.alias("_jar"), F.btrim(spec, F.lit(_TRIMMED)).alias("_spec"))
-    jar, spec = F.col("_jar"), F.col("_spec")
-    df = df.select("*", F.regexp_extract(spec, _PORT, 1).alias("_port"))
-    port = F.when(jar | (F.col("_port") == ""), F.lit(-1)).otherwise(F.col("_port").try_cast("int"))
+    spec, both, host = F.col("_spec"), F.col("_host_port"), F.col("host")
+    found = F.when(F.col("_jar"), F.lit("")).otherwise(F.regexp_extract(spec, _HOST_PORT, 1))
+    df = df.select("*", found.alias("_host_port"))
+    bracketed = F.concat(F.substring_index(both, "]", 1), F.lit("]"))
     df = df.select(
         "*",
         parses(F.col(column)).alias("parses"),
         F.lower(F.regexp_extract(spec, _SCHEME, 1)).alias("scheme"),
-        F.when(jar, F.lit("")).otherwise(F.regexp_extract(spec, _HOST, 1)).alias("host"),
-        port.alias("port_number"),
+        F.when(both.startswith("["), bracketed)
+        .otherwise(F.substring_index(both, ":", 1))
+        .alias("host"),
     )
-    return df.drop("_jar", "_spec", "_port")
+    port = F.substring(both, F.char_length(host) + 2, F.lit(2**31 - 1))
+    number = F.when(port == "", F.lit(-1)).otherwise(port.try_cast("int"))
+    return df.select("*", number.alias("port_number")).drop("_jar", "_spec", "_host_port")
 
 
 def lexical_columns(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+from functools import partial
 
 from threatsieve.operators.scoring import load_models
 from threatsieve.session import build_session
@@ -30,6 +31,7 @@ def main() -> None:
     parser.add_argument("--whitelist", help="text file, one URL per line, read again every batch")
     parser.add_argument("--normalized", action="store_true", help="keep URLs without a scheme")
     parser.add_argument("--repeat", action="store_true", help="one line per joined row")
+    parser.add_argument("--once", action="store_true", help="work off what is there and stop")
     args = parser.parse_args()
     if bool(args.lines) == bool(args.servers and args.topic):
         parser.error("give either --lines or --servers and --topic")
@@ -43,8 +45,7 @@ def main() -> None:
         lines = kafka_lines(spark, options)
     whitelist = None
     if args.whitelist:
-        def whitelist(session):
-            return read_url_list(session, args.whitelist)
+        whitelist = partial(read_url_list, path=args.whitelist)
     scorer = Scorer(
         models=load_models(args.gbdt_model, args.bayes_model),
         url_index=args.url_index,
@@ -54,7 +55,8 @@ def main() -> None:
         normalized=args.normalized,
         repeat=args.repeat,
     )
-    build_query(lines, scorer, args.checkpoint, args.seconds).awaitTermination()
+    seconds = None if args.once else args.seconds
+    build_query(lines, scorer, args.checkpoint, seconds).awaitTermination()
 
 
 if __name__ == "__main__":

@@ -11,8 +11,9 @@ from threatsieve.sources.lines import spread
 
 URL_INDEX = 2
 REPORT_LIMIT = 1000
-# Up to this many ids and URLs are broadcast (well below 100 MB); more are joined by shuffling.
-BROADCAST_PAGES = 200_000
+# Pages are broadcast up to these sizes and joined by shuffling beyond.
+BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 32 << 20
 REPORT_TIME = datetime(2024, 2, 1, 6, 30, 0)
 
 
@@ -22,8 +23,10 @@ def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     page_count = pages.count()
     keyed = events.select("event_id", "ts", (F.col("event_id") % page_count).alias("page_id"))
-    if page_count <= BROADCAST_PAGES:
-        pages = F.broadcast(pages)
+    if page_count <= BROADCAST_ROWS:
+        url_bytes = pages.agg(F.sum(F.octet_length("url"))).first()[0] or 0
+        if url_bytes <= BROADCAST_BYTES:
+            pages = F.broadcast(pages)
     bare = "regexp_replace(url, '[?#].*$', '')"
     number = "CAST(event_id AS STRING)"
     url = f"""CASE event_id % 8
