@@ -84,7 +84,8 @@ def report_json(urls: DataFrame, limit: int, now: datetime | None = None) -> Dat
     ``size`` counts all result URLs up to the limit, so it may exceed the length of ``list`` when
     some do not parse. The list is bounded by ``limit``, which is the feature.
     """
-    size = urls.agg(F.least(F.count("*"), F.lit(limit)).cast("int")).scalar()
+    # Counting the column, not rows, keeps the shuffled side as the list needs it: it is reused.
+    size = urls.agg(F.least(F.count("url"), F.lit(limit)).cast("int")).scalar()
     rows = report_rows(urls, limit).agg(
         F.array_sort(F.collect_list(F.struct("url", "area", "degree", "domain"))).alias("rows")
     )
