@@ -207,3 +207,58 @@ def test_only_needed_columns_are_read(spark, sf_dir):
     text = plan(QUERIES["dedup_urls"](spark, sf_dir))
     assert "ReadSchema: struct<page_id:bigint,url:string>" in text
     assert "ReadSchema: struct<event_id:bigint>" in text
+
+
+def shuffled_records(df):
+    """Records written by every shuffle of an executed frame."""
+    df.collect()
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        else:
+            if kind == "ShuffleExchangeExec":
+                found.append(node.metrics().get("shuffleRecordsWritten").get().value())
+            children = node.children()
+            todo.extend(children.apply(i) for i in range(children.size()))
+    return found
+
+
+def test_hot_urls_and_other_lines_shrink_before_the_shuffle(spark):
+    rows = spark.range(90_000, numPartitions=6)
+    url = F.when(F.col("id") % 3 == 0, F.lit("http://hot.com/x.apk")).when(
+        F.col("id") % 3 == 1, F.concat(F.lit("http://page.com/"), F.col("id"))
+    ).otherwise(F.concat(F.lit("u"), F.col("id") % 100, F.lit(".com/a.exe")))
+    lines = rows.select(F.concat(F.lit("0|1|"), url).alias("value"))
+    counted = fusion.meeting_counts(lines.select(src.field(F.col("value"), 2).alias("url")))
+    written = shuffled_records(counted)
+    assert len(written) == 1 and written[0] <= 6 * 102
+    rows = {r.url: (r.copies, r.own_copies) for r in counted.where("download").collect()}
+    assert rows["http://hot.com/x.apk"] == (30_000, 30_000)
+    assert rows["http://u2.com/a.exe"] == (300, 0)
+    assert len(rows) == 101
+
+
+def test_pair_counts_leave_the_long_range(spark):
+    side = spark.createDataFrame([("x", 4_000_000_000)], "url_GBDT string, copies bigint")
+    other = spark.createDataFrame(
+        [("x", 0.5, 5_000_000_000)], "url_Bayes string, prob_Bayes double, copies bigint"
+    )
+    assert fusion.fusion_join(side, other).first().copies == 4_000_000_000 * 5_000_000_000
+
+
+def test_feature_types(spark):
+    fields = dict(lexical_features(urls(spark, ["a.com"])).dtypes)
+    booleans = {"isIP", "isDing", "is_Prefix_sensitive", "ishaschn"}
+    assert fields == {"Url": "string"} | {
+        f: "boolean" if f in booleans else "int" for f in LEXICAL_FEATURES
+    }
+    labelled = urls(spark, ["a.com"]).withColumn("label", F.lit(1))
+    assert training.lexical_training(labelled).columns == ["Url", *LEXICAL_FEATURES, "label"]
+    assert training.token_training(labelled).dtypes == [
+        ("Url", "string"), ("Word", "string"), ("label", "int")
+    ]

@@ -58,7 +58,7 @@ def test_known_counts(spark, sf_dir):
         "package_urls": 223, "list_union": 53,
     }
     fused = QUERIES["fusion_join"](spark, sf_dir)
-    assert fused.selectExpr("sum(copies)").first()[0] == 433
+    assert fused.selectExpr("sum(cast(copies as bigint))").first()[0] == 433
     funnel = QUERIES["funnel_counts"](spark, sf_dir).first()
     assert tuple(funnel) == (1000, 669, 331, 158, 173)
     assert QUERIES["daily_stats"](spark, sf_dir).count() == 30

@@ -101,8 +101,9 @@ def test_batches_without_hits_write_nothing(spark, models, tmp_path):
     lines = tmp_path / "in"
     lines.mkdir()
     (lines / "a.txt").write_text("1|x|http://a.com/page\n2|x\n")
-    run(spark, str(lines), make(models, tmp_path), str(tmp_path / "ck"))
+    run(spark, str(lines), make(models, tmp_path, bad_lines=str(tmp_path / "bad")), str(tmp_path / "ck"))
     assert not (tmp_path / "out").exists()
+    assert result_lines(spark, str(tmp_path / "bad")) == ["2|x"]
     row = st.read_metrics(spark, str(tmp_path / "metrics")).first()
     assert (row.input_count, row.bad_count, row.suffix_count, row.output_count) == (2, 1, 0, 0)
 
@@ -157,3 +158,15 @@ def test_saved_models_score_the_same(spark, sf_dir, models, tmp_path):
     first = sorted(map(tuple, scoring.score_lines(lines, fx.URL_INDEX, models).collect()))
     second = sorted(map(tuple, scoring.score_lines(lines, fx.URL_INDEX, loaded).collect()))
     assert first == second
+
+
+def test_rerun_without_results_removes_the_old_ones(spark, models, tmp_path):
+    scorer = make(models, tmp_path)
+    rows = spark.createDataFrame([("http://10.0.0.7/a.sisx",)] * 3, "url string")
+    batch = rows.withColumn("batch_ts", F.to_timestamp(F.lit("2024-05-06 23:59:59")))
+    scorer.run_batch(batch, "q-0")
+    scorer.run_batch(batch, "q-1")
+    assert len(result_lines(spark, str(tmp_path / "out" / "20240506"))) == 2
+    listed = rows.distinct()
+    make(models, tmp_path, whitelist=lambda session: listed).run_batch(batch, "q-1")
+    assert len(result_lines(spark, str(tmp_path / "out" / "20240506"))) == 1

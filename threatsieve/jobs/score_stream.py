@@ -29,6 +29,7 @@ def main() -> None:
     parser.add_argument("--metrics", required=True)
     parser.add_argument("--checkpoint", required=True)
     parser.add_argument("--whitelist", help="text file, one URL per line, read again every batch")
+    parser.add_argument("--bad-lines", help="directory for lines without a URL")
     parser.add_argument("--normalized", action="store_true", help="keep URLs without a scheme")
     parser.add_argument("--repeat", action="store_true", help="one line per joined row")
     parser.add_argument("--once", action="store_true", help="work off what is there and stop")
@@ -54,6 +55,7 @@ def main() -> None:
         whitelist=whitelist,
         normalized=args.normalized,
         repeat=args.repeat,
+        bad_lines=args.bad_lines,
     )
     seconds = None if args.once else args.seconds
     build_query(lines, scorer, args.checkpoint, seconds).awaitTermination()

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threatsieve.functions.stamps import DAY, stamp
+from threatsieve.operators.weights import pair_count
 
 STAGES = ("input_count", "suffix_count", "gbdt_count", "bayes_count", "output_count")
 
@@ -24,9 +25,9 @@ def verdict_stats(verdicts: DataFrame) -> DataFrame:
         F.count_if("kept").alias("suffix_count"),
         F.count_if(gbdt).alias("gbdt_count"),
         F.count_if(bayes).alias("bayes_count"),
-        (F.count_if(gbdt) * F.count_if(bayes & (F.col("gbdt_url") == F.col("bayes_url")))).alias(
-            "output_count"
-        ),
+        pair_count(
+            F.count_if(gbdt), F.count_if(bayes & (F.col("gbdt_url") == F.col("bayes_url")))
+        ).alias("output_count"),
     )
     return daily_stats(per_url)
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from threatsieve.functions import constants as C
 from threatsieve.functions.url import with_default_scheme
 from threatsieve.operators.filters import is_download
-from threatsieve.operators.weights import COPIES
+from threatsieve.operators.weights import COPIES, pair_count
 
 CLASS_SUSPICIOUS = 0
 OWN_COPIES = "own_copies"
@@ -51,7 +51,7 @@ def fusion_join(gbdt: DataFrame, bayes: DataFrame, within: Sequence[str] = ()) -
         "url",
         gbdt_probability().alias("prob_GBDT"),
         "prob_Bayes",
-        (F.col("_g") * F.col("_b")).alias(COPIES),
+        pair_count(F.col("_g"), F.col("_b")).alias(COPIES),
     )
 
 
@@ -94,6 +94,6 @@ def fuse_scored(scored: DataFrame, normalized: bool = False) -> DataFrame:
     both = scored.where("gbdt_flag AND bayes_flag")
     columns = ["url", gbdt_probability().alias("prob_GBDT"), "prob_Bayes"]
     if normalized:
-        return both.select(*columns, F.lit(1).cast("bigint").alias(COPIES))
-    copies = (F.col(COPIES) * F.col(OWN_COPIES)).alias(COPIES)
+        return both.select(*columns, F.lit(1).cast("decimal(38,0)").alias(COPIES))
+    copies = pair_count(F.col(COPIES), F.col(OWN_COPIES)).alias(COPIES)
     return both.where(F.col(OWN_COPIES) > 0).select(*columns, copies)

@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 COPIES = "copies"
 
 
+def pair_count(left: Column, right: Column) -> Column:
+    """Product of two row counts; as a decimal, since a hot URL's square leaves the long range."""
+    return left.cast("decimal(19,0)") * right.cast("decimal(19,0)")
+
+
 def weigh(df: DataFrame, *columns: str) -> DataFrame:
     """Distinct values of the columns with their row count as ``copies``."""
     return df.groupBy(*columns).agg(F.count("*").alias(COPIES))
@@ -48,7 +53,8 @@ def unweigh(df: DataFrame) -> DataFrame:
     slots = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     copies, side, block = F.col(COPIES), F.col("_side"), F.col("_block")
     zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
-    blocks = df.where(copies > 0).withColumn("_side", F.ceil(F.sqrt(copies)).cast("bigint"))
+    blocks = df.where(copies > 0).withColumn(COPIES, copies.cast("bigint"))
+    blocks = blocks.withColumn("_side", F.ceil(F.sqrt(copies)).cast("bigint"))
     blocks = blocks.withColumn("_block", F.explode(F.sequence(zero, F.floor((copies - 1) / side))))
     size = F.least(side, copies - block * side)
     return (

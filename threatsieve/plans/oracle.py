@@ -65,7 +65,7 @@ fused AS (
   WHERE g.gbdt_pred = 0 AND b.bayes_pred = 0
 ),
 counted AS (
-  SELECT batch, url, "prob_GBDT", "prob_Bayes", count(*) AS copies
+  SELECT batch, url, "prob_GBDT", "prob_Bayes", CAST(count(*) AS VARCHAR) AS copies
   FROM fused GROUP BY batch, url, "prob_GBDT", "prob_Bayes"
 )"""
 
@@ -269,7 +269,8 @@ stages AS (
     count(*) FILTER (kept AND bayes_pred = 0) AS bayes_count
   FROM kept GROUP BY ALL
 )
-SELECT day, input_count, suffix_count, gbdt_count, bayes_count, coalesce(output_count, 0) AS output_count
+SELECT day, input_count, suffix_count, gbdt_count, bayes_count,
+  CAST(coalesce(output_count, 0) AS VARCHAR) AS output_count
 FROM stages LEFT JOIN fused USING (day)""",
         "date_stamps": _with(HITS)
         + """SELECT event_id, strftime(ts, '%Y%m%d') AS day, strftime(ts, '%Y%m%d%H%M%S') AS second,

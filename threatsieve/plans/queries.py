@@ -35,6 +35,12 @@ def hit_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.hit_lines(fx.hits(spark, sf_dir))
 
 
+def _plain(df: DataFrame) -> DataFrame:
+    """Decimals in types that read alike everywhere; the counts as text, exact at any size."""
+    types = {"prob_GBDT": "double", "copies": "string"}
+    return df.withColumns({c: F.col(c).cast(t) for c, t in types.items() if c in df.columns})
+
+
 def extract_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = src.extract_field(fx.hit_lines(fx.hits(spark, sf_dir)), fx.URL_INDEX)
     return rows.select("event_id", "url")
@@ -87,13 +93,13 @@ def bayes_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gbdt_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = scoring.gbdt_verdicts(_downloads(fx.hits(spark, sf_dir)), models_for(spark, sf_dir).gbdt)
-    return rows.withColumn("prob_GBDT", F.col("prob_GBDT").cast("double"))
+    hits = fx.hits(spark, sf_dir)
+    return _plain(scoring.gbdt_verdicts(_downloads(hits), models_for(spark, sf_dir).gbdt))
 
 
 def score_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = fx.hit_lines(fx.hits(spark, sf_dir))
-    return scoring.score_lines(lines, fx.URL_INDEX, models_for(spark, sf_dir))
+    return _plain(scoring.score_lines(lines, fx.URL_INDEX, models_for(spark, sf_dir)))
 
 
 def _verdict_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -106,17 +112,16 @@ def _verdict_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 
 
 def fusion_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fused = fusion.fusion_join(*_verdict_sides(spark, sf_dir), within=["batch"])
-    return fused.withColumn("prob_GBDT", F.col("prob_GBDT").cast("double"))
+    return _plain(fusion.fusion_join(*_verdict_sides(spark, sf_dir), within=["batch"]))
 
 
 def fusion_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fused = fusion.fusion_normalized(*_verdict_sides(spark, sf_dir), within=["batch"])
-    return fused.withColumn("prob_GBDT", F.col("prob_GBDT").cast("double"))
+    return _plain(fusion.fusion_normalized(*_verdict_sides(spark, sf_dir), within=["batch"]))
 
 
 def verdict_line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return verdict_lines(fusion.fusion_join(*_verdict_sides(spark, sf_dir), within=["batch"]))
+    fused = fusion.fusion_join(*_verdict_sides(spark, sf_dir), within=["batch"])
+    return _plain(verdict_lines(fused))
 
 
 def dedup_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,7 +157,8 @@ def funnel_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def daily_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fx.verdicts(fx.hits(spark, sf_dir))
-    return daily.verdict_stats(rows.withColumn("kept", filters.is_download(F.col("bayes_url"))))
+    kept = rows.withColumn("kept", filters.is_download(F.col("bayes_url")))
+    return daily.verdict_stats(kept).withColumn("output_count", F.col("output_count").cast("string"))
 
 
 def _report_urls(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -38,6 +38,12 @@ def write_batch_text(df: DataFrame, directory: str, day: str, batch: str, separa
     write_day_text(df, f"{directory}/{day}", f"batch={batch}", separator, "overwrite")
 
 
+def drop_batch_text(spark: SparkSession, directory: str, day: str, batch: str) -> None:
+    """Remove what an earlier run of the same batch has written, if anything."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{directory}/{day}/batch={batch}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def merge_small_files(
     spark: SparkSession, source: str, target: str, files: int | None = None
 ) -> None:

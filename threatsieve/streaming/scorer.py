@@ -17,13 +17,13 @@ from threatsieve.operators.fusion import OWN_COPIES, fuse_scored, meeting_counts
 from threatsieve.operators.lists import flag_listed
 from threatsieve.operators.scoring import Models, score_both
 from threatsieve.operators.weights import COPIES, unweigh
-from threatsieve.sinks.text import write_batch_text
+from threatsieve.sinks.text import drop_batch_text, write_batch_text
 from threatsieve.sources.lines import field
 
 
 METRICS_SCHEMA = (
     "day STRING, input_count BIGINT, bad_count BIGINT, suffix_count BIGINT, "
-    "listed_count BIGINT, gbdt_count BIGINT, bayes_count BIGINT, output_count BIGINT, "
+    "listed_count BIGINT, gbdt_count BIGINT, bayes_count BIGINT, output_count DECIMAL(38,0), "
     "verdict_count BIGINT"
 )
 # Distinct verdicts per result file: small batches write one file.
@@ -36,7 +36,8 @@ class Scorer:
 
     Results go to ``output/yyyyMMdd/batch=<name>`` and stage counts to ``metrics/batch=<name>``,
     both overwritten when a batch is run again. ``repeat`` writes a line as often as the join of
-    both verdict sides has it; otherwise a batch has every URL once.
+    both verdict sides has it; otherwise a batch has every URL once. ``bad_lines`` is where lines
+    without a URL go; without it they are only counted.
     """
 
     models: Models
@@ -46,11 +47,13 @@ class Scorer:
     whitelist: Callable[[SparkSession], DataFrame] | None = None
     normalized: bool = False
     repeat: bool = False
+    bad_lines: str | None = None
 
     def prepare(self, lines: DataFrame) -> DataFrame:
         """The stateless part: URL, kept flag and the batch's time, which a replay repeats."""
         url = field(F.col("value"), self.url_index)
-        return lines.select(url.alias("url"), F.current_timestamp().alias("batch_ts"))
+        value = ["value"] if self.bad_lines else []
+        return lines.select(*value, url.alias("url"), F.current_timestamp().alias("batch_ts"))
 
     def distinct_urls(self, batch: DataFrame) -> DataFrame:
         """One row per downloadable URL and one, without URL, for all other lines."""
@@ -100,6 +103,11 @@ class Scorer:
                 else:
                     lines = fused.drop(COPIES).coalesce(1 + counts["verdict_count"] // LINES_PER_FILE)
                 write_batch_text(lines, self.output, counts["day"], name)
+            else:
+                drop_batch_text(spark, self.output, counts["day"], name)
+            if self.bad_lines and counts["bad_count"] > 0:
+                bad = batch.where("url IS NULL OR url = ''").select("value")
+                write_batch_text(bad, self.bad_lines, counts["day"], name)
             row = spark.createDataFrame([counts], METRICS_SCHEMA)
             row.coalesce(1).write.mode("overwrite").json(f"{self.metrics}/batch={name}")
         finally:
