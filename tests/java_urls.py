@@ -47,6 +47,9 @@ MORE = [
     "http://.:80/", "http://..:/", "ftp://./x", "jar:http://./x!/y", "jar:http://a:80!/b", "jar:http://a:80!/b!/c",
     "jar:http://a:8x!/b", "jar:url: http://a/x!/b", "jar: url:http://a/x !/b", "jar:mailto:!/://", "jar:mailto:a!/://",
     "jar:http://u@v@x/!/y", "jar:http://[::1]!/y", "http://[::1%25 a]/", "http://[::1%a:b]:1/",
+    "http://[2001:db8::1]/x", "http://[fe80::1234:5678:9abc:def0]:8080/x.apk", "http://[::ffff:10.0.0.1]:1/",
+    "http://[2001:0db8:0000:0000:0000:ff00:0042:8329]/x", "http://[abcd:abcd:abcd:abcd:abcd:abcd:abcd::]/",
+    "http://[abcd:abcd:abcd:abcd:abcd::255.255.255.255]/", "http://[abcd:abcd:abcd:abcd:abcd:abcd::1.2.3.4]/",
     "ftp://a\tb.com/x", "http://a\tb@c.com/x", "https://[::1%a\nb]/x", "ftp://[::1%a\nb]/x", "file://a\x7f/",
 ]
 

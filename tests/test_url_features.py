@@ -77,6 +77,41 @@ def test_fuzzed_urls(spark, seed):
     check_against_java(spark, fuzz(500, seed))
 
 
+def test_fuzzed_ip_hosts(spark):
+    rng = random.Random(5)
+    pieces = [":", ":", ":", "::", "1", "ab", "2001", "db8", "FFFF", "12345", "0001", "1.2.3.4", "010.0.0.255",
+              "256.1.1.1", "1.2.3", "%en0", "%", "g", "."]
+    strings = set()
+    while len(strings) < 500:
+        groups = [rng.choice(["1", "ab", "db8", "2001", "0000"]) for _ in range(rng.randint(1, 9))]
+        if rng.random() < 0.5:
+            groups.insert(rng.randint(0, len(groups)), "")
+        host = ":".join(groups)
+        if rng.random() < 0.3:
+            host += rng.choice(["1.2.3.4", ":1.2.3.4", "::", "%1", "::9.9.9.9"])
+        if rng.random() < 0.3:
+            host = "".join(rng.choice(pieces) for _ in range(rng.randint(1, 8)))
+        strings.add(f"{rng.choice(['http', 'ftp'])}://[{host}]{rng.choice(['', ':80', '/x'])}")
+    strings = sorted(strings)
+    parsed = [java_url(spark, s) is not None for s in strings]
+    assert 50 < sum(parsed) < 450
+    rows = url_parts(frame(spark, strings), "url").orderBy("id").collect()
+    assert [s for s, r, p in zip(strings, rows, parsed) if r.parses != p] == []
+
+
+def test_long_texts_neither_overflow_nor_hang(spark):
+    n = 100_000
+    strings = [
+        "http://" + "a" * n, "http://" + "@" * n, "http://a.com/" + "/" * n, "http://[" + "1:" * n + "]/x",
+        "http://a.com:" + "0" * n + "80/x", "jar:http://a/" + "!/" * n, "http://" + "a." * n + "com/x.apk",
+        "http://a.com/" + "1-" * n, "jar:mailto:" + " " * n + "!/", "http://" + "." * n, "http://[" + "a" * n,
+        "mailto:" + " " * n + "://", "http://a.com/" + "1." * n, " " * n + "http://a.com" + " " * n,
+    ]
+    valid = [r.valid for r in lexical_columns(frame(spark, strings)).orderBy("id").collect()]
+    tlds = set(C.known_tlds())
+    assert valid == [feature_row(spark, s, tlds) is not None for s in strings]
+
+
 def test_parts_without_default_scheme(spark):
     strings = CORPUS + MORE
     rows = url_parts(frame(spark, strings), "url").collect()

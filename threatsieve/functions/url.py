@@ -40,8 +40,8 @@ _IPV6 = (
     r"(?:"
     rf"(?:{_HEX}:){{7}}{_HEX}"
     rf"|(?:{_HEX}:){{6}}{_QUAD}"
-    rf"|(?!(?::*[0-9A-Fa-f]+){{8}})(?:{_HEX}(?::{_HEX})*+)?::(?:{_HEX}(?::{_HEX})*+)?(?=[%\]])"
-    rf"|(?!(?::*[0-9A-Fa-f]+:+){{6}})(?:{_HEX}(?::{_HEX})*+)?::(?:{_HEX}:)*+{_QUAD}"
+    rf"|(?!(?::*+[0-9A-Fa-f]++){{8}})(?:{_HEX}(?::{_HEX})*+)?::(?:{_HEX}(?::{_HEX})*+)?(?=[%\]])"
+    rf"|(?!(?::*+[0-9A-Fa-f]++:++){{6}})(?:{_HEX}(?::{_HEX})*+)?::(?:{_HEX}:)*+{_QUAD}"
     r")"
 )
 
