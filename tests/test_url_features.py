@@ -150,6 +150,14 @@ def test_invalid_rows_are_kept_by_the_unfiltered_form(spark):
     assert [r.valid for r in df.orderBy("id").collect()] == [True, False]
 
 
+def test_broken_encoding_fails_no_task(spark):
+    raw = b"http://a.com/\xff\xe4.apk"
+    df = spark.createDataFrame([(bytearray(raw),)], "b binary").select(F.col("b").cast("string").alias("url"))
+    row = lexical_features(df).first()
+    assert (row.urllen, row.execfile_len, row.is_Prefix_sensitive) == (19, 6, True)
+    assert token_text(df).first().Word is not None
+
+
 def test_own_tlds(spark):
     df = lexical_features(frame(spark, ["http://a.corp/x", "http://a.com/x"]), tlds=["corp"])
     assert [r.isDing for r in df.orderBy("Url").collect()] == [False, True]

@@ -101,8 +101,11 @@ def with_default_scheme(raw: Column) -> Column:
 
 
 def utf16_length(text: Column) -> Column:
-    """Length in UTF-16 units; the encoding is only paid for text that is not plain ASCII."""
-    units = (F.octet_length(F.encode(text, "UTF-16BE")) / 2).cast("int")
+    """Length in UTF-16 units; the encoding is only paid for text that is not plain ASCII.
+
+    Broken UTF-8, which logs do hold, counts as replacement characters instead of failing the task.
+    """
+    units = (F.octet_length(F.encode(F.make_valid_utf8(text), "UTF-16BE")) / 2).cast("int")
     return F.when(F.octet_length(text) == F.char_length(text), F.char_length(text)).otherwise(units)
 
 
