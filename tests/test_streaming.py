@@ -6,7 +6,7 @@ import pathlib
 import pytest
 from pyspark.sql import functions as F
 
-from threatsieve.operators import fusion, scoring, training
+from threatsieve.operators import daily, fusion, scoring, training
 from threatsieve.operators.weights import weigh
 from threatsieve.plans import fixtures as fx
 from threatsieve.plans.queries import models_for
@@ -170,3 +170,17 @@ def test_rerun_without_results_removes_the_old_ones(spark, models, tmp_path):
     listed = rows.distinct()
     make(models, tmp_path, whitelist=lambda session: listed).run_batch(batch, "q-1")
     assert len(result_lines(spark, str(tmp_path / "out" / "20240506"))) == 1
+
+
+def test_timed_batches(spark, source, models, tmp_path):
+    stream = src.stream_lines(spark, source, 1)
+    query = st.build_query(stream, make(models, tmp_path), str(tmp_path / "ck"), seconds=1)
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    counts = st.read_metrics(spark, str(tmp_path / "metrics"))
+    assert counts.count() == 4
+    (day,) = daily.daily_stats(counts).collect()
+    assert day.input_count == 1000
+    assert day.output_count == counts.agg(F.sum("output_count")).first()[0]

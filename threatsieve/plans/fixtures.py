@@ -14,19 +14,31 @@ REPORT_LIMIT = 1000
 # Pages are broadcast up to these sizes and joined by shuffling beyond.
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 << 20
+_MEASURED: dict[tuple[str, str], tuple[int, bool]] = {}
 REPORT_TIME = datetime(2024, 2, 1, 6, 30, 0)
 
 
+def _measure(pages: DataFrame, sf_dir: str) -> tuple[int, bool]:
+    """Number of pages and whether they are small enough to broadcast; once per application."""
+    key = (pages.sparkSession.sparkContext.applicationId, sf_dir)
+    if key not in _MEASURED:
+        count = pages.count()
+        small = count <= BROADCAST_ROWS
+        if small:
+            url_bytes = pages.agg(F.sum(F.octet_length("url"))).first()[0] or 0
+            small = url_bytes <= BROADCAST_BYTES
+        _MEASURED[key] = (count, small)
+    return _MEASURED[key]
+
+
 def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One URL hit per event; eight kinds of URL, one of them a heavy duplicate."""
     events = spread(spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts"))
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
-    page_count = pages.count()
+    page_count, small = _measure(pages, sf_dir)
     keyed = events.select("event_id", "ts", (F.col("event_id") % page_count).alias("page_id"))
-    if page_count <= BROADCAST_ROWS:
-        url_bytes = pages.agg(F.sum(F.octet_length("url"))).first()[0] or 0
-        if url_bytes <= BROADCAST_BYTES:
-            pages = F.broadcast(pages)
+    if small:
+        pages = F.broadcast(pages)
     bare = "regexp_replace(url, '[?#].*$', '')"
     number = "CAST(event_id AS STRING)"
     url = f"""CASE event_id % 8
