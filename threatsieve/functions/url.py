@@ -4,7 +4,8 @@ The accepted syntax is that of ``java.net.URL``, not of ``parse_url`` (which fol
 ``java.net.URI`` and rejects underscores and blanks). Whether a URL is accepted is a single
 pattern over it, so a filter on it can be pushed below the projections without growing.
 
-Nested ``jar:`` URLs (a jar inside a jar) and ports in non-ASCII digits count as malformed here.
+Accepted schemes are http, https, ftp, file, mailto and jar; others that an installation may add,
+nested ``jar:`` URLs and ports in non-ASCII digits count as malformed here.
 """
 
 from __future__ import annotations

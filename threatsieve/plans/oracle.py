@@ -251,11 +251,14 @@ FROM counted""",
 WHERE {DOWNLOAD} AND url NOT IN (SELECT url FROM white) GROUP BY url""",
         "package_urls": _with(HITS) + "SELECT DISTINCT url FROM hits WHERE ends_with(url, '.apk')",
         "funnel_counts": _with(HITS, LISTS)
-        + """SELECT count(*) AS input_count, count(*) - count(DISTINCT url) AS duplicate_count,
-  count(DISTINCT url) AS dedup_count,
-  count(DISTINCT url) - count(DISTINCT url) FILTER (url NOT IN (SELECT url FROM listed) AND ends_with(url, '.apk')) AS filtered_count,
-  count(DISTINCT url) FILTER (url NOT IN (SELECT url FROM listed) AND ends_with(url, '.apk')) AS result_count
-FROM hits""",
+        + """, distinct_urls AS (
+  SELECT url, url NOT IN (SELECT url FROM listed) AND ends_with(url, '.apk') AS in_result, count(*) AS n
+  FROM hits GROUP BY url
+)
+SELECT CAST(sum(n) AS BIGINT) AS input_count, CAST(sum(n) AS BIGINT) - count(*) AS duplicate_count,
+  count(*) AS dedup_count, count(*) - count(*) FILTER (in_result) AS filtered_count,
+  count(*) FILTER (in_result) AS result_count
+FROM distinct_urls""",
         "daily_stats": _with(HITS, VERDICTS)
         + f""", kept AS (SELECT *, {kept} AS kept FROM verdicts),
 fused AS (

@@ -50,7 +50,7 @@ class Scorer:
     bad_lines: str | None = None
 
     def prepare(self, lines: DataFrame) -> DataFrame:
-        """The stateless part: URL, kept flag and the batch's time, which a replay repeats."""
+        """The stateless part: the URL and the batch's recorded time, which a replay repeats."""
         url = field(F.col("value"), self.url_index)
         value = ["value"] if self.bad_lines else []
         return lines.select(*value, url.alias("url"), F.current_timestamp().alias("batch_ts"))
