@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from threatsieve.llm import simhash
+from threatsieve.llm import html, simhash, surrogates
 
 QUERIES = {
     "op5_simhash": simhash.op5_simhash,
+    "op7_html": html.op7_html,
+    "op8_surrogates": surrogates.op8_surrogates,
 }
 ORACLE_SQL: dict[str, str] = {}
