@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from threatsieve.llm import html, simhash, surrogates
+from threatsieve.llm import embeddings, html, simhash, surrogates
 
 QUERIES = {
+    "op1_embeddings": embeddings.op1_embeddings,
     "op5_simhash": simhash.op5_simhash,
     "op7_html": html.op7_html,
     "op8_surrogates": surrogates.op8_surrogates,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_embeddings": embeddings.ORACLE_SQL,
+}
