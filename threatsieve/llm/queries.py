@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from threatsieve.llm import embeddings, html, simhash, surrogates
+from threatsieve.llm import decontamination, embeddings, html, simhash, surrogates
 
 QUERIES = {
     "op1_embeddings": embeddings.op1_embeddings,
+    "op2_decontamination": decontamination.op2_decontamination,
     "op5_simhash": simhash.op5_simhash,
     "op7_html": html.op7_html,
     "op8_surrogates": surrogates.op8_surrogates,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_embeddings": embeddings.ORACLE_SQL,
+    "op2_decontamination": decontamination.ORACLE_SQL,
 }
