@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from threatsieve.llm import decontamination, embeddings, html, simhash, surrogates
+from threatsieve.llm import decontamination, embeddings, html, quality, simhash, surrogates
 
 QUERIES = {
     "op1_embeddings": embeddings.op1_embeddings,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_simhash": simhash.op5_simhash,
     "op7_html": html.op7_html,
     "op8_surrogates": surrogates.op8_surrogates,
+    "op10_quality": quality.op10_quality,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_embeddings": embeddings.ORACLE_SQL,
