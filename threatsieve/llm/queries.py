@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from threatsieve.llm import decontamination, embeddings, html, quality, simhash, surrogates
+from threatsieve.llm import decontamination, embeddings, html, quality, records, simhash, surrogates
 
 QUERIES = {
     "op1_embeddings": embeddings.op1_embeddings,
     "op2_decontamination": decontamination.op2_decontamination,
     "op5_simhash": simhash.op5_simhash,
+    "op6_records": records.op6_records,
     "op7_html": html.op7_html,
     "op8_surrogates": surrogates.op8_surrogates,
     "op10_quality": quality.op10_quality,
