@@ -287,7 +287,7 @@ def with_surrogates(docs: DataFrame, key: bytes = DEFAULT_KEY, counts: bool = Fa
     chars_at = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
     shape = docs.schema
     if counts:
-        shape = docs.drop("n_entities", "kinds").schema.add("n_entities", "int").add("kinds", "string")
+        shape = docs.drop("n_entities", "kinds").schema.add("n_entities", "integer").add("kinds", "string")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
