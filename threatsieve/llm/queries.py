@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from threatsieve.llm import decontamination, embeddings, html, pieces, quality, records, simhash, surrogates
+from threatsieve.llm import decontamination, embeddings, html, pieces, quality, records, simhash, spans, surrogates
 
 QUERIES = {
     "op1_embeddings": embeddings.op1_embeddings,
     "op2_decontamination": decontamination.op2_decontamination,
     "op3_sentencepiece": pieces.op3_sentencepiece,
+    "op4_spans": spans.op4_spans,
     "op5_simhash": simhash.op5_simhash,
     "op6_records": records.op6_records,
     "op7_html": html.op7_html,
