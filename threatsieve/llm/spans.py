@@ -1,8 +1,8 @@
 """Substring dedup by sliding sentence spans.
 
-A text is cut into units: sentences (ended by a mark and white space, or by a line's end), long ones into pieces of
-``PIECE`` words counted from the sentence's start, sentences of fewer than ``SHORT`` words joined to what follows. Every
-run of ``span`` consecutive units is hashed over its lower-cased words. Hashes are joined over all documents; units that
+A text is cut into units: sentences (ended by a mark and white space, or by a line's end), cut also before one
+word in ``PIECE`` chosen by its hash (so equal passages are cut alike wherever their first sentence began), and those of
+fewer than ``SHORT`` words joined to what follows. Every run of ``span`` consecutive units is hashed over its lower-cased words. Hashes are joined over all documents; units that
 any occurrence of a repeated run covers, but its first, are removed. First is the smallest document id, then the place.
 
 Defined results: a null text stays null, an empty one empty; texts with fewer units than a run stay as they are; the first occurrence
@@ -24,28 +24,45 @@ from pyspark.sql import functions as F
 from threatsieve.llm.shared import batch_of, texts_of
 
 SPAN = 3
-PIECE = 10
+PIECE = 8
 SHORT = 4
+CACHED = 200_000
 NO_ID = -(1 << 63)
 _END = re.compile(r"[.!?…]+[\"'”’»)\]]*\s+|\n\s*")
 _WORD = re.compile(r"\S+")
 
 
+class _Cuts(dict):
+    """Whether a unit may begin at a word: for one word in ``PIECE``, by its hash. Kept up to ``CACHED`` words."""
+
+    def __missing__(self, word: str) -> bool:
+        cut = xxhash.xxh64_intdigest(word) % PIECE == 0
+        if len(self) < CACHED:
+            self[word] = cut
+        return cut
+
+
+_cuts = _Cuts()
+
+
 def units(text: str) -> list[tuple[int, int, str]]:
     """``start, end, words`` of every unit; together they cover the whole text."""
     out: list[tuple[int, int, str]] = []
     start = at = 0
-    held: list[str] = []  # words of short sentences that wait for what follows
+    held: list[str] = []  # words of the unit that is not closed yet
     for end in [*(m.end() for m in _END.finditer(text)), len(text)]:
         if end == at:
             continue
         words = text[at:end].lower().split()
-        if len(words) >= PIECE + SHORT:
-            places = [m.start() for m in _WORD.finditer(text, at, end)]
-            for cut in range(PIECE, len(words) - SHORT + 1, PIECE):
-                out.append((start, places[cut], " ".join([*held, *words[cut - PIECE : cut]])))
-                start, held = places[cut], []
-            words = words[cut:]
+        if len(words) >= 2 * SHORT:
+            marks = [k for k, word in enumerate(words) if _cuts[word]]
+            places = [m.start() for m in _WORD.finditer(text, at, end)] if marks else []
+            last = 0
+            for k in marks:
+                if len(held) + k - last >= SHORT and len(words) - k >= SHORT:
+                    out.append((start, places[k], " ".join([*held, *words[last:k]])))
+                    start, last, held = places[k], k, []
+            words = words[last:]
         at = end
         held += words
         if len(held) >= SHORT:
