@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from threatsieve.llm import decontamination, embeddings, html, pieces, quality, records, simhash, spans, surrogates
+from threatsieve.llm import decontamination, embeddings, html, pieces, quality, records, simhash, spans, suffixes, surrogates
 
 QUERIES = {
     "op1_embeddings": embeddings.op1_embeddings,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_records": records.op6_records,
     "op7_html": html.op7_html,
     "op8_surrogates": surrogates.op8_surrogates,
+    "op9_suffixes": suffixes.op9_suffixes,
     "op10_quality": quality.op10_quality,
 }
 ORACLE_SQL: dict[str, str] = {
