@@ -220,11 +220,15 @@ def decoded(encoded: DataFrame, model_file: str | None = None) -> DataFrame:
     return kept.mapInArrow(run, kept.schema.add("text", "string"))
 
 
-def summary(docs: DataFrame, model_file: str | None = None, n_best: int = 3) -> DataFrame:
-    """Per row: size, checksum and score of the best segmentation, the N best scores, and whether all N decode to the text."""
+def summary(docs: DataFrame, model_file: str | None = None, n_best: int = 3, with_ids: bool = False) -> DataFrame:
+    """Per row: size and checksum of the best segmentation, the N best scores, and whether all N decode to the text.
+
+    ``with_ids`` adds the best one's ``ids``.
+    """
     path = model_file or default_model()
     schema = pa.schema([
         ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64()), ("scores", pa.list_(pa.float64())), ("decodes", pa.bool_()),
+        *([("ids", pa.list_(pa.int32()))] if with_ids else []),
     ])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,12 +240,13 @@ def summary(docs: DataFrame, model_file: str | None = None, n_best: int = 3) ->
                 found = coder.encode(text)
                 best = found[0][1]
                 same = all(coder.decode(ids.tolist()) == text for _, ids in found)
-                rows.append((len(best), zlib.crc32(best.astype("<u4").tobytes()), [s for s, _ in found], same))
-            sizes, sums, scores, same = zip(*rows, strict=True) if rows else ((), (), (), ())
-            yield batch_of(schema, doc_id=batch["doc_id"], n_tokens=sizes, ids_crc32=sums, scores=scores, decodes=same)
+                rows.append((len(best), zlib.crc32(best.astype("<u4").tobytes()), [s for s, _ in found], same, best))
+            sizes, sums, scores, same, ids = zip(*rows, strict=True) if rows else ((), (), (), (), ())
+            yield batch_of(schema, doc_id=batch["doc_id"], n_tokens=sizes, ids_crc32=sums, scores=scores, decodes=same, ids=ids)
 
     columns = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return columns.mapInArrow(run, "doc_id long, n_tokens long, ids_crc32 long, scores array<double>, decodes boolean")
+    shape = "doc_id long, n_tokens long, ids_crc32 long, scores array<double>, decodes boolean"
+    return columns.mapInArrow(run, shape + ", ids array<int>" * with_ids)
 
 
 def op3_sentencepiece(spark, sf_dir: str) -> DataFrame:

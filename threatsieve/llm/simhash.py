@@ -51,16 +51,18 @@ def fingerprint(text: bytes, words_per_shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, words_per_shingle: int = 3) -> DataFrame:
-    """``doc_id, fp`` of every row; ``fp`` holds the 64 bits as a signed long."""
+    """``doc_id, text_hash, fp`` of every row; ``fp`` holds the 64 bits as a signed long."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [fingerprint(t, words_per_shingle) for t in texts_of(batch["text"])]
             signed = np.array(found, np.uint64).view(np.int64)
-            yield pa.record_batch([batch["doc_id"].cast(pa.int64()), pa.array(signed)], ["doc_id", "fp"])
+            columns = [batch["doc_id"], batch["text_hash"], pa.array(signed)]
+            yield pa.record_batch(columns, ["doc_id", "text_hash", "fp"])
 
-    columns = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return columns.mapInArrow(run, "doc_id long, fp long")
+    text = F.col("text").cast("string")
+    columns = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    return columns.mapInArrow(run, "doc_id long, text_hash long, fp long")
 
 
 def bits_of(values: np.ndarray) -> np.ndarray:
@@ -217,20 +219,41 @@ def links(distinct: DataFrame, distance: int = 3, partitions: int = PARTITIONS)
     return met.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(verify, "a long, b long")
 
 
+def _grouped(
+    docs: DataFrame, distance: int, words_per_shingle: int, partitions: int
+) -> tuple[DataFrame, DataFrame]:
+    """The fingerprint of every row, and ``fp, component`` of every fingerprint."""
+    marked = stored(fingerprints(docs, words_per_shingle))
+    distinct = stored(marked.select("fp").distinct())
+    of_fp = components(links(distinct, distance, partitions)).withColumnRenamed("node", "fp")
+    member = distinct.join(of_fp, "fp", "left")
+    return marked, stored(member.select("fp", F.coalesce("component", "fp").alias("component")))
+
+
 def near_duplicates(
     docs: DataFrame, distance: int = 3, words_per_shingle: int = 3, partitions: int = PARTITIONS
 ) -> DataFrame:
     """``doc_id, fp, component_id`` of every row of ``docs``."""
-    marked = stored(fingerprints(docs, words_per_shingle))
-    distinct = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    of_fp = components(links(distinct, distance, partitions)).withColumnRenamed("node", "fp")
-    member = distinct.join(of_fp, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    member = stored(member)
-    ids = member.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    marked, member = _grouped(docs, distance, words_per_shingle, partitions)
+    first = marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    ids = first.join(member, "fp").groupBy("component").agg(F.min("first_id").alias("component_id"))
     named = member.join(ids, "component").select("fp", "component_id")
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def one_per_group(
+    docs: DataFrame, distance: int = 3, words_per_shingle: int = 3, partitions: int = PARTITIONS
+) -> DataFrame:
+    """One row of each group of near copies, with all its columns: the smallest id's, null last; equal rows are one."""
+    marked, member = _grouped(docs, distance, words_per_shingle, partitions)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
+    chosen = marked.groupBy("fp").agg(first).join(member, "fp").groupBy("component").agg(F.min("first").alias("first"))
+    chosen = chosen.select(F.col("first.doc_id").alias("_chosen"), F.col("first.text_hash").alias("_chosen_hash"))
+    rows = docs.withColumn("_text_hash", F.xxhash64(F.col("text").cast("string")))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_chosen")) & (F.col("_text_hash") == F.col("_chosen_hash"))
+    return rows.join(chosen, same).dropDuplicates(["_chosen", "_chosen_hash"]).select(*docs.columns)
+
+
 def op5_simhash(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
