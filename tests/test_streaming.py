@@ -108,6 +108,22 @@ def test_batches_without_hits_write_nothing(spark, models, tmp_path):
     assert (row.input_count, row.bad_count, row.suffix_count, row.output_count) == (2, 1, 0, 0)
 
 
+def test_a_batch_run_again_without_bad_lines_leaves_none(spark, models, tmp_path):
+    scorer = make(models, tmp_path, bad_lines=str(tmp_path / "bad"))
+
+    def batch(values):
+        frame = spark.createDataFrame([(v,) for v in values], "value string")
+        scorer.run_batch(scorer.prepare(frame), "q-1")
+
+    batch(["1|x|http://a.com/page", "2|x"])
+    day = st.read_metrics(spark, str(tmp_path / "metrics")).first().day
+    assert result_lines(spark, str(tmp_path / "bad")) == ["2|x"]
+    batch(["1|x|http://a.com/page"])
+    assert not (tmp_path / "bad" / day / "batch=q-1").exists()
+    assert st.read_metrics(spark, str(tmp_path / "metrics"), day).first().bad_count == 0
+    assert (tmp_path / "metrics" / f"day={day}" / "batch=q-1").is_dir()
+
+
 def test_one_pass_fusion_equals_the_join(spark, models):
     urls = [
         "a.com/x.apk", "a.com/x.apk", "http://a.com/x.apk", "http://a.com/x.apk", "http://a.com/x.apk",

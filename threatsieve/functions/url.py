@@ -180,7 +180,7 @@ def lexical_columns(
         utf16_length(url).alias("urllen"),
         term_count.alias("longTermCount"),
         F.substring_index(labels, ".", -1)
-        .isin(list(tlds) if tlds is not None else C.known_tlds())
+        .isin(list(C.KNOWN_TLDS if tlds is None else tlds))
         .alias("isDing"),
         ends_with_any(url, C.SENSITIVE_SUFFIXES).alias("is_Prefix_sensitive"),
         file.rlike(C.CHINESE_PATTERN).alias("ishaschn"),

@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 
 from threatsieve.operators import report
 from threatsieve.operators.lists import list_union
-from threatsieve.session import build_session
+from threatsieve.session import build_session, session_now
 from threatsieve.sinks.text import merge_small_files, write_report
 from threatsieve.sources.lines import read_lines, read_url_list
 
@@ -34,7 +34,7 @@ def run_report(
     The lines are read and joined to the lists once; counts and report share that result.
     ``merge_to`` first copies the day's small files into few there and reads those.
     """
-    now = now or datetime.now()
+    now = now or session_now(spark)
     if merge_to:
         source_of_lines = f"{merge_to.rstrip('/')}/merge-{now:%Y%m%d%H%M%S}"
         merge_small_files(spark, source, source_of_lines)
@@ -61,11 +61,12 @@ def main() -> None:
     parser.add_argument("--white", required=True, help="text file, one URL per line")
     parser.add_argument("--black", required=True, help="text file, one URL per line")
     parser.add_argument("--limit", type=int, required=True, help="most URLs in the report")
+    parser.add_argument("--timezone", default="UTC", help="the zone that days are counted in")
     parser.add_argument("--name", default="malicious_urls", help="file name after the day")
     parser.add_argument("--merge-to", help="directory for a merged copy of the input")
     args = parser.parse_args()
     logging.basicConfig(level=logging.INFO)
-    spark = build_session("daily_report", args.master)
+    spark = build_session("daily_report", args.master, args.timezone)
     run_report(
         spark, args.input, args.output, args.white, args.black, args.limit,
         name=args.name, merge_to=args.merge_to,

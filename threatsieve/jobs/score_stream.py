@@ -19,7 +19,12 @@ def main() -> None:
     parser.add_argument("--topic")
     parser.add_argument("--group")
     parser.add_argument("--start", choices=("latest", "earliest"), default="latest")
-    parser.add_argument("--rate", type=int, help="most records per Kafka partition and second")
+    parser.add_argument(
+        "--rate", type=int, default=100_000,
+        help="most records per Kafka partition and second (0: no ceiling)",
+    )
+    parser.add_argument("--files", type=int, help="most files per batch of --lines")
+    parser.add_argument("--timezone", default="UTC", help="the zone that days are counted in")
     parser.add_argument("--partitions", type=int, default=1, help="partitions of the topic")
     parser.add_argument("--lines", help="directory of text files instead of Kafka")
     parser.add_argument("--url-index", type=int, required=True)
@@ -36,9 +41,9 @@ def main() -> None:
     args = parser.parse_args()
     if bool(args.lines) == bool(args.servers and args.topic):
         parser.error("give either --lines or --servers and --topic")
-    spark = build_session("score_stream", args.master)
+    spark = build_session("score_stream", args.master, args.timezone)
     if args.lines:
-        lines = stream_lines(spark, args.lines)
+        lines = stream_lines(spark, args.lines, args.files)
     else:
         options = kafka_options(
             args.servers, args.topic, args.group, args.start, args.rate, args.seconds, args.partitions

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from threatsieve.functions import constants as C
 from threatsieve.functions.stamps import READABLE, province, run_time, stamp
 from threatsieve.functions.url import url_parts
-from threatsieve.operators.filters import is_package, package_suffix
-from threatsieve.operators.lists import exclude_listed, flag_listed
+from threatsieve.operators.filters import is_package
+from threatsieve.operators.lists import flag_listed
 from threatsieve.operators.weights import COPIES, once_per_row, weigh
 from threatsieve.sources.lines import first_field
 
@@ -21,12 +21,6 @@ def dedup_urls(lines: DataFrame) -> DataFrame:
     return first_field(lines).distinct()
 
 
-def report_urls(lines: DataFrame, listed: DataFrame) -> DataFrame:
-    """Distinct package URLs on no list. The cheap suffix test goes before both shuffles."""
-    packages = weigh(package_suffix(first_field(lines)), "url")
-    return once_per_row(exclude_listed(packages, listed)).select("url")
-
-
 def flagged_urls(lines: DataFrame, listed: DataFrame) -> DataFrame:
     """Distinct URLs with their line count and whether they are listed: the whole funnel's input."""
     return flag_listed(weigh(first_field(lines), "url"), listed)
@@ -37,8 +31,8 @@ def _in_result() -> Column:
 
 
 def result_urls(flagged: DataFrame) -> DataFrame:
-    """The URLs that ``report_urls`` gives, out of ``flagged_urls``."""
-    return flagged.where(_in_result()).select("url")
+    """Distinct package URLs on no list, out of ``flagged_urls``."""
+    return once_per_row(flagged).where(_in_result()).select("url")
 
 
 def funnel_counts(flagged: DataFrame) -> DataFrame:

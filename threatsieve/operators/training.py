@@ -7,13 +7,14 @@ output columns (``predictions`` and, for naive Bayes, ``myProbability``).
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, NaiveBayes
-from pyspark.ml.feature import CountVectorizer, HashingTF, RegexTokenizer, VectorAssembler
+from pyspark.ml.feature import CountVectorizer, RegexTokenizer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +22,10 @@ from threatsieve.functions.tokens import token_text
 from threatsieve.functions.url import LEXICAL_FEATURES, lexical_features
 from threatsieve.operators.weights import COPIES, once_per_row, weigh
 
-MAX_VOCABULARY = 1 << 20
+# Most distinct labelled URLs a fit uses; what the driver holds of the vocabulary follows from it.
+MAX_LABELLED = 1_000_000
+ANY_VOCABULARY = 2**31 - 1
+log = logging.getLogger(__name__)
 
 
 def lexical_training(labelled: DataFrame) -> DataFrame:
@@ -36,6 +40,30 @@ def token_training(labelled: DataFrame) -> DataFrame:
     return rows.select("Url", "Word", F.col("label").cast("int").alias("label"))
 
 
+def bounded(counted: DataFrame, total: int, most: int) -> DataFrame:
+    """About ``most`` of ``total`` distinct URLs, never above it in practice: those with the smallest hashes.
+
+    A URL is in or out as a whole, and the same in every run. Below the bound nothing is left out.
+    """
+    if total <= most:
+        return counted
+    share = (most - 8 * most**0.5) / total
+    limit = F.lit(int(max(share, 0.0) * 2**62))
+    return counted.where(F.shiftrightunsigned(F.xxhash64("url"), 2) < limit)
+
+
+@contextmanager
+def _counted(labelled: DataFrame, max_labelled: int) -> Iterator[DataFrame]:
+    """Equal labelled rows as one weighted row, at most about ``max_labelled`` URLs; kept during the fit."""
+    rows = weigh(labelled, "url", "label").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        total = rows.select("url").distinct().count()
+        log.info("fitting on %d of %d distinct labelled URLs", min(total, max_labelled), total)
+        yield once_per_row(bounded(rows, total, max_labelled))
+    finally:
+        rows.unpersist()
+
+
 @contextmanager
 def _kept(rows: DataFrame) -> Iterator[DataFrame]:
     """Keep the training rows while a fit goes over them several times."""
@@ -46,41 +74,37 @@ def _kept(rows: DataFrame) -> Iterator[DataFrame]:
         rows.unpersist()
 
 
-def fit_gbdt(labelled: DataFrame, rounds: int = 20, depth: int = 5, seed: int = 7) -> PipelineModel:
+def fit_gbdt(
+    labelled: DataFrame, rounds: int = 20, depth: int = 5, seed: int = 7, max_labelled: int = MAX_LABELLED
+) -> PipelineModel:
     """Boosted trees on the lexical features; equal rows are fitted as one weighted row."""
     assembler = VectorAssembler(inputCols=list(LEXICAL_FEATURES), outputCol="features")
     trees = GBTClassifier(
         featuresCol="features", labelCol="label", predictionCol="predictions",
         weightCol=COPIES, maxIter=rounds, maxDepth=depth, seed=seed,
     )
-    counted = once_per_row(weigh(labelled, "url", "label"))
-    with _kept(lexical_features(counted, keep=["label", COPIES])) as rows:
-        return Pipeline(stages=[assembler, trees]).fit(rows)
+    with _counted(labelled, max_labelled) as counted:
+        with _kept(lexical_features(counted, keep=["label", COPIES])) as rows:
+            return Pipeline(stages=[assembler, trees]).fit(rows)
 
 
-def fit_bayes(labelled: DataFrame, max_vocabulary: int = MAX_VOCABULARY) -> PipelineModel:
+def fit_bayes(labelled: DataFrame, max_labelled: int = MAX_LABELLED) -> PipelineModel:
     """Multinomial naive Bayes on token counts; equal rows are fitted as one weighted row.
 
-    The vocabulary passes through the driver, so its size is measured first. Beyond
-    ``max_vocabulary`` tokens are hashed into that many places instead: all still count.
+    The vocabulary is every token of the rows used. It passes through the driver, and its sums through
+    one group per label; ``max_labelled`` bounds both.
     """
     tokenizer = RegexTokenizer(
         inputCol="Word", outputCol="tokens", pattern="/+", gaps=True, toLowercase=False
     )
-    with _kept(token_text(weigh(labelled, "url", "label"), keep=["label", COPIES])) as rows:
-        tokens = tokenizer.transform(rows).select(F.explode("tokens").alias("token"))
-        distinct = tokens.distinct().count()
-        if distinct <= max_vocabulary:
-            counts = CountVectorizer(
-                inputCol="tokens", outputCol="counts", vocabSize=max(distinct, 1)
-            )
-        else:
-            counts = HashingTF(inputCol="tokens", outputCol="counts", numFeatures=max_vocabulary)
-        bayes = NaiveBayes(
-            featuresCol="counts", labelCol="label", predictionCol="predictions",
-            probabilityCol="myProbability", weightCol=COPIES, smoothing=1.0,
-        )
-        return Pipeline(stages=[tokenizer, counts, bayes]).fit(rows)
+    counts = CountVectorizer(inputCol="tokens", outputCol="counts", vocabSize=ANY_VOCABULARY)
+    bayes = NaiveBayes(
+        featuresCol="counts", labelCol="label", predictionCol="predictions",
+        probabilityCol="myProbability", weightCol=COPIES, smoothing=1.0,
+    )
+    with _counted(labelled, max_labelled) as counted:
+        with _kept(token_text(counted, keep=["label", COPIES])) as rows:
+            return Pipeline(stages=[tokenizer, counts, bayes]).fit(rows)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -44,7 +44,7 @@ LABELLED = """
 labelled AS (
   SELECT event_id, url,
     CASE WHEN (event_id % 8 IN (0,4,5)) <> (event_id % 29 = 0) THEN 0 ELSE 1 END AS label
-  FROM hits WHERE event_id % 8 <> 6
+  FROM hits
 )"""
 
 VERDICTS = """
@@ -118,7 +118,7 @@ lexical AS (
     regexp_matches(url, '{C.IPV4_PATTERN}') AS "isIP",
     CAST(length(url) AS INTEGER) AS urllen,
     CAST({terms} AS INTEGER) AS "longTermCount",
-    split_part(hs, '.', -1) IN ({_quoted(C.known_tlds())}) AS "isDing",
+    split_part(hs, '.', -1) IN ({_quoted(C.KNOWN_TLDS)}) AS "isDing",
     {_ends_with('url', C.SENSITIVE_SUFFIXES)} AS "is_Prefix_sensitive",
     regexp_matches(ef, '{C.CHINESE_PATTERN}') AS ishaschn,
     CAST(length(ef) AS INTEGER) AS execfile_len,
@@ -143,6 +143,18 @@ def _with(*parts: str) -> str:
 
 
 DOWNLOAD = _ends_with("url", C.DOWNLOAD_SUFFIXES)
+RULE = '"is_Prefix_sensitive" AND ("isIP" OR port <> 80)'
+
+
+def _full(url: str) -> str:
+    return f"CASE WHEN instr({url}, '://') = 0 THEN 'http://' || {url} ELSE {url} END"
+
+
+MET = f"""
+met AS (
+  SELECT {_full('url')} AS url, count(*) AS copies, count(*) FILTER (instr(url, '://') > 0) AS own_copies
+  FROM (SELECT split_part(value, '|', {fx.URL_INDEX + 1}) AS url FROM hit_lines) WHERE {DOWNLOAD} GROUP BY ALL
+)"""
 
 REPORT_URLS = """
 report_urls AS (
@@ -163,7 +175,9 @@ report_rows AS (
 )"""
 
 # Multinomial naive Bayes with add-one smoothing, from token counts.
-BAYES = f"""
+def _bayes(scored: str) -> str:
+    """Scores of the URLs of ``scored`` (``url`` and counts), from the labelled rows."""
+    return f"""
 wd AS (SELECT url AS "Url", {_word('url')} AS "Word", label FROM labelled),
 t AS (
   SELECT label, tok FROM (SELECT label, unnest(string_split_regex("Word", '/+')) AS tok FROM wd)
@@ -181,7 +195,7 @@ th AS (
   FROM n CROSS JOIN (SELECT DISTINCT tok FROM t) voc CROSS JOIN v
   LEFT JOIN c ON c.label = n.label AND c.tok = voc.tok
 ),
-u AS (SELECT url, {_word('url')} AS "Word", count(*) AS copies FROM hits WHERE {DOWNLOAD} GROUP BY url),
+u AS (SELECT *, {_word('url')} AS "Word" FROM ({scored})),
 ut AS (
   SELECT url, tok FROM (SELECT url, unnest(string_split_regex("Word", '/+')) AS tok FROM u)
   WHERE tok <> ''
@@ -191,7 +205,7 @@ known AS (
   FROM ut JOIN th USING (tok) GROUP BY ut.url
 ),
 sc AS (
-  SELECT u.url, u.copies,
+  SELECT u.*,
     coalesce(s0, 0) + (SELECT pr FROM k WHERE label = 0) AS s0,
     coalesce(s1, 0) + (SELECT pr FROM k WHERE label = 1) AS s1
   FROM u LEFT JOIN known USING (url)
@@ -199,7 +213,7 @@ sc AS (
 
 
 def oracle_sql() -> dict[str, str]:
-    """SQL per query name; the tree model has none (fitting it is iterative)."""
+    """SQL per query name; the tree model's verdicts follow from the rule of the rows it was fitted on."""
     hit_parts = "(SELECT event_id, url AS raw FROM hits) h"
     lexical_hits = (HITS, _parts(hit_parts, True, "event_id"))
     training = "(SELECT label, url AS raw FROM labelled) l"
@@ -226,9 +240,23 @@ FROM parts""",
         + f"SELECT {_LEXICAL_COLUMNS}, label FROM lexical",
         "train_tokens": _with(HITS, LABELLED)
         + f'SELECT url AS "Url", {_word("url")} AS "Word", label FROM labelled',
-        "bayes_score": _with(HITS, LABELLED, BAYES)
+        "bayes_score": _with(HITS, LABELLED, _bayes(f"SELECT url, count(*) AS copies FROM hits WHERE {DOWNLOAD} GROUP BY url"))
         + """SELECT url AS "url_Bayes", round(1 / (1 + exp(s1 - s0)), 6) AS "prob_Bayes", copies
 FROM sc WHERE s0 >= s1""",
+        "gbdt_score": _with(
+            HITS,
+            f"weighed AS (SELECT url AS raw, count(*) AS copies FROM hits WHERE {DOWNLOAD} GROUP BY url)",
+            _parts("weighed", True, "copies"), _lexical("copies"),
+        )
+        + f"""SELECT "Url" AS "url_GBDT", CAST(0.58 AS DOUBLE) AS "prob_GBDT", CAST(copies AS VARCHAR) AS copies
+FROM lexical WHERE {RULE}""",
+        "score_lines": _with(
+            HITS, HIT_LINES, LABELLED, MET, _parts("(SELECT url AS raw FROM met)", False, "raw"),
+            _lexical("raw"), _bayes("SELECT * FROM met"),
+        )
+        + f"""SELECT sc.url, CAST(0.58 AS DOUBLE) AS "prob_GBDT", round(1 / (1 + exp(s1 - s0)), 6) AS "prob_Bayes",
+  CAST(copies::HUGEINT * own_copies AS VARCHAR) AS copies
+FROM sc JOIN lexical ON lexical.raw = sc.url WHERE s0 >= s1 AND own_copies > 0 AND {RULE}""",
         "fusion_join": _with(HITS, VERDICTS, FUSED)
         + 'SELECT batch, url, "prob_GBDT", "prob_Bayes", copies FROM counted',
         "fusion_normalized": _with(HITS, VERDICTS)
@@ -247,8 +275,8 @@ FROM counted""",
         "exclude_listed": _with(HITS, LISTS)
         + "SELECT DISTINCT url FROM hits WHERE url NOT IN (SELECT url FROM listed)",
         "stream_whitelist": _with(HITS, LISTS)
-        + f"""SELECT url, count(*) AS copies FROM hits
-WHERE {DOWNLOAD} AND url NOT IN (SELECT url FROM white) GROUP BY url""",
+        + f"""SELECT {_full('url')} AS url, count(*) AS copies, count(*) FILTER (instr(url, '://') > 0) AS own_copies
+FROM hits WHERE {DOWNLOAD} AND {_full('url')} NOT IN (SELECT {_full('url')} FROM white) GROUP BY ALL""",
         "package_urls": _with(HITS) + "SELECT DISTINCT url FROM hits WHERE ends_with(url, '.apk')",
         "funnel_counts": _with(HITS, LISTS)
         + """, distinct_urls AS (

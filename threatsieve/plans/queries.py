@@ -16,17 +16,20 @@ from threatsieve.plans import fixtures as fx
 from threatsieve.sinks.text import verdict_lines
 from threatsieve.sources import lines as src
 
-GBDT_ROUNDS = 10
 _MODELS: dict[tuple[str, str], scoring.Models] = {}
 
 
 def models_for(spark: SparkSession, sf_dir: str) -> scoring.Models:
-    """Both models fitted on the labelled rows, once per application and data set."""
+    """Both models, once per application and data set.
+
+    The trees are fitted on rows labelled by a rule, so that SQL can state their verdicts; naive Bayes
+    on the noisy rows, as SQL can state its probabilities.
+    """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MODELS:
-        labelled = fx.labelled(fx.hits(spark, sf_dir))
+        hits = fx.hits(spark, sf_dir)
         _MODELS[key] = scoring.Models(
-            training.fit_gbdt(labelled, rounds=GBDT_ROUNDS), training.fit_bayes(labelled)
+            training.fit_gbdt(fx.ruled(hits)), training.fit_bayes(fx.labelled(hits))
         )
     return _MODELS[key]
 
@@ -99,7 +102,8 @@ def gbdt_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def score_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = fx.hit_lines(fx.hits(spark, sf_dir))
-    return _plain(scoring.score_lines(lines, fx.URL_INDEX, models_for(spark, sf_dir)))
+    rows = _plain(scoring.score_lines(lines, fx.URL_INDEX, models_for(spark, sf_dir)))
+    return rows.withColumn("prob_Bayes", F.round("prob_Bayes", 6))
 
 
 def _verdict_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -143,7 +147,9 @@ def exclude_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_whitelist(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = fx.hits(spark, sf_dir)
-    return lists.exclude_listed(_downloads(hits), fx.white(hits))
+    urls = fusion.meeting_counts(hits.select("url")).where("download").drop("download")
+    listed = fx.white(hits).select(with_default_scheme(F.col("url")).alias("url"))
+    return lists.flag_listed(urls, listed).where("NOT listed").drop("listed")
 
 
 def package_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,7 +169,7 @@ def daily_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _report_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = fx.hits(spark, sf_dir)
-    return report.report_urls(fx.result_lines(hits), _listed(hits))
+    return report.result_urls(report.flagged_urls(fx.result_lines(hits), _listed(hits)))
 
 
 def report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

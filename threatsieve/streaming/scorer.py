@@ -34,7 +34,7 @@ LINES_PER_FILE = 1_000_000
 class Scorer:
     """What one streaming query does with its batches.
 
-    Results go to ``output/yyyyMMdd/batch=<name>`` and stage counts to ``metrics/batch=<name>``,
+    Results go to ``output/yyyyMMdd/batch=<name>`` and stage counts to ``metrics/day=yyyyMMdd/batch=<name>``,
     both overwritten when a batch is run again. ``repeat`` writes a line as often as the join of
     both verdict sides has it; otherwise a batch has every URL once. ``bad_lines`` is where lines
     without a URL go; without it they are only counted.
@@ -79,11 +79,14 @@ class Scorer:
             total(F.col("bayes_flag") & ~F.col("listed")).alias("bayes_count"),
         )
         output = fused.agg(total().alias("output_count"), F.count("*").alias("verdict_count"))
-        return {k: v for part in (lines, flags, output) for k, v in part.first().asDict().items()}
+        parts = lines.unionByName(flags, True).unionByName(output, True)
+        return parts.agg(*[F.max(c).alias(c) for c in parts.columns]).first().asDict()
 
     def run_batch(self, batch: DataFrame, name: str) -> None:
         """Score one batch: shuffle once, score every distinct URL once, write what both flag."""
         spark = batch.sparkSession
+        if self.bad_lines:  # they are written from the same read of the source
+            batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         distinct = self.distinct_urls(batch).persist(StorageLevel.MEMORY_AND_DISK)
         urls = distinct.where("download").select("url", COPIES, OWN_COPIES)
         if self.whitelist is None:
@@ -101,16 +104,21 @@ class Scorer:
                 if self.repeat:
                     lines = unweigh(fused)
                 else:
-                    lines = fused.drop(COPIES).coalesce(1 + counts["verdict_count"] // LINES_PER_FILE)
+                    # Only the verdicts are redistributed; the filter that finds them runs in all tasks.
+                    lines = fused.drop(COPIES).repartition(1 + counts["verdict_count"] // LINES_PER_FILE)
                 write_batch_text(lines, self.output, counts["day"], name)
             else:
                 drop_batch_text(spark, self.output, counts["day"], name)
             if self.bad_lines and counts["bad_count"] > 0:
                 bad = batch.where("url IS NULL OR url = ''").select("value")
                 write_batch_text(bad, self.bad_lines, counts["day"], name)
+            elif self.bad_lines:
+                drop_batch_text(spark, self.bad_lines, counts["day"], name)
             row = spark.createDataFrame([counts], METRICS_SCHEMA)
-            row.coalesce(1).write.mode("overwrite").json(f"{self.metrics}/batch={name}")
+            row.coalesce(1).write.mode("overwrite").json(f"{self.metrics}/day={counts['day']}/batch={name}")
         finally:
+            if self.bad_lines:
+                batch.unpersist()
             scored.unpersist()
             distinct.unpersist()
 
@@ -148,9 +156,10 @@ def build_query(
     return query
 
 
-def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """The stage counts of all batches."""
-    return spark.read.schema(METRICS_SCHEMA).option("recursiveFileLookup", True).json(path)
+def read_metrics(spark: SparkSession, path: str, day: str | None = None) -> DataFrame:
+    """The stage counts of all batches, or of those of one day."""
+    folder = f"{path}/day={day}" if day else path
+    return spark.read.schema(METRICS_SCHEMA).option("recursiveFileLookup", True).json(folder)
 
 
 def probe_query(lines: DataFrame, index: int, rows: int = 10, seconds: int = 5) -> StreamingQuery:
