@@ -15,6 +15,8 @@ empty tables give an empty result (and ``drop_contaminated`` the documents as th
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +24,9 @@ MASKS = ("111011", "11111", "11010011")
 # Items shorter than this must match whole.
 SHORT = 10
 LEAST = 5
+# The first two masks do where all items have this many words; the third is for items of 10 to 14.
+BRIEF = 15
+LONG_MASKS = (0, 1)
 # The benchmark's side is sent to all tasks up to this many seeds, and shuffled beyond.
 BROADCAST_SEEDS = 1_000_000
 
@@ -32,54 +37,63 @@ def words_of(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def seeds_at(words: Column, at: Column) -> list[Column]:
+def seeds_at(words: Column, at: Column, masks: Sequence[int]) -> list[Column]:
     """One hash per mask of the words from place ``at`` on; null where a mask runs over the end."""
     found = []
-    for number, mask in enumerate(MASKS):
-        picked = [F.get(words, at + F.lit(k)) for k, bit in enumerate(mask) if bit == "1"]
+    for number in masks:
+        picked = [F.get(words, at + F.lit(k)) for k, bit in enumerate(MASKS[number]) if bit == "1"]
         found.append(F.when(picked[-1].isNotNull(), F.xxhash64(F.lit(number), *picked)))
     return found
 
 
-def _seeded(table: DataFrame, words: str, at: str, *carried: str) -> DataFrame:
+def _seeded(table: DataFrame, words: str, at: str, masks: Sequence[int], *carried: str) -> DataFrame:
     """A row per place and mask of ``table``'s word lists, with its seed."""
     # The outer form keeps Spark from testing the list's size below, which would make the list twice.
     places = table.select(*carried, words, F.posexplode_outer(words).alias(at, "_word"))
-    seeds = F.explode(F.array(*seeds_at(F.col(words), F.col(at)))).alias("seed")
+    seeds = F.explode(F.array(*seeds_at(F.col(words), F.col(at), masks))).alias("seed")
     return places.select(*carried, words, at, seeds).where("seed IS NOT NULL")
 
 
-def _best_window(doc: Column, item: Column, doc_at: Column, item_at: Column, window: int) -> Column:
-    """Most equal words in a run of ``window`` item words around a hit."""
-    size = F.size(item)
-    run = F.least(size, F.lit(window))
-    low = F.greatest(item_at - run, F.lit(0))
-    high = F.least(item_at + run + F.lit(max(map(len, MASKS))), size)
+def _most_equal(run: Column, needed: Column) -> Column:
+    """Most equal words in ``run`` consecutive places of ``near_item``; worked out where all together suffice."""
     equal = F.transform(
-        F.sequence(low, high - 1),
-        lambda i: F.when(F.get(doc, i + doc_at - item_at) == F.get(item, i), 1).otherwise(0),
-    )
-    sums = F.transform(
-        F.sequence(F.lit(1), high - low - run + 1),
-        lambda s: F.aggregate(F.slice(equal, s, run), F.lit(0), lambda a, x: a + x),
+        F.col("near_item"),
+        lambda word, i: F.when(F.get(F.col("near_doc"), i - F.col("lead")) == word, 1).otherwise(0),
     )
-    return F.array_max(sums)
+    total = F.aggregate(equal, F.lit(0), lambda a, x: a + x)
+    starts = F.sequence(F.lit(1), F.greatest(F.size("near_item") - run + 1, F.lit(1)))
+    sums = F.transform(starts, lambda s: F.aggregate(F.slice(equal, s, run), F.lit(0), lambda a, x: a + x))
+    return F.when(total >= needed, F.array_max(sums))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = 20, similarity: float = 0.8) -> DataFrame:
     """``doc_id, item_id, matched`` of every contaminated document: most equal words in a run."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), words_of(F.col("text").cast("string")).alias("item"))
-    items = items.where(F.size("item") >= LEAST).distinct()
-    seeds = _seeded(items, "item", "item_at", "item_id")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words_of(F.col("text").cast("string")).alias("doc"))
-    rows = _seeded(texts, "doc", "doc_at", "doc_id")
+    words = words_of(F.col("text").cast("string"))
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), words.alias("item")).where(F.size("item") >= LEAST)
+    items = items.withColumn("item_key", F.xxhash64("item")).distinct()
+    masks = LONG_MASKS if items.where(F.size("item") < BRIEF).isEmpty() else range(len(MASKS))
+    seeds = _seeded(items, "item", "item_at", masks, "item_id", "item_key")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words.alias("doc")).withColumn("doc_key", F.xxhash64("doc"))
+    rows = _seeded(texts, "doc", "doc_at", masks, "doc_id", "doc_key")
     if seeds.limit(BROADCAST_SEEDS + 1).count() <= BROADCAST_SEEDS:
         seeds = F.broadcast(seeds)
-    hits = rows.join(seeds, "seed")
-    best = _best_window(F.col("doc"), F.col("item"), F.col("doc_at"), F.col("item_at"), window)
-    run = F.least(F.size("item"), F.lit(window))
-    allowed = F.when(F.size("item") < SHORT, 0).otherwise(F.floor(run * F.lit(1 - similarity) + F.lit(1e-9)))
-    checked = hits.select("doc_id", "item_id", best.alias("matched"), (run - allowed).alias("needed"))
+    # Hits on one diagonal are one up to a piece of the item. What surrounds them is cut out of the lists as
+    # soon as they meet, so that a row holds few words however long its text is.
+    shift, piece = F.col("doc_at") - F.col("item_at"), F.floor(F.col("item_at") / window).cast("int")
+    low = F.greatest((piece - 1) * window, F.lit(0))
+    size = window * 3 + max(map(len, MASKS))
+    begin = F.greatest(low + shift, F.lit(0))
+    hits = rows.join(seeds, "seed").select(
+        "doc_id", "doc_key", "item_id", "item_key", shift.alias("shift"), piece.alias("piece"),
+        F.size("item").alias("n"), F.slice("item", low + 1, F.lit(size)).alias("near_item"),
+        F.slice("doc", begin + 1, F.lit(size)).alias("near_doc"), (begin - low - shift).alias("lead"),
+    )
+    same = ["doc_id", "doc_key", "item_id", "item_key", "shift", "piece"]
+    hits = hits.groupBy(*same).agg(*[F.first(c).alias(c) for c in ("n", "near_item", "near_doc", "lead")])
+    run = F.least("n", F.lit(window))
+    allowed = F.when(F.col("n") < SHORT, 0).otherwise(F.floor(run * F.lit(1 - similarity) + F.lit(1e-9)))
+    checked = hits.withColumn("needed", (run - allowed).cast("int"))
+    checked = checked.select("doc_id", "item_id", "needed", _most_equal(run, F.col("needed")).alias("matched"))
     return checked.where("matched >= needed").groupBy("doc_id", "item_id").agg(F.max("matched").alias("matched"))
 
 
