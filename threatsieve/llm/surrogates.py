@@ -26,6 +26,7 @@ from collections.abc import Callable, Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 
@@ -287,7 +288,8 @@ def with_surrogates(docs: DataFrame, key: bytes = DEFAULT_KEY, counts: bool = Fa
     chars_at = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
     shape = docs.schema
     if counts:
-        shape = docs.drop("n_entities", "kinds").schema.add("n_entities", "integer").add("kinds", "string")
+        more = [T.StructField("n_entities", T.IntegerType()), T.StructField("kinds", T.StringType())]
+        shape = T.StructType([*docs.drop("n_entities", "kinds").schema.fields, *more])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
