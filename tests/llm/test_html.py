@@ -28,6 +28,7 @@ CASES = {
         f"<div class='cookie-notice'>{LONG}</div><p>{SHORT}</p><section class='comments'><p>{LONG}</p></section></article>",
         f"Title {LONG} {SHORT}",
     ),
+    "own head": (f"<div id='page-header'>Site</div><div class='story'><div class='entry-header'><h1>Title</h1></div><p>{LONG}</p><div class='entry-footer'>Filed, {LONG}</div></div>", f"Title {LONG}"),
     "references": ("<article><p>a &amp; b &lt;c&gt; &#233;&#x1F600; &nbsp;d &eacute; &copy;</p></article>", "a & b <c> é😀 d é ©"),
     "space": ("<article><p>one\n\t two<br>three <b>fo</b>ur</p><pre> a\n b </pre></article>", "one two three four a b"),
     "scripts": ("<article><script>if (a<b) document.write('<p>no</p>')</script><p>yes, it is.</p><style>no</style><!-- <p>no</p> --><noscript>no</noscript></article>", "yes, it is."),

@@ -53,6 +53,8 @@ _NAMES = re.compile(
     r"|comments?|commentlist|replies|reply|respond|disqus|discussion|reader[-_]?comments?|share|sharing|social|related|recommended|recommendations?|widgets?|tags|pagination|pager|skip[-_]?link|search|legal|copyright|disclaimer)(?=$|[-_\s\d])",
     re.I,
 )
+# The head of the article itself, which holds its title.
+_OWN_HEAD = re.compile(r"(?:article|post|entry|story|section|content)[-_]+header", re.I)
 # An opening tag of the first kind ends an open element of the second.
 _ENDS = {
     **dict.fromkeys(("address", "article", "aside", "blockquote", "div", "dl", "fieldset", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul"), {"p"}),
@@ -92,7 +94,7 @@ def _element(tag: str, attrs: str, above: Element | None) -> Element:
             if key in ("class", "id"):
                 if value and name == tag:
                     name = f"{tag}.{value.split()[0].lower()}" if value.split() else tag
-                if tag not in ("html", "body", "article", "main") and _NAMES.search(value):
+                if tag not in ("html", "body", "article", "main") and _NAMES.search(_OWN_HEAD.sub("", value)):
                     dropped = True
             elif key == "role":
                 dropped |= value.lower() in _ROLES
