@@ -29,11 +29,12 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from threatsieve.llm.shared import batch_of, texts_of
 
 SPACE = "▁"
-CACHED = 200_000
+CACHED = 500_000
 CACHED_LENGTH = 64
 _NEVER = -1e300
 _NONE = (0, (0.0, ()))
@@ -49,15 +50,20 @@ class Lattice:
         self.n_best = n_best
         self.names = [model.id_to_piece(i) for i in range(size)]
         plain = [i for i in range(size) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
-        self.scores = {self.names[i]: (model.get_score(i), (i,)) for i in plain}
-        self.scores = {p[:k]: None for p in self.scores for k in range(1, len(p))} | self.scores  # None: only begins one
-        self.longest = max(map(len, self.scores), default=1)
+        scores = {self.names[i]: (model.get_score(i), (i,)) for i in plain}
+        self.tree: dict[str, tuple[dict, tuple | None]] = {}  # by letter: what may follow, and the piece that ends here
+        for name in sorted(scores):
+            below = self.tree
+            for letter in name[:-1]:
+                below = below.setdefault(letter, ({}, None))[0]
+            below[name[-1]] = ({}, scores[name])
+        self.single = {name for name in scores if len(name) == 1}
         self.bytes = {int(self.names[i][3:5], 16): i for i in range(size) if model.is_byte(i)}
         self.byte_of = {i: b for b, i in self.bytes.items()}
         self.no_piece = model.unk_id()
-        self.unknown = min((x[0] for x in self.scores.values() if x), default=0.0) - unknown_penalty
-        crossing = any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.scores if self.scores[p])
-        newline = any("\n" in p for p in self.scores)
+        self.unknown = min((x[0] for x in scores.values()), default=0.0) - unknown_penalty
+        crossing = any(re.search(f"[^{SPACE}]{SPACE}", p) for p in scores)
+        newline = any("\n" in p for p in scores)
         parts = rf"{SPACE}*[^{SPACE}]+|{SPACE}+" if newline else rf"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n"
         self.split = (lambda text: [text]) if crossing else re.compile(parts).findall
         self.kept: dict[str, tuple[bytes, float, float]] = {}
@@ -67,19 +73,29 @@ class Lattice:
 
         ``edges``, if given, gets every piece that ends at each place.
         """
-        pieces, longest, n = self.scores, self.longest, len(part)
-        best, second, last = [_NEVER] * (n + 1), [_NEVER] * (n + 1), [_NONE] * (n + 1)
+        size = len(part)
+        best, second, last = [_NEVER] * (size + 1), [_NEVER] * (size + 1), [_NONE] * (size + 1)
         best[0] = 0.0
-        for start in range(n):
-            before, single = best[start], False
-            for end in range(start + 1, min(n, start + longest) + 1):
-                piece = pieces.get(part[start:end], False)
-                if piece is False:
+        for start in range(size):
+            before, end, below = best[start], start, self.tree
+            if part[start] not in self.single:
+                raw = part[start].encode("utf-8", "surrogatepass")
+                piece = (self.unknown, tuple(self.bytes.get(b, self.no_piece) for b in raw))
+                score = before + self.unknown
+                if score > best[start + 1]:
+                    second[start + 1], best[start + 1], last[start + 1] = best[start + 1], score, (start, piece)
+                elif score > second[start + 1]:
+                    second[start + 1] = score
+                if edges is not None:
+                    edges[start + 1].append((start, piece))
+            for letter in part[start:]:
+                node = below.get(letter)
+                if node is None:
                     break
+                end += 1
+                below, piece = node
                 if piece is None:
                     continue
-                if end == start + 1:
-                    single = True
                 score = before + piece[0]
                 if score > best[end]:
                     second[end], best[end], last[end] = best[end], score, (start, piece)
@@ -87,16 +103,6 @@ class Lattice:
                     second[end] = score
                 if edges is not None:
                     edges[end].append((start, piece))
-            if not single:
-                raw = part[start].encode("utf-8", "surrogatepass")
-                piece = (self.unknown, tuple(self.bytes.get(b, self.no_piece) for b in raw))
-                score, end = before + self.unknown, start + 1
-                if score > best[end]:
-                    second[end], best[end], last[end] = best[end], score, (start, piece)
-                elif score > second[end]:
-                    second[end] = score
-                if edges is not None:
-                    edges[end].append((start, piece))
         return best, last, second
 
     def search(self, part: str) -> list[Option]:
@@ -171,7 +177,7 @@ class Lattice:
     def decode(self, ids: Iterable[int]) -> str:
         """The text of a segmentation; bytes that are no UTF-8 are replaced."""
         raw = self._raw
-        text = b"".join([raw[i] for i in ids]).decode("utf-8", "replace").replace(SPACE, " ")
+        text = b"".join(map(raw.__getitem__, ids)).decode("utf-8", "replace").replace(SPACE, " ")
         return text[1:] if text.startswith(" ") else text
 
 
@@ -217,7 +223,7 @@ def decoded(encoded: DataFrame, model_file: str | None = None) -> DataFrame:
             yield pa.record_batch([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "text"])
 
     kept = encoded.drop("text")
-    return kept.mapInArrow(run, kept.schema.add("text", "string"))
+    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField("text", T.StringType())]))
 
 
 def summary(docs: DataFrame, model_file: str | None = None, n_best: int = 3, with_ids: bool = False) -> DataFrame:
