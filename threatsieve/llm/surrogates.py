@@ -58,9 +58,10 @@ _IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3
 _PHONE = re.compile(r"(?<![\w.+-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?)\d{2,4}(?:[ .-]?\d{2,4}){1,3}(?!\w)|(?<![\w.+-])\+\d{1,3}(?:[ .-]?\d{2,5}){2,5}(?!\w)|(?<![\w.+-])\d{3}[ .-]\d{3}[ .-]\d{4}(?!\w|-\d)")
 _SECRET = re.compile(
     r"(?i:\b(?:api[_-]?key|access[_-]?key|secret(?:[_-]?key)?|auth[_-]?token|token|passwd|password|pwd|bearer)\b[\"']?\s{0,3}[:=]?\s{0,3}[\"']?)"
-    r"(?P<value>(?=[A-Za-z0-9+/_-]*\d)[A-Za-z0-9+/_-]{8,})"
+    r"(?P<value>(?:(?<==)|(?<==[\"' ])|(?<== [\"'])|(?=[A-Za-z0-9+/_-]*\d))[A-Za-z0-9+/_-]{8,})"
     r"|(?<!\w)(?P<known>AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9_-]{16,}|xox[abprs]-[A-Za-z0-9-]{10,})(?!\w)"
 )
+_MARKS = ("=", "AKIA", "sk-", "xox", "ghp_", "gho_", "ghu_", "ghs_", "ghr_")
 _UP = r"[A-ZÀ-ÖØ-ÞΑ-ΩА-Я]"
 _NAME = rf"{_UP}[^\W\d_]+(?:[-'’]{_UP}?[^\W\d_]+)?"
 _TITLED = re.compile(rf"\b(?P<title>{'|'.join(sorted(TITLES, key=len, reverse=True))})\.?[ \u00a0](?P<name>{_NAME}(?: {_UP}\.)?(?: {_NAME})?)")
@@ -227,7 +228,7 @@ def entities(text: str) -> list[Entity]:
             taken.append((start, end))
 
     digit = re.search(r"\d", text) is not None
-    if digit:
+    if digit or any(mark in text for mark in _MARKS):
         for m in _SECRET.finditer(text):
             group = "value" if m["value"] else "known"
             add(m.start(group), m.end(group), "secret")
