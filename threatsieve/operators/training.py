@@ -25,6 +25,7 @@ from threatsieve.operators.weights import COPIES, once_per_row, weigh
 # Most distinct labelled URLs a fit uses; what the driver holds of the vocabulary follows from it.
 MAX_LABELLED = 1_000_000
 ANY_VOCABULARY = 2**31 - 1
+URLS_PER_TASK = 20_000
 log = logging.getLogger(__name__)
 
 
@@ -59,7 +60,9 @@ def _counted(labelled: DataFrame, max_labelled: int) -> Iterator[DataFrame]:
     try:
         total = rows.select("url").distinct().count()
         log.info("fitting on %d of %d distinct labelled URLs", min(total, max_labelled), total)
-        yield once_per_row(bounded(rows, total, max_labelled))
+        # The many small stages of a fit are as wide as its rows ask for, not as the session is.
+        tasks = 1 + min(total, max_labelled) // URLS_PER_TASK
+        yield once_per_row(bounded(rows, total, max_labelled)).coalesce(tasks)
     finally:
         rows.unpersist()
 
