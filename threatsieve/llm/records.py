@@ -37,7 +37,7 @@ from threatsieve.llm.shared import batch_of, shared_dir, texts_of
 MASK = 0xA282EAD8
 END_ID = 2
 NO_ID = -(1 << 63)
-CACHED = 250_000
+CACHED = 800_000
 CACHED_LENGTH = 48
 MISSES = 4096
 FLUSH = 4 << 20
@@ -78,32 +78,41 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.tokenizer.encode_special_tokens = True
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.kept: dict[str, bytes] = {}
+        self.kept: dict[str, bytes] = {}  # by word, with the space before it
+        self.heads: dict[str, bytes] = {}  # by piece, as it is
 
-    def pieces(self, text: str) -> list[str]:
+    def pieces(self, text: str) -> tuple[list[str], list[str]]:
+        """The pieces as they are, then the words that follow with one space before each."""
         if "  " in text:
-            return self._PIECES.findall(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + word for word in rest]]
+            return self._PIECES.findall(text), []
+        words = text.split(" ")
+        return words[:1], words[1:]
 
-    def look_up(self, missing: list[str]) -> dict[str, bytes]:
-        found = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-        return {piece: np.array(x.ids, self.kind).tobytes() for piece, x in zip(missing, found, strict=True)}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text; new words of all of them are looked up together."""
-        kept = self.kept
-        pieces = [self.pieces(text) for text in texts]
-        missing = list(dict.fromkeys(p for row in pieces for p in row if p not in kept))
+    def look_up(self, kept: dict[str, bytes], wanted: list[list[str]], before: str) -> dict[str, bytes]:
+        """The ids of the pieces that are not kept; some of them are from now on."""
+        missing = list(set().union(*wanted).difference(kept))
         fresh: dict[str, bytes] = {}
         for at in range(0, len(missing), MISSES):
-            fresh |= self.look_up(missing[at : at + MISSES])
-        room = CACHED - len(kept)
-        if room > 0 and fresh:
+            lot = missing[at : at + MISSES]
+            found = self.tokenizer.encode_batch_fast([before + piece for piece in lot], add_special_tokens=False)
+            fresh.update(zip(lot, [np.array(x.ids, self.kind).tobytes() for x in found], strict=True))
+        room = CACHED - len(self.kept) - len(self.heads)
+        if room > 0:
             kept.update([x for x in fresh.items() if len(x[0]) <= CACHED_LENGTH][:room])
-        if not fresh:
-            return [b"".join([kept[p] for p in row]) for row in pieces]
-        return [b"".join([kept[p] if p in kept else fresh[p] for p in row]) for row in pieces]
+        return fresh
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; new words of all of them are looked up together."""
+        rows = [self.pieces(text) for text in texts]
+        new_heads = self.look_up(self.heads, [heads for heads, _ in rows], "")
+        new_words = self.look_up(self.kept, [words for _, words in rows], " ")
+        head, word = self.heads.get, self.kept.get
+        out = []
+        for heads, words in rows:
+            ids = [x if (x := head(p)) is not None else new_heads[p] for p in heads]
+            ids += [x if (x := word(p)) is not None else new_words[p] for p in words]
+            out.append(b"".join(ids))
+        return out
 
 
 def default_tokenizer() -> str:
