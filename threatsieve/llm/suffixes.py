@@ -3,8 +3,8 @@
 1. Anchors. Every window of ``length`` bytes names as its anchor the place of the smallest hash among its strings of
    ``GRAM`` bytes (the first of equals). Equal windows have their anchor at the same offset, so a window whose anchor's
    hash occurs once in all texts is unique. Anchors are one place in about ``(length - GRAM) / 2``; only they are counted.
-2. Contexts. For anchors that occur again, the bytes of their windows are sent to the anchor's group; very large groups
-   are dealt over pairs of blocks. Contexts that are equal in a group settle each other and one stays.
+2. Contexts. For anchors that occur again, the bytes of their windows are hashed. Contexts that are equal settle each
+   other; one of each kind is sent to its anchor's group. Very large groups are dealt over pairs of blocks.
 3. Difference cover. Each task sorts the suffixes of its contexts: ranks the triples at places 1 and 2 modulo 3, names
    them, recurses on the names, sorts the rest by their first byte and the next rank, and merges. Windows that
    are neighbours in that order and equal in ``length`` bytes are repeated.
@@ -22,20 +22,22 @@ it is; texts shorter than ``length`` lose nothing; an empty table gives an empty
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threatsieve.llm.shared import batch_of, starts_of, stored, texts_of, whole_groups
+from threatsieve.llm.shared import batch_of, stored, texts_of, whole_groups
 
 LENGTH = 400
 GRAM = 100
 PIECE = 1 << 18
 SHARD = 1 << 20
-BLOCK_ROWS = 512
+BLOCK_ROWS = 2048
 _PLACE = np.uint64((1 << 24) - 1)
 _RANDOM = np.random.default_rng(9)
 _BYTES = _RANDOM.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -123,10 +125,14 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
         new = np.zeros(len(order) - 1, bool)
         for k in range(3):
             new |= s[sample[order[1:]] + k] != s[sample[order[:-1]] + k]
+    distinct = bool(new.all())
     names = np.empty(len(sample), np.int64)
     names[order] = np.concatenate([[1], 1 + np.cumsum(new)])
-    if not new.all():
+    del new
+    if not distinct:
+        key = None
         order = suffix_array(names)
+    del names
     rank = np.zeros(n + 3, np.int64)
     rank[sample[order]] = np.arange(1, len(order) + 1)
     sampled = sample[order]
@@ -201,23 +207,44 @@ def _anchors(rows: DataFrame, length: int, gram: int) -> DataFrame:
     return rows.select("k1", "k2", "text").mapInArrow(run, shape)
 
 
+def merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Runs of places, ``first, last``, that touch or overlap as one."""
+    out: list[tuple[int, int]] = []
+    for first, last in sorted(runs):
+        if out and first <= out[-1][1] + 1:
+            out[-1] = (out[-1][0], max(out[-1][1], last))
+        else:
+            out.append((first, last))
+    return out
+
+
 def _contexts(texts: DataFrame, length: int) -> DataFrame:
-    """The bytes of each listed anchor's windows, once for every pair of blocks of its group that it is in."""
+    """Per text a row for each kind of context: its anchor, offset, a hash of its bytes (``c1, c2``), once per batch the bytes.
+
+    Kinds that a text has more than once are settled at once: their windows are further rows, as runs with ``sure`` set.
+    """
     schema = pa.schema([
-        ("h", pa.int64()), ("block_a", pa.int32()), ("block_b", pa.int32()), ("k1", pa.int64()), ("k2", pa.int64()),
-        ("first", pa.int64()), ("offset", pa.int32()), ("bytes", pa.binary()),
+        *((c, pa.int64()) for c in ("h", "c1", "c2", "k1", "k2", "first", "last")), ("offset", pa.int32()), ("sure", pa.bool_()), ("bytes", pa.binary()),
     ])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            seen: set[tuple] = set()
             for k1, k2, raw, listed in zip(*(batch[c].to_pylist() for c in ("k1", "k2")), texts_of(batch["text"]), batch["listed"].to_pylist(), strict=True):
-                rows = [
-                    (x["h"], min(x["block"], o), max(x["block"], o), k1, k2, x["first"], x["place"] - x["first"], raw[x["first"] : x["last"] + length])
-                    for x in listed for o in range(x["blocks"])
-                ]
+                kinds: dict[tuple, list[tuple[int, int]]] = {}
+                for x in listed:
+                    c1, c2 = struct.unpack("<qq", xxhash.xxh3_128_digest(raw[x["first"] : x["last"] + length]))
+                    kinds.setdefault((x["h"], c1, c2, x["place"] - x["first"]), []).append((x["first"], x["last"]))
+                rows = []
+                for key, places in kinds.items():
+                    first, last = min(places)
+                    rows.append((*key[:3], k1, k2, first, last, key[3], False, None if key in seen else raw[first : last + length]))
+                    seen.add(key)
+                for first, last in merged([p for places in kinds.values() if len(places) > 1 for p in places]):
+                    rows.append((None, None, None, k1, k2, first, last, None, True, None))
                 yield batch_of(schema, **dict(zip(schema.names, zip(*rows, strict=True), strict=True)))
 
-    shape = "h long, block_a int, block_b int, k1 long, k2 long, first long, offset int, bytes binary"
+    shape = "h long, c1 long, c2 long, k1 long, k2 long, first long, last long, offset int, sure boolean, bytes binary"
     return texts.mapInArrow(run, shape)
 
 
@@ -234,40 +261,21 @@ def _shards(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
         yield pa.concat_tables(held)
 
 
-def repeated_in(shard: pa.Table, keys: list[str], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``row, first, last`` of the runs of repeated windows (by first byte) of the contexts of whole groups."""
-    group = np.zeros(shard.num_rows, np.int64)
-    group[starts_of(shard, keys)] = 1
-    group = group.cumsum()
-    contexts, offsets = shard["bytes"].to_pylist(), shard["offset"].to_numpy()
-    texts = list(zip(shard["k1"].to_pylist(), shard["k2"].to_pylist(), shard["first"].to_pylist(), strict=True))
-    kept: dict[tuple, list[int]] = {}
-    seen = set()
-    for row, context in enumerate(contexts):
-        own = (group[row], *texts[row])
-        if own not in seen:  # rows that repeat a text and its id send their contexts more than once
-            seen.add(own)
-            kept.setdefault((group[row], offsets[row], context), []).append(row)
-    flags = repeated_windows([key[2] for key in kept], length)
-    rows, firsts, lasts = [], [], []
-    for members, flag in zip(kept.values(), flags, strict=True):
-        a, b = (np.array([0]), np.array([len(flag) - 1])) if len(members) > 1 else runs_of(flag)
-        for row in members:
-            rows += [row] * len(a)
-            firsts += (a + texts[row][2]).tolist()
-            lasts += (b + texts[row][2]).tolist()
-    return np.array(rows, np.int64), np.array(firsts, np.int64), np.array(lasts, np.int64)
-
-
-def covered_spans(firsts: list[int], lasts: list[int], length: int) -> list[tuple[int, int]]:
-    """Maximal ``start, end`` runs of bytes under windows that begin in the given runs."""
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(zip(firsts, lasts, strict=True)):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], b + length))
-        else:
-            out.append((a, b + length))
-    return out
+def repeated_in(shard: pa.Table, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``row, first, last`` of the runs of repeated windows (by first byte) of the contexts of whole groups.
+
+    A context that is in several of the groups counts once.
+    """
+    texts = list(zip(*(shard[c].to_pylist() for c in ("k1", "k2", "first")), strict=True))
+    rows = list({text: row for row, text in enumerate(texts)}.values())
+    flags = repeated_windows(shard["bytes"].take(pa.array(rows)).to_pylist(), length)
+    at, firsts, lasts = [], [], []
+    for row, flag in zip(rows, flags, strict=True):
+        a, b = runs_of(flag)
+        at += [row] * len(a)
+        firsts += (a + texts[row][2]).tolist()
+        lasts += (b + texts[row][2]).tolist()
+    return np.array(at, np.int64), np.array(firsts, np.int64), np.array(lasts, np.int64)
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -278,25 +286,35 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     anchors = stored(_anchors(rows, length, gram))
     mark = F.xxhash64("k1", "k2", "first")
     again = anchors.groupBy("h").agg(F.min(mark).alias("low"), F.max(mark).alias("high")).where("low <> high").select("h")
-    met = anchors.join(again, "h").distinct()
-    counts = met.groupBy("h").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
-    met = met.join(counts, "h").withColumn("block", F.pmod(mark, F.col("blocks")).cast("int"))
-    item = F.struct("h", "place", "first", "last", "block", "blocks")
-    listed = stored(met.groupBy("k1", "k2").agg(F.collect_list(item).alias("listed")))  # as many as the text has anchors
-    chosen = stored(listed.join(texts, ["k1", "k2"]).select("k1", "k2", "chosen", "listed", "copies"))
+    item = F.struct("h", "place", "first", "last")
+    met = anchors.join(again, "h").groupBy("k1", "k2").agg(F.collect_set(item).alias("listed"))  # as many as the text has anchors
+    chosen = stored(met.join(texts, ["k1", "k2"]).select("k1", "k2", "chosen", "listed"))
     same = (F.col("r.k1") == F.col("c.k1")) & (F.col("r.k2") == F.col("c.k2")) & F.col("r.doc_id").eqNullSafe(F.col("c.chosen"))
     bodies = rows.alias("r").join(chosen.alias("c"), same).select("r.k1", "r.k2", "r.text", "c.listed")
+    found = stored(_contexts(bodies, length))
+    contexts, sure = found.where("NOT sure"), found.where("sure").select("k1", "k2", "first", "last")
+
+    # Equal contexts settle each other; of each kind one goes on, to be compared with the other kinds of its anchor.
+    kind = ["h", "offset", "c1", "c2"]
+    settled = contexts.groupBy(*kind).agg(F.min(mark).alias("low"), F.max(mark).alias("high")).where("low <> high").select(*kind)
+    whole = contexts.select(*kind, "k1", "k2", "first", "last").join(settled, kind).select("k1", "k2", "first", "last")
+    kinds = contexts.groupBy("h").agg(F.countDistinct("offset", "c1", "c2").alias("n")).where("n > 1")
+    member = F.first(F.struct("k1", "k2", "first", "bytes")).alias("one")
+    ones = contexts.where("bytes IS NOT NULL").groupBy(*kind).agg(member)
+    ones = ones.join(kinds.select("h", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks")), "h").select("h", "c1", "blocks", "one.*")
+    ones = ones.withColumn("block", F.pmod("c1", "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    pair = [F.least("block", "other").alias("block_a"), F.greatest("block", "other").alias("block_b")]
     keys = ["h", "block_a", "block_b"]
     cover = pa.schema([(c, pa.int64()) for c in ("k1", "k2", "first", "last")])
 
     def sort(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in _shards(batches, keys):
-            at, first, last = repeated_in(shard, keys, length)
+            at, first, last = repeated_in(shard, length)
             if len(at):
                 yield batch_of(cover, k1=shard["k1"].to_numpy()[at], k2=shard["k2"].to_numpy()[at], first=first, last=last)
 
-    grouped = _contexts(bodies, length).repartition(*keys).sortWithinPartitions(*keys)
-    found = grouped.mapInArrow(sort, "k1 long, k2 long, first long, last long")
+    grouped = ones.select("h", *pair, "k1", "k2", "first", "bytes").repartition(*keys).sortWithinPartitions(*keys)
+    found = grouped.mapInArrow(sort, "k1 long, k2 long, first long, last long").union(whole).union(sure)
     covered = stored(found.groupBy("k1", "k2").agg(F.collect_list("first").alias("firsts"), F.collect_list("last").alias("lasts")))
     once = covered.join(texts.where("copies = 1"), ["k1", "k2"]).select("k1", "k2", "chosen", "firsts", "lasts")
 
@@ -310,7 +328,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
         for batch in batches:
             removed, shas, spans = [], [], []
             for raw, firsts, lasts in zip(texts_of(batch["text"]), batch["firsts"].to_pylist(), batch["lasts"].to_pylist(), strict=True):
-                found = covered_spans(firsts, lasts, length)
+                windows = [(a, b + length - 1) for a, b in zip(firsts, lasts, strict=True)]
+                found = [(a, b + 1) for a, b in merged(windows)]
                 kept, at = hashlib.sha256(), 0
                 for a, b in found:
                     kept.update(raw[at:a])
@@ -324,15 +343,15 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     bodies = rows.alias("r").join(once.alias("c"), same).select("r.k1", "r.k2", "r.text", "c.firsts", "c.lasts")
     done = bodies.mapInArrow(cut, f"k1 long, k2 long, removed long, kept_sha string, cut {spans_type}").dropDuplicates(["k1", "k2"])
     out = light.join(texts.select("k1", "k2", "copies"), ["k1", "k2"]).join(done, ["k1", "k2"], "left")
-    whole = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
+    gone = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
     everything = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end")))
     return out.select(
         "doc_id",
         "n_bytes",
-        F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("removed", F.lit(0))).cast("long").alias("n_removed"),
-        F.when(whole, 1).otherwise(F.coalesce(F.size("cut"), F.lit(0))).cast("long").alias("n_spans"),
-        F.when(whole, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.coalesce("kept_sha", "sha")).alias("kept_sha256"),
-        F.when(whole, everything).otherwise(F.coalesce("cut", F.array().cast(spans_type))).alias("spans"),
+        F.when(gone, F.col("n_bytes")).otherwise(F.coalesce("removed", F.lit(0))).cast("long").alias("n_removed"),
+        F.when(gone, 1).otherwise(F.coalesce(F.size("cut"), F.lit(0))).cast("long").alias("n_spans"),
+        F.when(gone, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.coalesce("kept_sha", "sha")).alias("kept_sha256"),
+        F.when(gone, everything).otherwise(F.coalesce("cut", F.array().cast(spans_type))).alias("spans"),
     )
 
 
