@@ -37,6 +37,26 @@ CASES = {
 }
 
 
+ITEM = "a short item of 25 chars."
+BLOCKS = {
+    "list": (f"<ul>{f'<li>{ITEM}</li>' * 10}</ul>", f"{ITEM} " * 10),
+    "table": ("<table><tr><th>Year<th>Sum<tr><td>1<td>2</table>", "Year Sum 1 2"),
+    "definitions": ("<dl><dt>Term<dd>What it is</dl>", "Term What it is"),
+    "links": (f"<ul>{'<li><a href=/>Elsewhere</a></li>' * 10}</ul>", ""),
+    "a link": ("<ul><li>See <a href=/>there</a> for the rest</ul>", "See there for the rest"),
+}
+
+
+@pytest.mark.parametrize("name", BLOCKS)
+@pytest.mark.parametrize("root", ["article", "main", "div class=story"])
+def test_all_blocks_of_the_article_stay(name, root):
+    block, text = BLOCKS[name]
+    paragraph = (LONG * 2)[:400]
+    source = page(f"<div class=top>Short</div><{root}><h1>Title</h1>{f'<p>{paragraph}</p>' * 10}{block}{f'<p>{paragraph}</p>' * 10}</{root.split()[0]}>")
+    half = f"{paragraph} " * 10
+    assert html.main_text(source) == " ".join(f"Title {half} {text} {half}".split())
+
+
 @pytest.mark.parametrize("name", CASES)
 def test_pages(name):
     body, text = CASES[name]

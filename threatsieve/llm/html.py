@@ -3,8 +3,9 @@
 A page is cut into text nodes, each with the path of block tags from the root (a tag's first class or id is part of
 its name). Per path, over the whole page, text length and punctuation are summed and divided by the number
 of nodes (text-to-tag-path and punctuation-to-tag-path ratios). The two are fused, the fused ratios smoothed over
-neighbouring nodes, and nodes above a share of the page's deviation are content. A path is kept or dropped as a whole,
-so short paragraphs among long ones stay, and headings stay that stand in the element of the kept paths.
+neighbouring nodes, and nodes above a share of the page's deviation are content. What the kept paths have in common is the content's root, which
+an ``article`` or ``main`` with the larger part of the text is by itself: below it all paths stay (lists, tables,
+short paragraphs) but those that are mostly links.
 
 Nodes below tags, roles or class names that stand for menus, headers and footers of a page, sidebars, notices, adverts,
 forms, scripts, styles and comments never compete. Where a page has ``article`` or ``main`` elements with text, only those do.
@@ -30,6 +31,7 @@ from threatsieve.llm.shared import batch_of, texts_of
 
 SPREAD = 2
 CUT = 0.35
+LINKS = 0.5
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -40,11 +42,13 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|style|aria-hidden)(?=[\s=/]|$)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _SPACE = re.compile(r"\s+")
 _RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "template", "xmp", "noembed", "noframes"}
+_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+# What may end a path below the content's root.
+_LEAVES = _HEADINGS | {"p", "pre", "blockquote", "ul", "ol", "li", "dl", "dt", "dd", "table", "caption", "thead", "tbody", "tfoot", "tr", "td", "th", "figure", "figcaption"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 _INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var",
 }
-_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _DROPPED = {"nav", "footer", "aside", "form", "head", "menu", "dialog", "button", "select", "option", "svg", "canvas", "object", "audio", "video", "map", "fieldset"} | (_RAW - {"xmp"})
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alertdialog", "alert", "form", "menu", "menubar", "toolbar"}
 _NAMES = re.compile(
@@ -71,6 +75,7 @@ class Element:
     name: str
     dropped: bool
     inside: bool
+    linked: bool
 
 
 @dataclass
@@ -81,6 +86,7 @@ class Node:
     tag: str
     text: str
     inside: bool
+    links: int
 
 
 def _element(tag: str, attrs: str, above: Element | None) -> Element:
@@ -105,7 +111,7 @@ def _element(tag: str, attrs: str, above: Element | None) -> Element:
                 dropped |= re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I) is not None
     if above and above.dropped:
         dropped = True
-    return Element(tag, name, dropped, inside)
+    return Element(tag, name, dropped, inside, tag == "a" or bool(above and above.linked))
 
 
 def nodes(page: str) -> list[Node]:
@@ -113,19 +119,24 @@ def nodes(page: str) -> list[Node]:
     stack: list[Element] = []
     out: list[Node] = []
     held: list[str] = []
+    links = 0
 
     def flush() -> None:
+        nonlocal links
         if held:
             text = _SPACE.sub(" ", html.unescape("".join(held))).strip()
             held.clear()
             if text:
                 blocks = [e for e in stack if e.tag not in _INLINE]
                 top = blocks[-1].tag if blocks else ""
-                out.append(Node(tuple(e.name for e in blocks), top, text, bool(stack and stack[-1].inside)))
+                out.append(Node(tuple(e.name for e in blocks), top, text, bool(stack and stack[-1].inside), links))
+            links = 0
 
     def say(text: str) -> None:
+        nonlocal links
         if text and not (stack and stack[-1].dropped):
             held.append(text)
+            links += len(text.strip()) if stack and stack[-1].linked else 0
 
     def close(tags: set[str], walls: set[str]) -> None:
         for at in range(len(stack) - 1, -1, -1):
@@ -180,10 +191,30 @@ def nodes(page: str) -> list[Node]:
     return out
 
 
+def _root(paths: set[tuple[str, ...]]) -> tuple[str, ...]:
+    """The element that holds all of ``paths``."""
+    low, high = min(paths), max(paths)
+    size = next((k for k, (a, b) in enumerate(zip(low, high, strict=False)) if a != b), min(len(low), len(high)))
+    while size and low[size - 1].split(".")[0] in _LEAVES:
+        size -= 1
+    return low[:size]
+
+
+def _without_links(found: list[Node]) -> list[Node]:
+    """``found`` without the paths that are mostly links; headings stay, and all if nothing else is there."""
+    sums: dict[tuple[str, ...], list[int]] = {}
+    for node in found:
+        total = sums.setdefault(node.path, [0, 0])
+        total[0] += node.links
+        total[1] += len(node.text)
+    kept = [n for n in found if n.tag in _HEADINGS or sums[n.path][0] <= LINKS * sums[n.path][1]]
+    return kept if any(n.tag not in _HEADINGS for n in kept) else found
+
+
 def chosen(found: list[Node]) -> list[Node]:
-    """The content nodes of a page by their paths' ratios."""
+    """The content nodes of a page: an article's, or those below the root of the paths chosen by their ratios."""
     if any(n.inside for n in found):
-        found = [n for n in found if n.inside]
+        return _without_links([n for n in found if n.inside])
     if len(found) < 2:
         return found
     sums: dict[tuple[str, ...], list[float]] = {}
@@ -207,8 +238,8 @@ def chosen(found: list[Node]) -> list[Node]:
         total[1] += len(node.text)
     limit = CUT * min(float(smooth.std()), float(smooth.mean()))
     kept = {p for p, (total, size) in value.items() if total / size >= limit}
-    holders = {p[:-1] for p in kept}
-    return [n for n in found if n.path in kept or (n.tag in _HEADINGS and n.path[:-1] in holders)]
+    holders, root = {p[:-1] for p in kept}, _root(kept)
+    return _without_links([n for n in found if n.path[: len(root)] == root or (n.tag in _HEADINGS and n.path[:-1] in holders)])
 
 
 def main_text(page: str) -> str:
