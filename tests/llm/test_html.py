@@ -57,6 +57,25 @@ def test_all_blocks_of_the_article_stay(name, root):
     assert html.main_text(source) == " ".join(f"Title {half} {text} {half}".split())
 
 
+P = f"<p>{LONG}</p>"
+NAMED = {
+    "modifier": (f"<div class='content has-sidebar'><article>{P}</article></div>", LONG),
+    "holds the article": (f"<div class='modal'><article>{P * 3}</article></div><p>{SHORT}</p>", LONG * 3),
+    "holds most": (f"<div id='overlay'>{P * 5}</div><div id='footer'>{LONG}</div>", LONG * 5),
+    "long comments": (f"<article>{P}</article><div id='comments'>{f'<article>{P}</article>' * 9}</div>", LONG),
+    "side effects": (f"<article>{P}<section id='side-effects'>{P}</section></article>", LONG * 2),
+    "discussion": (f"<article>{P}<section id='discussion'><h2 id='related-work'>Work</h2>{P}</section><h2 id=search>Search</h2></article>", f"{LONG} Work {LONG} Search"),
+    "teaser": (f"<div class='story'>{P * 9}</div><article><a href=/>Read this too</a></article>", LONG * 9),
+    "names": (f"<article>{P}<div class='related-posts'>{P}</div><div class='sidebar-left x'>{LONG}</div><section id='comments'>{P}</section></article>", LONG),
+}
+
+
+@pytest.mark.parametrize("name", NAMED)
+def test_names(name):
+    body, text = NAMED[name]
+    assert html.main_text(page(body)) == " ".join(text.split())
+
+
 @pytest.mark.parametrize("name", CASES)
 def test_pages(name):
     body, text = CASES[name]

@@ -8,7 +8,8 @@ an ``article`` or ``main`` with the larger part of the text is by itself: below
 short paragraphs) but those that are mostly links.
 
 Nodes below tags, roles or class names that stand for menus, headers and footers of a page, sidebars, notices, adverts,
-forms, scripts, styles and comments never compete. Where a page has ``article`` or ``main`` elements with text, only those do.
+forms, scripts, styles and comments never compete; only whole first names count, and not those of an element that holds the article or
+most of the text. Where ``article`` or ``main`` elements hold the larger part of the text, only those do.
 
 Defined results: a null or empty page, or one without content nodes, has an empty text; a page that breaks off, unclosed and
 misnested tags, and tags without their ``>`` are read as browsers do, near enough; repeated rows give repeated rows; an empty table
@@ -51,14 +52,15 @@ _INLINE = {
 }
 _DROPPED = {"nav", "footer", "aside", "form", "head", "menu", "dialog", "button", "select", "option", "svg", "canvas", "object", "audio", "video", "map", "fieldset"} | (_RAW - {"xmp"})
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alertdialog", "alert", "form", "menu", "menubar", "toolbar"}
-_NAMES = re.compile(
-    r"(?:^|[-_\s])(?:ads?|adverts?|advertisements?|adsense|banners?|sponsor(?:ed|s)?|promo(?:tion)?s?|sidebars?|side|aside|nav|navbar|navigation|menus?|menubar|breadcrumbs?|topbar|toolbar"
-    r"|header|masthead|site[-_]?header|page[-_]?header|footer|foot|site[-_]?footer|cookies?|consent|gdpr|notices?|alerts?|popup|modal|overlay|newsletter|subscribe|subscription|signup|sign[-_]up|login"
-    r"|comments?|commentlist|replies|reply|respond|disqus|discussion|reader[-_]?comments?|share|sharing|social|related|recommended|recommendations?|widgets?|tags|pagination|pager|skip[-_]?link|search|legal|copyright|disclaimer)(?=$|[-_\s\d])",
-    re.I,
-)
+_NAMED = r"ads?|adverts?|advertisements?|adsense|banners?|sponsor(?:ed|s)?|promo(?:tion)?s?|sidebars?|side|aside|nav|navbar|navigation|menus?|menubar|breadcrumbs?|topbar|toolbar|header|masthead|footer|foot|cookies?|consent|gdpr|notices?|alerts?|popup|modal|overlay|newsletter|subscribe|subscription|signup|sign[-_]up|login|comments?|commentlist|replies|reply|respond|disqus|discussion|share|sharing|social|related|recommended|recommendations?|widgets?|tags|pagination|pager|skip[-_]?link|search|legal|copyright|disclaimer"
+_AROUND = r"site|page|global|main|top|bottom|left|right|primary|secondary|sticky|fixed|reader|user|article|post|entry|story|section|content|author|web|google|the"
+_PARTS = r"box|slot|wrap|wrapper|container|list|section|block|area|bar|unit|inner|outer|panel|column|col|links?|icons?|buttons?|btns?|form|items?|posts|articles|stories|content|title|text|thread|policy|message|\d+|top|bottom|left|right|main|primary|secondary|space|zone|group|row|card"
+# A whole name: words that stand for boilerplate, with none but words of place and form around them.
+_NAMES = re.compile(rf"(?:(?:{_AROUND})[-_]*)*(?:{_NAMED})\d*(?:[-_]+(?:{_NAMED}|{_PARTS})\d*)*", re.I)
 # The head of the article itself, which holds its title.
 _OWN_HEAD = re.compile(r"(?:article|post|entry|story|section|content)[-_]+header", re.I)
+# In an article, an id of a section is mostly its title; these are parts of the page in any case.
+_SURE = re.compile(rf"(?:(?:{_AROUND})[-_]*)*(?:ads?|adverts?|advertisements?|sidebars?|comments?|commentlist|respond|disqus|newsletter|related[-_](?:posts|articles|stories|links))(?:[-_]+(?:{_PARTS}))*", re.I)
 # An opening tag of the first kind ends an open element of the second.
 _ENDS = {
     **dict.fromkeys(("address", "article", "aside", "blockquote", "div", "dl", "fieldset", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul"), {"p"}),
@@ -76,6 +78,8 @@ class Element:
     dropped: bool
     inside: bool
     linked: bool
+    named: tuple[int, ...] = ()  # the elements around, and itself, that a name marks as boilerplate
+    articles: tuple[int, ...] = ()
 
 
 @dataclass
@@ -87,10 +91,23 @@ class Node:
     text: str
     inside: bool
     links: int
+    named: tuple[int, ...] = ()
+    articles: tuple[int, ...] = ()
+
 
+def _boilerplate(key: str, value: str, tag: str, inside: bool) -> bool:
+    """Whether the first name of a class or id stands for boilerplate."""
+    first = value.split()[0] if value.split() else ""
+    if tag in ("html", "body", "article", "main") or _OWN_HEAD.fullmatch(first):
+        return False
+    if key == "id" and (tag in _HEADINGS or first.lower() == "discussion"):
+        return False
+    return (_SURE if key == "id" and inside and tag == "section" else _NAMES).fullmatch(first) is not None
 
-def _element(tag: str, attrs: str, above: Element | None) -> Element:
-    name, dropped = tag, tag in _DROPPED
+
+def _element(tag: str, attrs: str, above: Element | None, number: int) -> Element:
+    """The element that opens at ``number``; what only its name marks is not dropped yet."""
+    name, dropped, named = tag, tag in _DROPPED, False
     inside = tag in ("article", "main") or bool(above and above.inside)
     if tag == "header" and not (above and above.inside):
         dropped = True
@@ -100,8 +117,7 @@ def _element(tag: str, attrs: str, above: Element | None) -> Element:
             if key in ("class", "id"):
                 if value and name == tag:
                     name = f"{tag}.{value.split()[0].lower()}" if value.split() else tag
-                if tag not in ("html", "body", "article", "main") and _NAMES.search(_OWN_HEAD.sub("", value)):
-                    dropped = True
+                named |= _boilerplate(key, value, tag, inside)
             elif key == "role":
                 dropped |= value.lower() in _ROLES
                 inside |= value.lower() in ("main", "article")
@@ -111,7 +127,32 @@ def _element(tag: str, attrs: str, above: Element | None) -> Element:
                 dropped |= re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I) is not None
     if above and above.dropped:
         dropped = True
-    return Element(tag, name, dropped, inside, tag == "a" or bool(above and above.linked))
+    own = (number,)
+    return Element(
+        tag, name, dropped, inside, tag == "a" or bool(above and above.linked),
+        (above.named if above else ()) + own * named, (above.articles if above else ()) + own * (tag in ("article", "main")),
+    )
+
+
+def _unnamed(found: list[Node]) -> list[Node]:
+    """``found`` without what a name marks. A name does not count where its element holds the page's article, or most of its text."""
+    if not any(n.named for n in found):
+        return found
+    outside = sum(len(n.text) for n in found if not n.named)
+    within: dict[int, int] = {}
+    articles: dict[int, int] = {}
+    for node in found:
+        for at in node.named:
+            within[at] = within.get(at, 0) + len(node.text)
+        for at in node.articles:
+            articles[at] = articles.get(at, 0) + len(node.text)
+    page = sum(len(n.text) for n in found)
+    largest = max(articles, key=lambda at: (articles[at], -at), default=None)
+    held = {at for n in found if largest in n.articles for at in n.named if at < largest} if largest is not None and 4 * articles[largest] >= page else set()
+    # The text of an article outside of all names is the page's, however long its comments are.
+    plain = sum(len(n.text) for n in found if n.articles and not n.named)
+    most = {at for at, size in within.items() if 2 * size > outside + size and 2 * size > page and not (plain and 2 * plain > outside)}
+    return [n for n in found if all(at in held or at in most for at in n.named)]
 
 
 def nodes(page: str) -> list[Node]:
@@ -129,7 +170,7 @@ def nodes(page: str) -> list[Node]:
             if text:
                 blocks = [e for e in stack if e.tag not in _INLINE]
                 top = blocks[-1].tag if blocks else ""
-                out.append(Node(tuple(e.name for e in blocks), top, text, bool(stack and stack[-1].inside), links))
+                out.append(Node(tuple(e.name for e in blocks), top, text, bool(stack and stack[-1].inside), links, *((stack[-1].named, stack[-1].articles) if stack else ())))
             links = 0
 
     def say(text: str) -> None:
@@ -164,7 +205,7 @@ def nodes(page: str) -> list[Node]:
                 continue
             if tag not in _INLINE:
                 flush()
-            element = _element(tag, m["attrs"], stack[-1] if stack else None)
+            element = _element(tag, m["attrs"], stack[-1] if stack else None, at)
             if tag in _RAW:
                 end = re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I).search(page, at)
                 at = end.start() if end else len(page)
@@ -188,7 +229,7 @@ def nodes(page: str) -> list[Node]:
                             break
     say(page[at:])
     flush()
-    return out
+    return _unnamed(out)
 
 
 def _root(paths: set[tuple[str, ...]]) -> tuple[str, ...]:
@@ -213,7 +254,7 @@ def _without_links(found: list[Node]) -> list[Node]:
 
 def chosen(found: list[Node]) -> list[Node]:
     """The content nodes of a page: an article's, or those below the root of the paths chosen by their ratios."""
-    if any(n.inside for n in found):
+    if 2 * sum(len(n.text) for n in found if n.inside) > sum(len(n.text) for n in found):
         return _without_links([n for n in found if n.inside])
     if len(found) < 2:
         return found
