@@ -61,6 +61,27 @@ def test_types_and_formats(kind, text, value):
         assert re.fullmatch(r"[А-Яа-яё]+ [А-Яа-яё]+", surrogate)
 
 
+CARDS = ["4111111111111111", "4111 1111 1111 1111", "4111-1111-1111-1111", "378282246310005", "3782 822463 10005"]
+
+
+@pytest.mark.parametrize("card", CARDS)
+@pytest.mark.parametrize("text", ["{} 12/26", "{} 123", "{} 12 26 123", "{} 2026-12-01", "{}, 5", "{} 12.50", "25 {}", "2024-01-02 {} 77", "{} {} 9", "{} 12345678901234567890"])
+def test_cards_among_numbers(card, text):
+    whole = text.replace("{}", card)
+    new, found = s.replaced(whole, KEY)
+    assert [whole[a:b] for a, b, k in found if k == "card"] == [card] * text.count("{}")
+    assert card not in new and s.replaced(new, KEY)[1]
+
+
+@pytest.mark.parametrize("iban", ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "NO93 8601 1117 947", "BE68 5390 0754 7034"])
+@pytest.mark.parametrize("text", ["{} 2024", "{} 12", "{} 2024 1234", "{} AB12", "{}", "X {} {} 7"])
+def test_ibans_among_numbers(iban, text):
+    whole = text.replace("{}", iban)
+    new, found = s.replaced(whole, KEY)
+    assert [whole[a:b] for a, b, k in found if k == "iban"] == [iban] * text.count("{}")
+    assert iban not in new
+
+
 @pytest.mark.parametrize("text", [
     "", "Nothing here. The and 12 of 3.5 are 2024-01-02.", "a@b", "version 1.2.3.4.5", "id 4845168114407320 is no card", "256.1.1.1",
     "Password: required. My password required here.", "The tokens are in the password policy.", "Hello World Again", "+1", "@@@ (((", "1234567890123456789012345",

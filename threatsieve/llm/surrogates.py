@@ -52,9 +52,16 @@ LETTERS = {
 
 _EMAIL = re.compile(r"(?<![\w.+-])[A-Za-z0-9](?:[\w.+%-]*[\w+%-])?@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24}(?![\w-])|(?<!\w)[^\W_][\w.+%-]*@[\w-]+(?:\.[\w-]+)+")
 _IPV4 = re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\w|\.\d)")
-_CARD = re.compile(r"(?<![\w.])[2-6](?:[ -]?\d){12,18}(?!\w|[.-]\d)")
+# A run of digit groups that may hold a card; the usual groups of one.
+_CARD = re.compile(r"(?<![\w.])\d(?:[ -]?\d){12,}+")
+_CARD_GROUPS = re.compile(r"\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}(?:\1\d{1,3})?|\d{4}([ -])\d{6}\2\d{4,5}")
 _SSN = re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")
 _IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")
+_IBAN_HEAD = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?= ?[A-Z0-9]{4})")
+# The length of an IBAN by country.
+IBAN_LENGTHS = dict(
+    part.split(":") for part in "AD:24 AE:23 AL:28 AT:20 AZ:28 BA:20 BE:16 BG:22 BH:22 BR:29 BY:28 CH:21 CR:22 CY:28 CZ:24 DE:22 DK:18 DO:28 EE:20 EG:29 ES:24 FI:18 FO:18 FR:27 GB:22 GE:22 GI:23 GL:18 GR:27 GT:28 HR:21 HU:28 IE:22 IL:23 IQ:23 IS:26 IT:27 JO:30 KW:30 KZ:20 LB:28 LC:32 LI:21 LT:20 LU:20 LV:21 LY:25 MC:27 MD:24 ME:22 MK:19 MR:27 MT:31 MU:30 NL:18 NO:15 PK:24 PL:28 PS:29 PT:25 QA:29 RO:24 RS:22 SA:24 SC:31 SD:18 SE:24 SI:19 SK:24 SM:27 ST:25 SV:28 TL:23 TN:24 TR:26 UA:29 VA:22 VG:24 XK:20".split()
+)
 _PHONE = re.compile(r"(?<![\w.+-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?)\d{2,4}(?:[ .-]?\d{2,4}){1,3}(?!\w)|(?<![\w.+-])\+\d{1,3}(?:[ .-]?\d{2,5}){2,5}(?!\w)|(?<![\w.+-])\d{3}[ .-]\d{3}[ .-]\d{4}(?!\w|-\d)")
 _SECRET = re.compile(
     r"(?i:\b(?:api[_-]?key|access[_-]?key|secret(?:[_-]?key)?|auth[_-]?token|token|passwd|password|pwd|bearer)\b[\"']?\s{0,3}[:=]?\s{0,3}[\"']?)"
@@ -217,6 +224,47 @@ MAKERS: dict[str, Callable[[str, bytes], str]] = {
 }
 
 
+def _cards(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """The cards in a run of digit groups: those in usual groups first, then others, from each group on the longest."""
+    groups = [m.span() for m in re.finditer(r"\d+", text[start:end])]
+    found: list[tuple[int, int]] = []
+    for usual in (True, False):
+        at = 0
+        while at < len(groups):
+            a, upto = groups[at][0] + start, at
+            size, fits = 0, []
+            while upto < len(groups) and size + groups[upto][1] - groups[upto][0] <= 19:
+                size += groups[upto][1] - groups[upto][0]
+                if size >= 13:
+                    fits.append(upto)
+                upto += 1
+            for last in reversed(fits if text[a] in "23456" else []):
+                b = groups[last][1] + start
+                if re.match(r"\w|\.\d", text[b : b + 2]) or (usual and not _CARD_GROUPS.fullmatch(text, a, b)) or any(a < y and b > x for x, y in found):
+                    continue
+                if luhn("".join(c for c in text[a:b] if c.isdigit())) % 10 == 0:
+                    found.append((a, b))
+                    at = last
+                    break
+            at += 1
+    return sorted(found)
+
+
+def _ibans(text: str) -> list[tuple[int, int]]:
+    """The IBANs: of the country's length, else the longest, else to a shorter group's end."""
+    found = []
+    for head in _IBAN_HEAD.finditer(text):
+        longest = _IBAN.match(text, head.start())
+        sizes = [int(IBAN_LENGTHS.get(head[0][:2], 0)), *range(len(longest[0].replace(" ", "")) if longest else 0, 11, -1)]
+        for size in filter(None, sizes):
+            rest = f"(?: ?[A-Z0-9]{{{size % 4}}})" if size % 4 else ""
+            m = re.compile(rf"[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{{size // 4 - 1}}}{rest}(?!\w)").match(text, head.start())
+            if m and iban_rest(m[0]) == 1:
+                found.append(m.span())
+                break
+    return found
+
+
 def entities(text: str) -> list[Entity]:
     """``start, end, type`` of all entities, in order, none overlapping; types found first win."""
     found: list[Entity] = []
@@ -236,14 +284,13 @@ def entities(text: str) -> list[Entity]:
         for m in _EMAIL.finditer(text):
             add(*m.span(), "email")
     if digit:
-        for m in _IBAN.finditer(text):
-            if iban_rest(m[0]) == 1:
-                add(*m.span(), "iban")
+        for a, b in _ibans(text):
+            add(a, b, "iban")
         for m in _IPV4.finditer(text):
             add(*m.span(), "ipv4")
         for m in _CARD.finditer(text):
-            if luhn("".join(c for c in m[0] if c.isdigit())) % 10 == 0:
-                add(*m.span(), "card")
+            for a, b in _cards(text, *m.span()):
+                add(a, b, "card")
         for pattern, kind in ((_SSN, "ssn"), (_PHONE, "phone")):
             for m in pattern.finditer(text):
                 add(*m.span(), kind)
