@@ -82,6 +82,30 @@ def test_ibans_among_numbers(iban, text):
     assert iban not in new
 
 
+@pytest.mark.parametrize("phone, text", [
+    ("1-800-555-0199", "call {} now"), ("020 7946 0958", "at {}."), ("01 23 45 67 89", "au {}, oui"), ("030 12345678", "unter {} an"), ("030/12345678", "unter {}"),
+    ("612 345 678", "Tel.: {}."), ("03012345678", "Telefon {}"), ("555-0199", "phone number: {}"), ("91 123 45 67", "teléfono {} hoy"), ("0211 123-4567", "Fax {}"),
+])
+def test_national_phones(phone, text):
+    whole = text.replace("{}", phone)
+    new, found = s.replaced(whole, KEY)
+    assert [(k, whole[a:b]) for a, b, k in found] == [("phone", phone)]
+    assert phone not in new and s.entities(new) == found
+
+
+@pytest.mark.parametrize("text", ["on 01.02.2024 and 01-02-2024", "Phone 2024-01-02", "0.123456789 and 05 10 20", "the mobile 12 and 0123456789"])
+def test_numbers_that_are_no_phones(text):
+    assert s.replaced(text, KEY) == (text, [])
+
+
+def test_bare_repeats_of_names():
+    text = "Keller came. Dr. Anna Keller spoke; Keller's cellar, Anna, a keller, Kellerman and Frau Keller."
+    new, found = s.replaced(text, KEY)
+    given, family = re.search(r"Dr\. (\w+) (\w+) spoke", new).groups()
+    assert (given, family) != ("Anna", "Keller") and len(found) == 5
+    assert new == f"{family} came. Dr. {given} {family} spoke; {family}'s cellar, {given}, a keller, Kellerman and Frau {family}."
+
+
 @pytest.mark.parametrize("text", [
     "", "Nothing here. The and 12 of 3.5 are 2024-01-02.", "a@b", "version 1.2.3.4.5", "id 4845168114407320 is no card", "256.1.1.1",
     "Password: required. My password required here.", "The tokens are in the password policy.", "Hello World Again", "+1", "@@@ (((", "1234567890123456789012345",

@@ -9,7 +9,7 @@ two values or more. Per document the result is checked: a surrogate that is itse
 permuted on, and two entities never share one.
 
 Types: e-mail address, IPv4 address, payment card (with its check digit), IBAN (with its check digits), US social
-security number, phone number, secret after a naming word or of a known form, name after a title or given name.
+security number, phone number, secret after a naming word or of a known form, name after a title or given name and bare repeats of its parts.
 
 Defined results: a null text stays null and has no entities; texts without entities stay as they are byte for byte;
 repeated rows give repeated rows; an empty table gives an empty result; ``n_chars``, where there is such a column, follows the text;
@@ -63,6 +63,15 @@ IBAN_LENGTHS = dict(
     part.split(":") for part in "AD:24 AE:23 AL:28 AT:20 AZ:28 BA:20 BE:16 BG:22 BH:22 BR:29 BY:28 CH:21 CR:22 CY:28 CZ:24 DE:22 DK:18 DO:28 EE:20 EG:29 ES:24 FI:18 FO:18 FR:27 GB:22 GE:22 GI:23 GL:18 GR:27 GT:28 HR:21 HU:28 IE:22 IL:23 IQ:23 IS:26 IT:27 JO:30 KW:30 KZ:20 LB:28 LC:32 LI:21 LT:20 LU:20 LV:21 LY:25 MC:27 MD:24 ME:22 MK:19 MR:27 MT:31 MU:30 NL:18 NO:15 PK:24 PL:28 PS:29 PT:25 QA:29 RO:24 RS:22 SA:24 SC:31 SD:18 SE:24 SI:19 SK:24 SM:27 ST:25 SV:28 TL:23 TN:24 TR:26 UA:29 VA:22 VG:24 XK:20".split()
 )
 _PHONE = re.compile(r"(?<![\w.+-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?)\d{2,4}(?:[ .-]?\d{2,4}){1,3}(?!\w)|(?<![\w.+-])\+\d{1,3}(?:[ .-]?\d{2,5}){2,5}(?!\w)|(?<![\w.+-])\d{3}[ .-]\d{3}[ .-]\d{4}(?!\w|-\d)")
+# National forms: with a leading 1, with a trunk 0 or 00 (9 to 15 digits, no date), and any after a naming word.
+_TRUNK = re.compile(
+    r"(?<![\w.+-])1[ .-]\d{3}[ .-]\d{3}[ .-]\d{4}(?!\w|-\d)"
+    r"|(?<![\w.+-])(?!\d\d([./-])\d\d\1\d{4})(?=(?:[ ./-]?\d){9,15}(?![ ./-]?\d\d))0\d{1,4}(?:[ ./-]\d{2,8}){1,4}(?!\w|[.-]\d)"
+)
+_CALLED = re.compile(
+    r"(?i:\b(?:tel|telefon|tel[ée]fono|t[ée]l[ée]phone|phone|mobile?|m[óo]vil|cell|fax|handy|portable|whatsapp)\b\.?(?: ?(?:no|nr|number|n°|nummer|n[úu]mero|num[ée]ro)\b\.?)?(?: (?:is|ist|es|est))?\s?[:=]?\s{0,2})"
+    r"(?P<number>(?!\d{4}-\d\d-\d\d|\d\d?[./]\d\d?[./]\d{4})\(?\d(?:[ ./()-]{0,2}\d){6,14})(?!\w|[.-]\d)"
+)
 _SECRET = re.compile(
     r"(?i:\b(?:api[_-]?key|access[_-]?key|secret(?:[_-]?key)?|auth[_-]?token|token|passwd|password|pwd|bearer)\b[\"']?\s{0,3}[:=]?\s{0,3}[\"']?)"
     r"(?P<value>(?:(?<==)|(?<==[\"' ])|(?<== [\"'])|(?=[A-Za-z0-9+/_-]*\d))[A-Za-z0-9+/_-]{8,})"
@@ -184,7 +193,7 @@ def _email(text: str, key: bytes) -> str:
 
 
 def _phone(text: str, key: bytes) -> str:
-    country = re.match(r"\+\d{1,3}(?=[ .(-])", text)
+    country = re.match(r"\+\d{1,3}(?=[ .(-])|0|1(?=[ .-])", text)
     start = country.end() if country else 0
     return shaped(text, key, "phone", _DIGITS, lambda at: at >= start)
 
@@ -294,6 +303,10 @@ def entities(text: str) -> list[Entity]:
         for pattern, kind in ((_SSN, "ssn"), (_PHONE, "phone")):
             for m in pattern.finditer(text):
                 add(*m.span(), kind)
+        for m in _TRUNK.finditer(text):
+            add(*m.span(), "phone")
+        for m in _CALLED.finditer(text):
+            add(*m.span("number"), "phone")
     for m in _TITLED.finditer(text):
         add(*m.span("name"), "name")
     at = 0
@@ -304,9 +317,19 @@ def entities(text: str) -> list[Entity]:
             at = m.end()
         else:
             at = m.start() + len(first)
+    # Bare repeats of the parts of the names found so far.
+    parts = {w for a, b, kind in found if kind == "name" for w in name_parts(text[a:b])}
+    if parts:
+        for m in re.finditer(rf"(?<!\w)(?:{'|'.join(sorted(parts))})(?!\w)", text):
+            add(*m.span(), "name")
     return sorted(found)
 
 
+def name_parts(name: str) -> list[str]:
+    """The words of a name that stand for it alone: no initials and titles."""
+    return [w for w in re.findall(r"[^\W\d_]{2,}", name) if w not in TITLES]
+
+
 def replaced(text: str, key: bytes) -> tuple[str, list[Entity]]:
     """The text with surrogates, and the entities of the original."""
     found = entities(text)
@@ -316,13 +339,23 @@ def replaced(text: str, key: bytes) -> tuple[str, list[Entity]]:
     made: dict[tuple[str, str], str] = {}
     used: set[str] = set()
     values = {value for _, value in originals}
-    for kind, value in sorted(originals):
+    turns: dict[str, int] = {}  # by part of a longer name: how often that was permuted
+    for kind, value in sorted(originals, key=lambda o: (o[0], -o[1].count(" "), o[1])):
         surrogate = MAKERS[kind](value, key)
         tries = 0
+        if kind == "name" and value in turns:  # as in the longer name
+            for _ in range(turns[value]):
+                surrogate = MAKERS[kind](surrogate, key)
+            made[kind, value] = surrogate
+            used.add(surrogate)
+            continue
         while (surrogate in values or surrogate in used) and tries < 1000:
             surrogate, tries = MAKERS[kind](surrogate, key), tries + 1
         made[kind, value] = surrogate
         used.add(surrogate)
+        if kind == "name":
+            for part in name_parts(value):
+                turns.setdefault(part, tries)
     out, at = [], 0
     for a, b, kind in found:
         out += [text[at:a], made[kind, text[a:b]]]
