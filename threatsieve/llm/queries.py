@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from threatsieve.llm import decontamination, embeddings, html, pieces, quality, records, simhash, spans, suffixes, surrogates
+from threatsieve.llm import (
+    decontamination, divergence, embeddings, html, lines, pieces, quality, records, resampling, simhash, spans, suffixes, surrogates,
+)
 
 QUERIES = {
     "op1_embeddings": embeddings.op1_embeddings,
@@ -15,8 +17,14 @@ QUERIES = {
     "op8_surrogates": surrogates.op8_surrogates,
     "op9_suffixes": suffixes.op9_suffixes,
     "op10_quality": quality.op10_quality,
+    "op11_lines": lines.op11_lines,
+    "op12_resampling": resampling.op12_resampling,
+    "op13_divergence": divergence.op13_divergence,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_embeddings": embeddings.ORACLE_SQL,
     "op2_decontamination": decontamination.ORACLE_SQL,
+    "op11_lines": lines.ORACLE_SQL,
+    "op12_resampling": resampling.ORACLE_SQL,
+    "op13_divergence": divergence.ORACLE_SQL,
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -32,6 +33,19 @@ def texts_of(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def pieces_of(texts: Iterable[bytes], most: int, gap: re.Pattern[bytes]) -> Iterator[tuple[int, bytes]]:
+    """``number, piece`` of every text, in order: pieces of about ``most`` bytes, cut only where ``gap`` matches."""
+    for number, text in enumerate(texts):
+        at = 0
+        while len(text) - at > most:
+            found = gap.search(text, at + most)
+            if not found:
+                break
+            yield number, text[at : found.start()]
+            at = found.start()
+        yield number, text[at:]
+
+
 def batch_of(schema: pa.Schema, **columns) -> pa.RecordBatch:
     """A batch with the columns in the order of ``schema``."""
     return pa.record_batch([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
