@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threatsieve.llm import decontamination, nearcopies, pieces, quality, surrogates
+from threatsieve.llm import decontamination, pieces, quality, simhash, surrogates
 
 
 def good_only(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,8 +19,8 @@ def good_only(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: 0.8 or more of the five-word shingles equal."""
-    return nearcopies.one_per_group(docs)
+    """One document of each group of near copies: fingerprints of three-word shingles that differ in at most three bits."""
+    return simhash.one_per_group(docs, distance=3, words_per_shingle=3)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
