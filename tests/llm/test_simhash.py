@@ -84,13 +84,14 @@ def test_thresholds_cover_every_pair():
 
 def test_odd_rows(spark):
     frame = spark.createDataFrame(
-        [(None, "a b c", 1, "x"), (3, "a b c", 2, None), (3, "a b c", 2, None), (None, None, 3, "y"), (None, None, 3, "y")],
-        "doc_id long, text string, fp int, component string",
+        [(None, "a b c", 1, "x", 4, 7), (3, "a b c", 2, None, 4, 7), (3, "a b c", 2, None, 4, 7), (None, None, 3, "y", 4, 7), (None, None, 3, "y", 4, 7)],
+        "doc_id long, text string, fp int, component string, chosen_id int, text_hash long",
     )
     rows = simhash.near_duplicates(frame).collect()
     assert sorted((r.doc_id or -1, r.component_id or -1) for r in rows) == [(-1, -1), (-1, -1), (-1, 3), (3, 3), (3, 3)]
     kept = simhash.one_per_group(frame)
     assert kept.columns == frame.columns
+    assert {(r.chosen_id, r.text_hash) for r in kept.collect()} == {(4, 7)}
     assert sorted((r.doc_id or -1, r.text or "") for r in kept.collect()) == [(-1, ""), (3, "a b c")]
     assert simhash.near_duplicates(frame.limit(0)).count() == 0
     assert simhash.one_per_group(frame.limit(0)).count() == 0

@@ -248,10 +248,11 @@ def one_per_group(
     marked, member = _grouped(docs, distance, words_per_shingle, partitions)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
     chosen = marked.groupBy("fp").agg(first).join(member, "fp").groupBy("component").agg(F.min("first").alias("first"))
-    chosen = chosen.select(F.col("first.doc_id").alias("_chosen"), F.col("first.text_hash").alias("_chosen_hash"))
-    rows = docs.withColumn("_text_hash", F.xxhash64(F.col("text").cast("string")))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_chosen")) & (F.col("_text_hash") == F.col("_chosen_hash"))
-    return rows.join(chosen, same).dropDuplicates(["_chosen", "_chosen_hash"]).select(*docs.columns)
+    chosen = chosen.select(F.col("first.doc_id").alias("chosen_id"), F.col("first.text_hash").alias("chosen_hash"))
+    text_hash = F.xxhash64(F.col("text").cast("string")).alias("text_hash")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text_hash)
+    same = F.col("doc_id").eqNullSafe(F.col("chosen_id")) & (F.col("text_hash") == F.col("chosen_hash"))
+    return rows.join(chosen, same).dropDuplicates(["chosen_id", "chosen_hash"]).select("row.*")
 
 
 def op5_simhash(spark, sf_dir: str) -> DataFrame:
