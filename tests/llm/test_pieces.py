@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pytest
 
@@ -75,6 +76,18 @@ def test_round_trip(coder):
     assert coder.decode(ids.tolist()) == "a b"  # the space mark itself reads as a space
 
 
+def test_ties_and_long_parts_take_no_longer(coder):
+    rng = random.Random(6)
+    n = 100_000
+    texts = ["a" * n, "-" * n, "".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGH0123456789+/", k=n)), "".join(map(chr, rng.choices(range(0x4E00, 0x9FA0), k=n)))]
+    for text in texts:
+        began = time.monotonic()
+        found = coder.encode(text)
+        assert time.monotonic() - began < 20
+        assert len(found) == 4 and coder.decode(found[-1][1].tolist()) == text
+        assert [s for s, _ in found] == sorted((s for s, _ in found), reverse=True)
+
+
 def test_frames(spark):
     frame = spark.createDataFrame([(i, t, 7) for i, t in enumerate(COMMON)] + [(None, "the", 7), (1, None, 7)], "doc_id long, text string, rank int")
     best = {(r.doc_id, r.rank): r for r in pieces.segmentations(frame, n_best=2).where("doc_id <> 1").collect()}

@@ -10,7 +10,7 @@ exact loss of its next best are kept, up to ``CACHED`` parts; the N best of a wh
 
 Defined results: a null or empty text has one segmentation, without pieces, of score 0; a character that no
 piece holds becomes its bytes' pieces at ``unknown_penalty`` below the lowest score; fewer than N segmentations may exist;
-equal scores are ordered by the search and are the same in every run; repeated rows give repeated rows; an empty table gives an
+equal scores are ordered by the search, the same in every run, and take no longer than others; repeated rows give repeated rows; an empty table gives an
 empty result; a text that itself holds the model's space mark does not decode to itself, and says so; other columns are ignored.
 """
 
@@ -57,6 +57,7 @@ class Lattice:
             for letter in name[:-1]:
                 below = below.setdefault(letter, ({}, None))[0]
             below[name[-1]] = ({}, scores[name])
+        self.longest = max(map(len, scores), default=0)
         self.single = {name for name in scores if len(name) == 1}
         self.bytes = {int(self.names[i][3:5], 16): i for i in range(size) if model.is_byte(i)}
         self.byte_of = {i: b for b, i in self.bytes.items()}
@@ -88,7 +89,7 @@ class Lattice:
                     second[start + 1] = score
                 if edges is not None:
                     edges[start + 1].append((start, piece))
-            for letter in part[start:]:
+            for letter in part[start : start + self.longest]:
                 node = below.get(letter)
                 if node is None:
                     break
@@ -106,14 +107,17 @@ class Lattice:
         return best, last, second
 
     def search(self, part: str) -> list[Option]:
-        """The N best segmentations of one part, best first, by A-star from its end."""
+        """The N best segmentations of one part, best first, by A-star from its end.
+
+        Of equal scores the path that has come furthest goes on first, so ties are not all walked side by side.
+        """
         into: list[list] = [[] for _ in range(len(part) + 1)]
         best, _, _ = self.forward(part, into)
         found: list[Option] = []
         tick = itertools.count()
-        queue = [(-best[-1], next(tick), len(part), 0.0, None)]
+        queue = [(-best[-1], len(part), next(tick), 0.0, None)]
         while queue:
-            _, _, end, behind, chain = heapq.heappop(queue)
+            _, end, _, behind, chain = heapq.heappop(queue)
             if not end:
                 ids: list[int] = []
                 while chain:
@@ -125,7 +129,7 @@ class Lattice:
                 continue
             for start, (score, ids) in into[end]:
                 g = behind + score
-                heapq.heappush(queue, (-(g + best[start]), next(tick), start, g, (ids, chain)))
+                heapq.heappush(queue, (-(g + best[start]), start, next(tick), g, (ids, chain)))
         return found
 
     def part(self, part: str) -> tuple[bytes, float, float]:
