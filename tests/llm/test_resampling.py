@@ -1,0 +1,98 @@
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import duckdb
+import numpy as np
+
+from threatsieve.llm import resampling
+
+WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+
+
+def features(text, max_words):
+    words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return words, [" ".join(words[i : i + n]) for n in range(1, max_words + 1) for i in range(len(words) - n + 1)]
+
+
+def by_hand(rows, target, max_words, buckets, percent=10, least_words=20):
+    def bucket(x):
+        return zlib.crc32(x.encode()) % buckets
+
+    corpus = Counter(bucket(x) for _, t in rows for x in features(t, max_words)[1])
+    wanted = Counter(bucket(x) for t in target for x in features(t, max_words)[1])
+    s_all, t_all = sum(corpus.values()), sum(wanted.values())
+    gain = [math.floor(1000 * math.log((wanted[b] + 1) * (s_all + buckets) / ((corpus[b] + 1) * (t_all + buckets)))) for b in range(buckets)]
+    out = []
+    for doc_id, text in rows:
+        words, own = features(text, max_words)
+        weight = sum(gain[bucket(x)] for x in own)
+        h = int(hashlib.sha256(f"2024:{'' if doc_id is None else doc_id}".encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        out.append([doc_id, len(words), len(own), weight, score, None])
+    drawn = sorted((r for r in out if r[1] >= least_words), key=lambda r: (-r[4], r[0] is None, r[0] or 0))
+    for rank, row in enumerate(drawn[: len(drawn) * percent // 100], 1):
+        row[5] = rank
+    return sorted(map(tuple, out), key=repr)
+
+
+def corpus_of(rng, n):
+    pool = ["the", "The", "été", "ÉTÉ", "9", "x1", "日本語", "a" * 40] + [f"w{k}" for k in range(300)]
+    return [" ".join(rng.choice(pool) + rng.choice(["", ",", "-", "\n", "\x00"]) for _ in range(rng.choice([0, 3, 19, 20, 60, 200]))) for _ in range(n)]
+
+
+def test_draw_by_brute_force(spark, monkeypatch):
+    rng = random.Random(12)
+    rows = list(enumerate(corpus_of(rng, 150))) + [(None, None), (500, ""), (501, "!?"), (None, "one two " * 15), (502, corpus_of(rng, 1)[0] * 40)]
+    target = [*corpus_of(rng, 4), None, "w1 w2 w3 " * 9]
+    frame = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, score string").repartition(4)
+    wanted = spark.createDataFrame([(t,) for t in target], "text string")
+    for max_words, buckets, piece in ((1, 10_000, 1 << 20), (3, 50, 300), (2, 1000, 40)):
+        monkeypatch.setattr(resampling, "PIECE", piece)  # also texts in several pieces
+        found = resampling.resampled(frame, wanted, 30, 20, max_words, buckets).collect()
+        assert sorted(map(tuple, found), key=repr) == by_hand(rows, target, max_words, buckets, 30)
+
+
+def test_repeated_rows_are_drawn_each(spark):
+    rows = [(1, "a b c " * 10)] * 6 + [(2, "d e f " * 10)] * 4
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = resampling.resampled(frame, frame.limit(0), percent=50).collect()
+    assert sorted(map(tuple, found), key=repr) == by_hand(rows, [], 1, 10_000, 50)
+    assert sorted(r.rank for r in found if r.rank) == [1, 2, 3, 4, 5]
+    assert resampling.resampled(frame.limit(0), frame).count() == 0
+
+
+def test_table_tells_equal_keys_apart():
+    """Strings of one length that share a key get slots of their own."""
+    words = [b"aa", b"bb", b"aa", b"cc", b"bb", b"d", b"aa"]
+    length = np.array([len(w) for w in words])
+    start = np.cumsum(length + 1) - length - 1
+    for keys in (np.full(7, 5, np.uint64), np.full(7, 2**64 - 1, np.uint64), np.arange(7, dtype=np.uint64) // np.uint64(9)):
+        table = resampling.NgramTable(b" ".join(words), start, length, keys, 10_000)
+        assert len(set(zip(words, table.slots.tolist(), strict=True))) == len(set(words)) == len(set(table.slots.tolist()))
+        assert table.count[table.slots].tolist() == [3, 2, 3, 1, 2, 1, 3]
+        assert table.bucket[table.slots].tolist() == [zlib.crc32(w) % 10_000 for w in words]
+    empty = resampling.NgramTable(b"", np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), 10)
+    assert empty.count.sum() == 0
+
+
+def test_one_long_text_in_pieces():
+    text = b"Word%d " * 200_000 % tuple(range(200_000))
+    tables = list(resampling._tables([b"", text, b"end"], 2, 100))
+    assert len(tables) > 1
+    assert sum(int((words == 1).sum()) for _, words, _ in tables) == 200_001
+    assert sum(int((words == 2).sum()) for _, words, _ in tables) == 199_999
+
+
+def test_same_rows_as_sql(spark, sf_dir):
+    connection = duckdb.connect()
+    for table in ("documents", "benchmark"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    relation = connection.sql(resampling.ORACLE_SQL)
+    rows = resampling.op12_resampling(spark, sf_dir).select(*relation.columns).collect()
+    assert sorted(map(tuple, rows), key=repr) == sorted(relation.fetchall(), key=repr) and any(r.rank for r in rows)
