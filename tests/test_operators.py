@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from threatsieve.functions import constants as C
 from threatsieve.functions.url import LEXICAL_FEATURES, lexical_features
-from threatsieve.operators import filters, fusion, lists, scoring, training
-from threatsieve.operators.weights import unweigh, weigh
+from threatsieve.operators import filters, fusion, lists, scoring, token_bayes, training
+from threatsieve.operators.weights import repeated, unweigh, weigh
 from threatsieve.plans import fixtures as fx
 from threatsieve.plans.queries import QUERIES, models_for
 from threatsieve.sources import lines as src
@@ -86,6 +86,12 @@ def test_weights_there_and_back(spark):
     assert spread.groupBy(F.spark_partition_id()).count().count() > 4
 
 
+def test_rows_are_repeated_in_blocks(spark):
+    rows = spark.createDataFrame([("a", 1), ("b", 2500), ("c", 0), ("d", 1000)], "url string, _times bigint")
+    found = {r.url: r.n for r in repeated(rows, "_times").groupBy("url").agg(F.count("*").alias("n")).collect()}
+    assert found == {"a": 1, "b": 2500, "d": 1000}
+
+
 @pytest.mark.parametrize("threshold", ["10MB", "-1"])
 def test_lists_with_and_without_broadcast(spark, threshold):
     values = [f"u{i}" for i in range(100)]
@@ -180,7 +186,7 @@ def test_fits_are_bounded_by_whole_urls(spark, sf_dir):
     some = {r.url for r in training.bounded(counted, total, total // 2).collect()}
     assert 0 < len(some) <= total // 2
     assert some == {r.url for r in training.bounded(counted.repartition(3), total, total // 2).collect()}
-    exact = models_for(spark, sf_dir).bayes
+    exact = training.fit_bayes(labelled)
     again = training.fit_bayes(labelled, max_labelled=total)
     assert again.stages[1].vocabulary == exact.stages[1].vocabulary or set(
         again.stages[1].vocabulary
@@ -191,7 +197,7 @@ def test_fits_are_bounded_by_whole_urls(spark, sf_dir):
 def test_weighted_bayes_equals_rows(spark, sf_dir):
     """Fitting on counted rows gives the parameters of fitting on all rows."""
     labelled = fx.labelled(fx.hits(spark, sf_dir)).select("url", "label")
-    model = models_for(spark, sf_dir).bayes.stages[-1]
+    model = training.fit_bayes(labelled).stages[-1]
     words = training.token_training(labelled)
     priors = {r.label: r.n for r in words.groupBy("label").agg(F.count("*").alias("n")).collect()}
     total = sum(priors.values())
@@ -207,11 +213,12 @@ def test_no_python_and_no_cross_join(spark, sf_dir):
 
 
 def test_scoring_shuffles_once(spark, sf_dir):
-    df = scoring.score_lines(
-        fx.hit_lines(fx.hits(spark, sf_dir)), fx.URL_INDEX, models_for(spark, sf_dir)
-    )
-    assert plan(df).count("Exchange hashpartitioning") == 1
-    assert "Join" not in plan(df).replace("BroadcastHashJoin", "", 1)
+    models = models_for(spark, sf_dir)
+    pipeline = training.fit_bayes(fx.labelled(fx.hits(spark, sf_dir)))
+    for bayes, joins in ((pipeline, 1), (models.bayes, 2)):  # the pages of the fixture; the weights
+        df = scoring.score_lines(fx.hit_lines(fx.hits(spark, sf_dir)), fx.URL_INDEX, scoring.Models(models.gbdt, bayes))
+        assert plan(df).count("Exchange hashpartitioning") == 1
+        assert "Join" not in plan(df).replace("BroadcastHashJoin", "", joins)
 
 
 def test_only_needed_columns_are_read(spark, sf_dir):

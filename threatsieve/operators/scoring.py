@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from threatsieve.functions.tokens import token_text, token_word
 from threatsieve.functions.url import LEXICAL_FEATURES, lexical_columns, lexical_features
+from threatsieve.operators import token_bayes
 from threatsieve.operators.fusion import (
     CLASS_SUSPICIOUS,
     flagged,
@@ -18,21 +19,22 @@ from threatsieve.operators.fusion import (
     gbdt_probability,
     meeting_counts,
 )
-from threatsieve.operators.training import load_model
-from threatsieve.operators.weights import COPIES, once_per_row
+from threatsieve.operators.token_bayes import TokenBayes
+from threatsieve.operators.training import load_bayes, load_model
+from threatsieve.operators.weights import COPIES, once_per_row, repeated
 from threatsieve.sources.lines import field
 
 
 @dataclass(frozen=True)
 class Models:
-    """The two fitted pipelines."""
+    """The two fitted models: the trees as a pipeline, naive Bayes as tables or as a pipeline."""
 
     gbdt: PipelineModel
-    bayes: PipelineModel
+    bayes: PipelineModel | TokenBayes
 
 
 def load_models(gbdt_path: str, bayes_path: str) -> Models:
-    return Models(load_model(gbdt_path), load_model(bayes_path))
+    return Models(load_model(gbdt_path), load_bayes(bayes_path))
 
 
 def first_probability(vector: Column) -> Column:
@@ -40,6 +42,17 @@ def first_probability(vector: Column) -> Column:
     return F.get(vector_to_array(vector), 0)
 
 
+def bayes_transform(rows: DataFrame, model: PipelineModel | TokenBayes) -> DataFrame:
+    """Append ``predictions`` and ``prob_Bayes`` to distinct rows with their token text in ``Word``."""
+    if isinstance(model, TokenBayes):
+        scored = token_bayes.with_verdicts(rows, model, F.col("Word"))
+        probability = F.get("myProbability", 0)
+    else:
+        scored = model.transform(rows.withColumn("Word", F.coalesce("Word", F.lit(""))))
+        probability = first_probability(F.col("myProbability"))
+    return scored.select(*rows.columns, "predictions", probability.alias("prob_Bayes"))
+
+
 def gbdt_verdicts(urls: DataFrame, model: PipelineModel) -> DataFrame:
     """``url_GBDT, prob_GBDT, copies`` of the weighted URLs the tree model flags."""
     rows = lexical_features(once_per_row(urls), keep=[COPIES])
@@ -51,33 +64,33 @@ def gbdt_verdicts(urls: DataFrame, model: PipelineModel) -> DataFrame:
 def bayes_verdicts(urls: DataFrame, model: PipelineModel) -> DataFrame:
     """``url_Bayes, prob_Bayes, copies`` of the weighted URLs the naive Bayes model flags."""
     rows = token_text(once_per_row(urls).where("url IS NOT NULL"), keep=[COPIES])
-    return flagged(model.transform(rows), "predictions").select(
-        F.col("Url").alias("url_Bayes"),
-        first_probability(F.col("myProbability")).alias("prob_Bayes"),
-        COPIES,
-    )
+    if isinstance(model, TokenBayes):  # scores distinct rows; those that were repeated are so again
+        rows = rows.groupBy(*rows.columns).agg(F.count("*").alias("_times"))
+    found = flagged(bayes_transform(rows, model), "predictions")
+    found = repeated(found, "_times") if "_times" in found.columns else found
+    return found.select(F.col("Url").alias("url_Bayes"), "prob_Bayes", COPIES)
 
 
 def score_both(urls: DataFrame, models: Models) -> DataFrame:
     """Append both flags and ``prob_Bayes`` to ``meeting_counts`` rows: one pass, no join.
 
     URLs that cannot be parsed get zero features so that the tree model can run; their tree flag is
-    false whatever it says.
+    false whatever it says. ``_key`` is the URL as it was counted: rows stay dealt by it.
     """
-    rows = lexical_columns(once_per_row(urls).where("url IS NOT NULL"))
+    rows = lexical_columns(once_per_row(urls.withColumn("_key", F.col("url"))).where("url IS NOT NULL"))
     filled = [
         F.when(F.col("valid"), F.col(f).cast("int")).otherwise(0).alias(f) for f in LEXICAL_FEATURES
     ]
-    trees = models.gbdt.transform(rows.select(*urls.columns, "valid", *filled))
+    trees = models.gbdt.transform(rows.select(*urls.columns, "_key", "valid", *filled))
     gbdt_flag = F.col("valid") & (F.col("predictions") == CLASS_SUSPICIOUS)
     words = trees.select(
-        *urls.columns, gbdt_flag.alias("gbdt_flag"), token_word(F.col("url")).alias("Word")
+        *urls.columns, "_key", gbdt_flag.alias("gbdt_flag"), token_word(F.col("url")).alias("Word")
     )
-    return models.bayes.transform(words).select(
+    return bayes_transform(words, models.bayes).select(
         *urls.columns,
         "gbdt_flag",
         (F.col("predictions") == CLASS_SUSPICIOUS).alias("bayes_flag"),
-        first_probability(F.col("myProbability")).alias("prob_Bayes"),
+        "prob_Bayes",
     )
 
 

@@ -15,11 +15,14 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, NaiveBayes
 from pyspark.ml.feature import CountVectorizer, RegexTokenizer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threatsieve.functions.tokens import token_text
 from threatsieve.functions.url import LEXICAL_FEATURES, lexical_features
+from threatsieve.operators import token_bayes
+from threatsieve.operators.token_bayes import TokenBayes
 from threatsieve.operators.weights import COPIES, once_per_row, weigh
 
 # Most distinct labelled URLs a fit uses; what the driver holds of the vocabulary follows from it.
@@ -92,10 +95,10 @@ def fit_gbdt(
 
 
 def fit_bayes(labelled: DataFrame, max_labelled: int = MAX_LABELLED) -> PipelineModel:
-    """Multinomial naive Bayes on token counts; equal rows are fitted as one weighted row.
+    """Multinomial naive Bayes on token counts as a pipeline; equal rows are fitted as one weighted row.
 
     The vocabulary is every token of the rows used. It passes through the driver, and its sums through
-    one group per label; ``max_labelled`` bounds both.
+    one group per label; ``max_labelled`` bounds both. ``token_bayes.fit`` has neither bound.
     """
     tokenizer = RegexTokenizer(
         inputCol="Word", outputCol="tokens", pattern="/+", gaps=True, toLowercase=False
@@ -110,9 +113,22 @@ def fit_bayes(labelled: DataFrame, max_labelled: int = MAX_LABELLED) -> Pipeline
             return Pipeline(stages=[tokenizer, counts, bayes]).fit(rows)
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(model: PipelineModel | TokenBayes, path: str) -> None:
+    if isinstance(model, TokenBayes):
+        token_bayes.save(model, path)
+    else:
+        model.write().overwrite().save(path)
 
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+def load_bayes(path: str) -> PipelineModel | TokenBayes:
+    """A naive Bayes model in either form."""
+    try:
+        return token_bayes.load(SparkSession.active(), path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return load_model(path)

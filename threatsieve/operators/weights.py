@@ -43,6 +43,15 @@ def once_per_row(df: DataFrame, column: str = "url") -> DataFrame:
     return df.withColumn(column, F.when(F.col(COPIES) > 0, F.col(column)))
 
 
+def repeated(df: DataFrame, times: str) -> DataFrame:
+    """Every row as often as ``times`` says, in its place, without that column; for rows that were counted from so many."""
+    rest = [F.col(f"`{c}`") for c in df.columns if c != times]
+    thousand, zero = F.lit(1000).cast("bigint"), F.lit(0).cast("bigint")
+    blocks = df.where(F.col(times) > 0).withColumn("_block", F.explode(F.sequence(zero, F.floor((F.col(times) - 1) / thousand))))
+    size = F.least(thousand, F.col(times) - F.col("_block") * thousand)
+    return blocks.select(*rest, F.explode(F.sequence(F.lit(1).cast("bigint"), size)).alias("_copy")).select(*rest)
+
+
 def unweigh(df: DataFrame) -> DataFrame:
     """Every row as often as ``copies`` says, without that column.
 

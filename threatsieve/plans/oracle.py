@@ -243,6 +243,9 @@ FROM parts""",
         "bayes_score": _with(HITS, LABELLED, _bayes(f"SELECT url, count(*) AS copies FROM hits WHERE {DOWNLOAD} GROUP BY url"))
         + """SELECT url AS "url_Bayes", round(1 / (1 + exp(s1 - s0)), 6) AS "prob_Bayes", copies
 FROM sc WHERE s0 >= s1""",
+        "bayes_model": _with(HITS, LABELLED, _bayes("SELECT NULL AS url WHERE false"))
+        + """SELECT tok AS token, label, round(lp, 6) AS log_weight FROM th
+UNION ALL SELECT '' AS token, label, round(pr, 6) AS log_weight FROM k""",
         "gbdt_score": _with(
             HITS,
             f"weighed AS (SELECT url AS raw, count(*) AS copies FROM hits WHERE {DOWNLOAD} GROUP BY url)",

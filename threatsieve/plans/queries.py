@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,9 +11,10 @@ from pyspark.sql import functions as F
 from threatsieve.functions.stamps import DAY, READABLE, SECOND, province, stamp
 from threatsieve.functions.tokens import token_text
 from threatsieve.functions.url import lexical_features, url_parts, with_default_scheme
-from threatsieve.operators import daily, filters, fusion, lists, report, scoring, training
+from threatsieve.operators import daily, filters, fusion, lists, report, scoring, token_bayes, training
 from threatsieve.operators.weights import weigh_where
 from threatsieve.plans import fixtures as fx
+from threatsieve.session import shared_folder
 from threatsieve.sinks.text import verdict_lines
 from threatsieve.sources import lines as src
 
@@ -22,14 +24,15 @@ _MODELS: dict[tuple[str, str], scoring.Models] = {}
 def models_for(spark: SparkSession, sf_dir: str) -> scoring.Models:
     """Both models, once per application and data set.
 
-    The trees are fitted on rows labelled by a rule, so that SQL can state their verdicts; naive Bayes
-    on the noisy rows, as SQL can state its probabilities.
+    The trees are fitted on rows labelled by a rule, so that SQL can state their verdicts; naive Bayes, as tables
+    in the shared folder, on the noisy rows, as SQL can state its probabilities.
     """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MODELS:
         hits = fx.hits(spark, sf_dir)
+        folder = f"{shared_folder(spark)}/bayes-{uuid.uuid4().hex}"
         _MODELS[key] = scoring.Models(
-            training.fit_gbdt(fx.ruled(hits)), training.fit_bayes(fx.labelled(hits))
+            training.fit_gbdt(fx.ruled(hits)), token_bayes.fit(fx.labelled(hits), folder)
         )
     return _MODELS[key]
 
@@ -95,6 +98,13 @@ def bayes_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("prob_Bayes", F.round("prob_Bayes", 6))
 
 
+def bayes_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both tables of the model; the priors as weights of the empty token."""
+    model = models_for(spark, sf_dir).bayes
+    priors = model.classes.select(F.lit("").alias("token"), "label", F.col("log_prior").alias("log_weight"))
+    return model.weights.unionByName(priors).withColumn("log_weight", F.round("log_weight", 6))
+
+
 def gbdt_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = fx.hits(spark, sf_dir)
     return _plain(scoring.gbdt_verdicts(_downloads(hits), models_for(spark, sf_dir).gbdt))
@@ -204,6 +214,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "token_text": tokens,
     "train_lexical": train_lexical,
     "train_tokens": train_tokens,
+    "bayes_model": bayes_model,
     "bayes_score": bayes_score,
     "gbdt_score": gbdt_score,
     "score_lines": score_lines,

@@ -34,3 +34,9 @@ def session_now(spark: SparkSession) -> datetime:
     """The current time on the session's clock, without a zone."""
     shown = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss")
     return datetime.fromisoformat(spark.range(1).select(shown).first()[0])
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """Where all machines can read what a job keeps for itself: ``spark.checkpoint.dir``, or the warehouse where it is unset."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{folder.rstrip('/')}/{spark.sparkContext.applicationId}"
