@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 from threatsieve.operators import report
 from threatsieve.operators.lists import list_union
 from threatsieve.session import build_session, session_now
+from threatsieve.sinks.commits import committed_lines
 from threatsieve.sinks.text import merge_small_files, write_report
 from threatsieve.sources.lines import read_lines, read_url_list
 
@@ -28,20 +29,26 @@ def run_report(
     now: datetime | None = None,
     name: str = "malicious_urls",
     merge_to: str | None = None,
+    commits: str | None = None,
+    day: str | None = None,
 ) -> tuple[str, dict[str, int]]:
     """Write the report and give its path and the funnel counts.
 
     The lines are read and joined to the lists once; counts and report share that result.
-    ``merge_to`` first copies the day's small files into few there and reads those.
+    ``merge_to`` first copies the day's small files into few there and reads those. With ``commits``, the manifests of a ``day``'s batches,
+    ``source`` holds days and the lines of whole batches are read.
     """
+    if commits and merge_to:
+        raise ValueError("merged files are named by no manifest")
     now = now or session_now(spark)
     if merge_to:
         source_of_lines = f"{merge_to.rstrip('/')}/merge-{now:%Y%m%d%H%M%S}"
         merge_small_files(spark, source, source_of_lines)
     else:
         source_of_lines = source
+    lines = committed_lines(spark, source, commits, day) if commits else read_lines(spark, source_of_lines)
     listed = list_union(read_url_list(spark, white), read_url_list(spark, black))
-    flagged = report.flagged_urls(read_lines(spark, source_of_lines), listed)
+    flagged = report.flagged_urls(lines, listed)
     flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         counts = report.funnel_counts(flagged).first().asDict()
@@ -64,12 +71,14 @@ def main() -> None:
     parser.add_argument("--timezone", default="UTC", help="the zone that days are counted in")
     parser.add_argument("--name", default="malicious_urls", help="file name after the day")
     parser.add_argument("--merge-to", help="directory for a merged copy of the input")
+    parser.add_argument("--commits", help="manifests of the scorer: read whole batches only; --input is its output")
+    parser.add_argument("--day", help="with --commits: the day to read, yyyyMMdd (all, if not given)")
     args = parser.parse_args()
     logging.basicConfig(level=logging.INFO)
     spark = build_session("daily_report", args.master, args.timezone)
     run_report(
         spark, args.input, args.output, args.white, args.black, args.limit,
-        name=args.name, merge_to=args.merge_to,
+        name=args.name, merge_to=args.merge_to, commits=args.commits, day=args.day,
     )
     spark.stop()
 

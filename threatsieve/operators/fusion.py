@@ -85,15 +85,21 @@ def meeting_counts(df: DataFrame, *extra: Column, column: str = "url") -> DataFr
     )
 
 
+def fused_copies(normalized: bool = False) -> Column:
+    """How often the fusion has the URL of a ``score_both`` row; NULL for rows that are not fused."""
+    both = F.col("gbdt_flag") & F.col("bayes_flag")
+    if normalized:
+        return F.when(both, F.lit(1).cast("decimal(38,0)"))
+    return F.when(both & (F.col(OWN_COPIES) > 0), pair_count(F.col(COPIES), F.col(OWN_COPIES)))
+
+
 def fuse_scored(scored: DataFrame, normalized: bool = False) -> DataFrame:
     """Fusion of ``meeting_counts`` rows that carry both verdicts: a filter instead of a join.
 
     Both models see the same features for a URL with and without its default scheme, so one row
     stands for both sides. ``normalized`` keeps URLs only written without a scheme, every URL once.
     """
-    both = scored.where("gbdt_flag AND bayes_flag")
-    columns = ["url", gbdt_probability().alias("prob_GBDT"), "prob_Bayes"]
-    if normalized:
-        return both.select(*columns, F.lit(1).cast("decimal(38,0)").alias(COPIES))
-    copies = pair_count(F.col(COPIES), F.col(OWN_COPIES)).alias(COPIES)
-    return both.where(F.col(OWN_COPIES) > 0).select(*columns, copies)
+    copies = fused_copies(normalized)
+    return scored.where(copies.isNotNull()).select(
+        "url", gbdt_probability().alias("prob_GBDT"), "prob_Bayes", copies.alias(COPIES)
+    )

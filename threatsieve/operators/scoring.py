@@ -72,24 +72,25 @@ def bayes_verdicts(urls: DataFrame, model: PipelineModel) -> DataFrame:
 
 
 def score_both(urls: DataFrame, models: Models) -> DataFrame:
-    """Append both flags and ``prob_Bayes`` to ``meeting_counts`` rows: one pass, no join.
+    """Append both flags and ``prob_Bayes`` to ``meeting_counts`` rows: one pass, every row is kept.
 
     URLs that cannot be parsed get zero features so that the tree model can run; their tree flag is
-    false whatever it says. ``_key`` is the URL as it was counted: rows stay dealt by it.
+    false whatever it says. The row without a URL has both flags false.
+    ``_key`` is the URL as it was counted: rows stay dealt by it.
     """
-    rows = lexical_columns(once_per_row(urls.withColumn("_key", F.col("url"))).where("url IS NOT NULL"))
+    rows = lexical_columns(once_per_row(urls.withColumn("_key", F.col("url"))))
     filled = [
         F.when(F.col("valid"), F.col(f).cast("int")).otherwise(0).alias(f) for f in LEXICAL_FEATURES
     ]
     trees = models.gbdt.transform(rows.select(*urls.columns, "_key", "valid", *filled))
-    gbdt_flag = F.col("valid") & (F.col("predictions") == CLASS_SUSPICIOUS)
+    gbdt_flag = F.coalesce("valid", F.lit(False)) & (F.col("predictions") == CLASS_SUSPICIOUS)
     words = trees.select(
         *urls.columns, "_key", gbdt_flag.alias("gbdt_flag"), token_word(F.col("url")).alias("Word")
     )
     return bayes_transform(words, models.bayes).select(
         *urls.columns,
         "gbdt_flag",
-        (F.col("predictions") == CLASS_SUSPICIOUS).alias("bayes_flag"),
+        (F.col("url").isNotNull() & (F.col("predictions") == CLASS_SUSPICIOUS)).alias("bayes_flag"),
         "prob_Bayes",
     )
 

@@ -15,7 +15,6 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, NaiveBayes
 from pyspark.ml.feature import CountVectorizer, RegexTokenizer, VectorAssembler
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +23,7 @@ from threatsieve.functions.url import LEXICAL_FEATURES, lexical_features
 from threatsieve.operators import token_bayes
 from threatsieve.operators.token_bayes import TokenBayes
 from threatsieve.operators.weights import COPIES, once_per_row, weigh
+from threatsieve.sinks.text import path_exists
 
 # Most distinct labelled URLs a fit uses; what the driver holds of the vocabulary follows from it.
 MAX_LABELLED = 1_000_000
@@ -126,9 +126,5 @@ def load_model(path: str) -> PipelineModel:
 
 def load_bayes(path: str) -> PipelineModel | TokenBayes:
     """A naive Bayes model in either form."""
-    try:
-        return token_bayes.load(SparkSession.active(), path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return load_model(path)
+    spark = SparkSession.active()
+    return token_bayes.load(spark, path) if path_exists(spark, f"{path}/classes") else load_model(path)

@@ -38,10 +38,19 @@ def write_batch_text(df: DataFrame, directory: str, day: str, batch: str, separa
     write_day_text(df, f"{directory}/{day}", f"batch={batch}", separator, "overwrite")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def drop_batch_text(spark: SparkSession, directory: str, day: str, batch: str) -> None:
-    """Remove what an earlier run of the same batch has written, if anything."""
+    """Remove what was written for a batch, if anything, and the folders above that are empty then."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{directory}/{day}/batch={batch}")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(path, True)
+    for above in (path.getParent(), path.getParent().getParent()):
+        if files.exists(above) and not len(files.listStatus(above)):
+            files.delete(above, False)
 
 
 def merge_small_files(
