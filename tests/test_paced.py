@@ -1,0 +1,132 @@
+"""The byte-paced source: ranges against whole files, ceilings, restarts, compressed files."""
+
+from __future__ import annotations
+
+import bz2
+import gzip
+import json
+import os
+import random
+
+import pytest
+
+from threatsieve.sources import paced
+
+
+def texts(rng, n):
+    return [rng.choice(["", "a", "é|x", "long " * rng.randint(0, 40), "\ttab\t"]) + str(k) for k in range(n)]
+
+
+def reader(path, **options):
+    return paced.PacedReader({"path": str(path), "settle_seconds": "0", **{k: str(v) for k, v in options.items()}})
+
+
+def read(source, ranges):
+    return [v for part in ranges for batch in source.read(part) for v in batch["value"].to_pylist()]
+
+
+@pytest.mark.parametrize("ending", [b"", b"\n"])
+def test_any_cut_gives_every_line_once(tmp_path, monkeypatch, ending):
+    rng = random.Random(1)
+    lines = ["", *texts(rng, 60), "", "ü" * 50, "end"]
+    data = "\n".join(lines).encode() + ending
+    (tmp_path / "a.log").write_bytes(data)
+    source = reader(tmp_path)
+    path = str(tmp_path / "a.log")
+    for block in (1 << 20, 7, 1):
+        monkeypatch.setattr(paced, "BLOCK", block)
+        for step in (1, 2, 13, 100, len(data), len(data) + 5):
+            ranges = [paced.FileRange(path, at, min(at + step, len(data))) for at in range(0, len(data), step)]
+            assert read(source, ranges) == lines, (block, step)
+
+
+def test_odd_bytes_and_ends(tmp_path):
+    (tmp_path / "a").write_bytes(b"x\r\n\xff\xfey\n\r\nlast\r")
+    (tmp_path / "empty").write_bytes(b"")
+    source = reader(tmp_path)
+    end = source.latestOffset()
+    assert read(source, source.partitions(paced.START, end)) == ["x", "��y", "", "last"]
+    assert reader(tmp_path / "nowhere").latestOffset() == paced.START
+    with pytest.raises(ValueError):
+        reader(tmp_path, max_bytes=0)
+
+
+def test_batches_stay_below_the_ceiling(tmp_path):
+    rng = random.Random(2)
+    expected = []
+    (tmp_path / "_hidden").mkdir()
+    (tmp_path / "_hidden" / "x.log").write_text("no\n")
+    (tmp_path / ".part").write_text("no\n")
+    for k, name in enumerate(["b.log", "a.log", "z/c.log.gz", "d.log", "e.log.bz2"]):
+        lines = texts(rng, 200)
+        expected += lines
+        data = "".join(f"{x}\n" for x in lines).encode()
+        file = tmp_path / name
+        file.parent.mkdir(exist_ok=True)
+        file.write_bytes(gzip.compress(data) if name.endswith("gz") else bz2.compress(data) if name.endswith("bz2") else data)
+        os.utime(file, ns=(k * 10**9, k * 10**9))
+    source, start, found, sizes = reader(tmp_path, max_bytes=3000, split_bytes=1500), paced.START, [], []
+    while (end := source.latestOffset()) != start:
+        ranges = source.partitions(start, end)
+        again = reader(tmp_path, max_bytes=3000, split_bytes=700)
+        assert read(again, again.partitions(start, end)) == read(source, ranges)  # a batch that is run again
+        assert again.latestOffset() == reader_after(tmp_path, end).latestOffset()
+        found += read(source, ranges)
+        sizes.append(sum(r.end - r.begin for r in ranges))
+        start = json.loads(json.dumps(end))
+    assert found == expected
+    assert len(sizes) > 5 and max(sizes) <= 3000
+
+
+def reader_after(path, place):
+    source = reader(path, max_bytes=3000)
+    source.commit(place)
+    return source
+
+
+def test_compressed_files_above_the_ceiling_stand_alone(tmp_path):
+    rng = random.Random(3)
+    data = "".join(f"{rng.random()}\n" for _ in range(3000)).encode()
+    (tmp_path / "a.log").write_bytes(b"one\n")
+    (tmp_path / "b.log.gz").write_bytes(gzip.compress(data))
+    for k, name in enumerate(["a.log", "b.log.gz"]):
+        os.utime(tmp_path / name, ns=(k, k))
+    source = reader(tmp_path, max_bytes=100)
+    first = source.latestOffset()
+    second = source.latestOffset()
+    assert read(source, source.partitions(paced.START, first)) == ["one"]
+    assert len(read(source, source.partitions(first, second))) == 3000
+
+
+def test_stream_restarts_at_the_byte(spark, tmp_path):
+    rng = random.Random(4)
+    lines = [f"{k} " + "x" * rng.randint(0, 200) for k in range(2000)]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.log").write_text("".join(f"{x}\n" for x in lines))
+    size = (tmp_path / "in" / "a.log").stat().st_size
+
+    def run(until):
+        stream = paced.paced_lines(spark, str(tmp_path / "in"), size // 5 + 1, split_bytes=size // 12, settle_seconds=0)
+        query = stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "ck"))
+        query = query.trigger(processingTime="0 seconds").start()
+        try:
+            if until is None:
+                query.processAllAvailable()
+            else:
+                while query.isActive and (query.lastProgress is None or query.lastProgress.batchId < until):
+                    query.awaitTermination(0.2)
+        finally:
+            query.stop()
+        assert query.exception() is None
+        return query
+
+    run(1)  # stopped on the way
+    run(None)
+    found = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(r.value for r in found.collect()) == sorted(lines)
+    batches = [json.loads(p.read_text().split("\n")[-1]) for p in (tmp_path / "ck" / "offsets").iterdir() if not p.name.startswith(".")]
+    places = sorted(b["byte"] for b in batches)
+    assert len(places) >= 5 and max(b - a for a, b in zip([0, *places], places, strict=False)) <= size // 5 + 1
+    (tmp_path / "in" / "b.log").write_text("late\n")
+    run(None)
+    assert spark.read.parquet(str(tmp_path / "out")).where("value = 'late'").count() == 1

@@ -1,0 +1,198 @@
+"""The stateful queries: totals per day and unique lines, with late rows, restarts, replays and expiry."""
+
+from __future__ import annotations
+
+import json
+import pathlib
+import random
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from threatsieve.operators import daily as batch_daily
+from threatsieve.operators.report import dedup_urls
+from threatsieve.plans import fixtures as fx
+from threatsieve.plans.queries import models_for
+from threatsieve.sources import lines as src
+from threatsieve.streaming import daily, lifecycle, state, unique
+from threatsieve.streaming import scorer as st
+
+NAMES = [c.split()[0] for c in st.METRICS_SCHEMA.split(", ")]
+
+
+def finished(query):
+    assert query.awaitTermination(300) and query.exception() is None
+    return query
+
+
+def operators(query):
+    """Per stateful operator: rows kept, and rows dropped as too late over all batches of this run."""
+    found = {}
+    for progress in query.recentProgress:
+        for o in json.loads(progress.json)["stateOperators"]:
+            kept = found.get(o["operatorName"], (0, 0))
+            found[o["operatorName"]] = (o["numRowsTotal"], kept[1] + o["numRowsDroppedByWatermark"])
+    return found
+
+
+class Metrics:
+    """Writes batches as the scorer does, a folder each."""
+
+    def __init__(self, spark, tmp_path):
+        self.spark, self.path, self.rows = spark, str(tmp_path / "metrics"), []
+        self.table, self.checkpoint = str(tmp_path / "daily"), str(tmp_path / "ck")
+        self.rng = random.Random(5)
+
+    def put(self, day, name, again=False):
+        counts = {n: Decimal(self.rng.randint(0, 10**20)) if n == "output_count" else self.rng.randint(0, 1000) for n in NAMES[1:]}
+        row = (day, *counts.values()) if not again else next(r for n, r in self.rows if n == name)
+        if not again:
+            self.rows.append((name, row))
+        frame = self.spark.createDataFrame([dict(zip(NAMES, row, strict=True))], st.METRICS_SCHEMA)
+        frame.coalesce(1).write.mode("append").json(f"{self.path}/day={day}/batch={name}")
+
+    def run(self, max_files=None, late="36 hours"):
+        return finished(daily.daily_query(daily.stream_metrics(self.spark, self.path, max_files), self.table, self.checkpoint, None, late))
+
+    def totals(self):
+        return sorted(map(tuple, daily.read_daily(self.spark, self.table).select("day", *batch_daily.STAGES).collect()))
+
+    def expected(self, names):
+        frame = self.spark.createDataFrame([r for n, r in self.rows if n in names], st.METRICS_SCHEMA)
+        return sorted(map(tuple, batch_daily.daily_stats(frame).select("day", *batch_daily.STAGES).collect()))
+
+
+@pytest.fixture
+def metrics(spark, tmp_path):
+    before = spark.conf.get(state.PROVIDER)
+    yield Metrics(spark, tmp_path)
+    spark.conf.set(state.PROVIDER, before)
+
+
+def test_totals_follow_the_batches(spark, metrics):
+    for k, day in enumerate(["20240101", "20240101", "20240102", "20240102"]):
+        metrics.put(day, f"q-{k}")
+    query = metrics.run(max_files=1)
+    assert spark.conf.get(state.PROVIDER) == state.ROCKSDB
+    assert metrics.totals() == metrics.expected({"q-0", "q-1", "q-2", "q-3"})
+    assert operators(query)["stateStoreSave"][0] == 2
+    metrics.put("20240102", "q-4")  # after a restart the sums go on
+    metrics.run()
+    assert metrics.totals() == metrics.expected({n for n, _ in metrics.rows})
+
+
+def test_a_batch_written_twice_counts_once(metrics):
+    metrics.put("20240101", "q-0")
+    metrics.put("20240101", "q-1")
+    metrics.run()
+    metrics.put("20240101", "q-1", again=True)
+    metrics.put("20240101", "q-2")
+    metrics.run()
+    assert metrics.totals() == metrics.expected({"q-0", "q-1", "q-2"})
+
+
+def test_late_rows_and_expiry(metrics):
+    metrics.put("20240101", "q-0")
+    metrics.run()
+    metrics.put("20240102", "q-1")
+    metrics.run()
+    metrics.put("20240101", "q-2")  # within a day: counts
+    metrics.run()
+    assert metrics.totals() == metrics.expected({"q-0", "q-1", "q-2"})
+    metrics.put("20240109", "q-3")
+    query = metrics.run()
+    assert operators(query)["stateStoreSave"][0] == 1  # the old days are gone
+    metrics.put("20240102", "q-4")
+    query = metrics.run()
+    assert operators(query)["dedupeWithinWatermark"][1] == 1
+    assert metrics.totals() == metrics.expected({"q-0", "q-1", "q-2", "q-3"})
+
+
+def test_an_update_that_runs_again_changes_nothing(metrics):
+    for k in range(3):
+        metrics.put("20240101", f"q-{k}")
+        metrics.run()
+    before = metrics.totals()
+    # The last batch is forgotten as a crash after its write would do.
+    entries = [p for p in (pathlib.Path(metrics.checkpoint) / "commits").iterdir() if p.name.isdigit()]
+    last = max(entries, key=lambda p: int(p.name))
+    last.unlink()
+    (last.parent / f".{last.name}.crc").unlink(missing_ok=True)
+    metrics.run()
+    assert metrics.totals() == before == metrics.expected({"q-0", "q-1", "q-2"})
+
+
+def test_totals_of_the_scorer_itself(spark, sf_dir, metrics, tmp_path):
+    source = str(tmp_path / "in")
+    fx.hit_lines(fx.hits(spark, sf_dir)).select("value").repartition(4).write.text(source)
+    scorer = st.Scorer(models_for(spark, sf_dir), fx.URL_INDEX, str(tmp_path / "out"), metrics.path)
+    finished(st.build_query(src.stream_lines(spark, source, 1), scorer, str(tmp_path / "ck_scorer"), seconds=None))
+    metrics.run(max_files=3)
+    written = st.read_metrics(spark, metrics.path)
+    assert written.count() == 4
+    assert metrics.totals() == sorted(map(tuple, batch_daily.daily_stats(written).select("day", *batch_daily.STAGES).collect()))
+
+
+def put_lines(spark, directory, day, batch, urls):
+    rows = spark.createDataFrame([(f"{u}|0.58|0.9",) for u in urls], "value string")
+    rows.coalesce(1).write.text(f"{directory}/{day}/batch={batch}")
+
+
+def test_lines_of_a_day_are_unique(spark, metrics, tmp_path):
+    out, target, checkpoint = str(tmp_path / "out"), str(tmp_path / "unique"), str(tmp_path / "ck_unique")
+
+    def run(max_files=None):
+        return finished(unique.unique_query(unique.stream_results(spark, out, max_files), target, checkpoint))
+
+    def found(day):
+        return sorted(r.value.split("|")[0] for r in unique.read_unique(spark, target, day).collect())
+
+    put_lines(spark, out, "20240101", "a-0", ["u1", "u2", "u1"])
+    put_lines(spark, out, "20240101", "a-1", ["u2", "u3"])
+    put_lines(spark, out, "20240102", "a-2", ["u1", "u4"])
+    query = run(max_files=1)
+    assert found("20240101") == ["u1", "u2", "u3"] and found("20240102") == ["u1", "u4"]
+    for day in ("20240101", "20240102"):
+        assert found(day) == sorted(r.url for r in dedup_urls(src.read_lines(spark, f"{out}/{day}")).collect())
+    assert operators(query)["dedupeWithinWatermark"][0] == 5
+    put_lines(spark, out, "20240102", "a-3", ["u4", "u5"])  # restart: the state knows what was passed on
+    run()
+    assert found("20240102") == ["u1", "u4", "u5"]
+    put_lines(spark, out, "20240105", "a-4", ["u1"])
+    query = run()
+    assert operators(query)["dedupeWithinWatermark"][0] == 1  # shrinks after the watermark
+    put_lines(spark, out, "20240101", "a-5", ["u9"])
+    query = run()
+    assert operators(query)["dedupeWithinWatermark"][1] == 1 and found("20240101") == ["u1", "u2", "u3"]
+    assert found("20240105") == ["u1"]
+
+
+def test_stop_between_batches_and_go_on(spark, sf_dir, metrics, tmp_path):
+    source = str(tmp_path / "in")
+    fx.hit_lines(fx.hits(spark, sf_dir)).select("value").repartition(6).write.text(source)
+    scorer = st.Scorer(models_for(spark, sf_dir), fx.URL_INDEX, str(tmp_path / "out"), metrics.path, commits=str(tmp_path / "commits"))
+
+    def start(seconds):
+        return st.build_query(src.stream_lines(spark, source, 1), scorer, str(tmp_path / "ck2"), seconds=seconds)
+
+    query = start(1)
+    listener = lifecycle.run_until(spark, query, lambda: query.lastProgress is not None and query.lastProgress.batchId >= 1, poll=0.2)
+    assert not query.isActive and query.exception() is None
+    done = st.read_metrics(spark, metrics.path).count()
+    assert 2 <= done < 6 and listener.batches and listener.batches[-1]["id"] == str(query.id)
+    finished(start(None))
+    assert st.read_metrics(spark, metrics.path).agg(F.sum("input_count")).first()[0] == 1000
+    assert st.read_metrics(spark, metrics.path, commits=scorer.commits).count() == 6
+
+
+def test_errors_come_through_the_wait(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a").write_text("x\n")
+
+    def fail(*_):
+        raise RuntimeError("broken batch")
+
+    query = src.stream_lines(spark, str(tmp_path / "in")).writeStream.foreachBatch(fail).option("checkpointLocation", str(tmp_path / "ck")).start()
+    with pytest.raises(Exception, match="broken batch"):
+        lifecycle.run_until(spark, query, lambda: False, poll=0.2)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,12 +27,20 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def stream_lines(
-    spark: SparkSession, path: str, max_files: int | None = None
+    spark: SparkSession, path: str, max_files: int | None = None, max_bytes: str | None = None
 ) -> DataFrame:
-    """A directory of text files as a stream of lines; ``max_files`` per batch paces a replay."""
+    """A directory of text files as a stream of lines; a ceiling per batch paces a replay.
+
+    ``max_files`` counts files, ``max_bytes`` (such as ``512m``) their sizes; Spark takes one of them. Files are not
+    split over batches, so a batch may be one larger file; ``paced_lines`` splits them.
+    """
+    if max_files and max_bytes:
+        raise ValueError("give max_files or max_bytes")
     reader = spark.readStream.schema(LINE_SCHEMA).option("recursiveFileLookup", True)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     return reader.text(path)
 
 
@@ -42,19 +52,24 @@ def kafka_options(
     rate_per_partition: int | None = None,
     seconds: int = 5,
     partitions: int = 1,
+    start_time: datetime | None = None,
 ) -> dict[str, str]:
     """Options of the Kafka source.
 
-    ``start`` counts only for a new checkpoint; afterwards the checkpoint's offsets do. The rate
+    ``start`` counts only for a new checkpoint; afterwards the checkpoint's offsets do. So does ``start_time``, a moment with
+    a zone: each partition begins with its first record from then on, or at its end if there is none. The rate
     limit is stated per partition and second and becomes one ceiling per batch.
     """
     if start not in ("latest", "earliest"):
         raise ValueError(f"start must be latest or earliest, not {start!r}")
-    options = {
-        "kafka.bootstrap.servers": servers,
-        "subscribe": topic,
-        "startingOffsets": start,
-    }
+    options = {"kafka.bootstrap.servers": servers, "subscribe": topic}
+    if start_time is None:
+        options["startingOffsets"] = start
+    elif start_time.tzinfo is None:
+        raise ValueError("start_time needs a zone")
+    else:
+        options["startingTimestamp"] = str(round(start_time.timestamp() * 1000))
+        options["startingOffsetsByTimestampStrategy"] = "latest"
     if group:
         options["kafka.group.id"] = group
     if rate_per_partition:
