@@ -24,6 +24,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,11 +35,14 @@ LEAST_DOCS = 3
 TOP_TERMS = 200
 SHARES = 1_000_000_000
 PIECE = 1 << 20
-# Entries that a task counts before it hands them on.
-HELD = 200_000
+# Entries that a task gathers before it hands them on.
+HELD = 600_000
+ROWS = 10_000
 WORD_BITS = 64
 BLOCK_ROWS = 1024
 # Terms are ASCII letters and all that is not ASCII; texts are lower-cased (A-Z) before.
+TERM_COLUMNS = ["lang", "term", "docs", "sources", "ns"]
+TERM_ROWS = "lang string, term string, docs long, sources array<string>, ns array<long>"
 _TERM = re.compile(rb"[a-z\x80-\xff]+")
 _GAP = re.compile(rb"[^a-z\x80-\xff]")
 
@@ -48,29 +52,34 @@ def _plain(*columns: str) -> list[Column]:
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
-    """``lang, source, term, n, docs`` of every term in a group: occurrences and documents."""
-    schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64()), ("docs", pa.int64())])
+    """``lang, term, docs, sources, ns`` of terms, more than once each: documents, and occurrences by source.
 
-    def rows(held: dict[tuple[str, str], tuple[Counter, Counter]]) -> Iterator[pa.RecordBatch]:
-        for (lang, source), (n, seen) in held.items():
-            terms, k = list(n), len(n)
-            columns = [[lang] * k, [source] * k, terms, list(n.values()), [seen[t] for t in terms]]
-            arrays = [pa.array(c, pa.binary()).cast(pa.string()) if f.name == "term" else pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)]
-            yield pa.record_batch(arrays, schema=schema)
+    A task adds up what it reads and hands on a row per term and language, so frequent terms and large groups shrink before they are shuffled.
+    """
+
+    def rows(held: dict[tuple[str, str], dict[bytes, int]]) -> Iterator[pa.RecordBatch]:
+        terms = pa.array([t for found in held.values() for t in found], pa.binary()).cast(pa.string())
+        counts = np.array([(x >> 32, x & 0xFFFFFFFF) for found in held.values() for x in found.values()], np.int64).reshape(-1, 2)
+        sizes = [len(found) for found in held.values()]
+        of = np.repeat(np.arange(len(sizes)), sizes)
+        lang, source = (pa.array([group[k] for group in held], pa.string()).take(pa.array(of)) for k in range(2))
+        table = pa.table([lang, terms, source, counts[:, 0], counts[:, 1]], ["lang", "term", "source", "n", "docs"])
+        found = table.group_by(["lang", "term"], use_threads=False).aggregate([("docs", "sum"), ("source", "list"), ("n", "list")])
+        yield from found.select(["lang", "term", "docs_sum", "source_list", "n_list"]).rename_columns(TERM_COLUMNS).to_batches(ROWS)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+        held: dict[tuple[str, str], dict[bytes, int]] = {}  # occurrences above 32 bits, documents below
         size = 0
         for batch in batches:
             groups = list(zip(batch["lang"].to_pylist(), batch["source"].to_pylist(), strict=True))
             of, own = -1, Counter()  # the text at hand, which may come in pieces
             for number, piece in [*_pieces(batch), (-1, b"")]:
                 if number != of and of >= 0:
-                    n, seen = held.setdefault(groups[of], (Counter(), Counter()))
-                    size -= len(n)
-                    n.update(own)
-                    seen.update(own.keys())
-                    size += len(n)
+                    found = held.setdefault(groups[of], {})
+                    known, size = found.get, size - len(found)
+                    for term, n in own.items():
+                        found[term] = known(term, 0) + (n << 32) + 1
+                    size += len(found)
                     own = Counter()
                     if size > HELD:
                         yield from rows(held)
@@ -79,8 +88,43 @@ def term_counts(docs: DataFrame) -> DataFrame:
                 own.update(_TERM.findall(piece))
         yield from rows(held)
 
-    found = docs.select(*_plain("lang", "source", "text")).mapInArrow(count, "lang string, source string, term string, n long, docs long")
-    return found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    return docs.select(*_plain("lang", "source", "text")).mapInArrow(count, TERM_ROWS)
+
+
+def merged(table: pa.Table, least_docs: int = 0) -> pa.Table:
+    """One row per term of ``term_counts`` rows in the order of ``lang, term``, of those with enough documents."""
+    new = np.ones(table.num_rows, bool)
+    if table.num_rows > 1:
+        same = (pc.equal(table[c].slice(1), table[c].slice(0, table.num_rows - 1)).to_numpy() for c in ("lang", "term"))
+        new[1:] = ~np.logical_and(*same)
+    run = np.cumsum(new) - 1
+    sizes = pc.list_value_length(table["sources"]).to_numpy()
+    single = pa.table([np.repeat(run, sizes), pc.list_flatten(table["sources"]), pc.list_flatten(table["ns"])], ["run", "source", "n"])
+    summed = single.group_by(["run", "source"], use_threads=False).aggregate([("n", "sum")])
+    lists = summed.group_by("run", use_threads=False).aggregate([("source", "list"), ("n_sum", "list")]).sort_by("run")
+    docs = np.add.reduceat(table["docs"].to_numpy(), np.flatnonzero(new)) if table.num_rows else np.zeros(0, np.int64)
+    first = table.take(pa.array(np.flatnonzero(new)))
+    found = pa.table([first["lang"], first["term"], docs, lists["source_list"], lists["n_sum_list"]], TERM_COLUMNS)
+    return found.filter(pa.array(docs >= least_docs))
+
+
+def kept_terms(counts: DataFrame, least_docs: int) -> DataFrame:
+    """``term_counts`` with one row per kept term; a task holds a batch of rows and the sums of one term."""
+
+    def add_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = pa.concat_tables([held, table]) if held else table
+            last = [pc.equal(table[c], table[c][-1]) for c in ("lang", "term")] if table.num_rows else []
+            whole = table.num_rows - (pc.sum(pc.and_(*last)).as_py() if last else 0)
+            yield from merged(table.slice(0, whole), least_docs).to_batches()
+            held = merged(table.slice(whole))  # may go on in the next batch
+        if held:
+            yield from merged(held, least_docs).to_batches()
+
+    keys = ["lang", "term"]
+    return counts.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(add_up, TERM_ROWS)
 
 
 def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[int, bytes]]:
@@ -92,9 +136,8 @@ def share(n: str, total: str, terms: str) -> Column:
     return F.expr(f"1 + CAST({SHARES} AS DECIMAL(10,0)) * CAST({n} + 1 AS DECIMAL(20,0)) div CAST({total} + {terms} AS DECIMAL(20,0))")
 
 
-def numbered(counts: DataFrame, least_docs: int) -> DataFrame:
-    """``lang, term, lang_n, page, bit`` of every kept term: its place on a page of one language, most frequent first."""
-    schema = pa.schema([("lang", pa.string()), ("term", pa.string()), ("lang_n", pa.int64()), ("page", pa.int64()), ("bit", pa.int32())])
+def numbered(terms: DataFrame) -> DataFrame:
+    """Adds ``lang_n, page, bit`` to kept terms: a place on a page of one language, most frequent first."""
 
     def number(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         page, last, n = TaskContext.get().partitionId() << 40, None, 0
@@ -105,13 +148,13 @@ def numbered(counts: DataFrame, least_docs: int) -> DataFrame:
                     page, last, n = page + 1, lang, 0
                 places.append((page, n))
                 n += 1
-            pages, bits = ([x[k] for x in places] for k in range(2))
-            yield batch_of(schema, lang=batch["lang"], term=batch["term"], lang_n=batch["lang_n"], page=pages, bit=bits)
+            pages, bits = (pa.array([x[k] for x in places], kind) for k, kind in ((0, pa.int64()), (1, pa.int32())))
+            yield pa.record_batch([*batch.columns, pages, bits], [*batch.schema.names, "page", "bit"])
 
-    kept = counts.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("lang_n")).where(F.col("docs") >= least_docs)
+    lang_n = F.aggregate("ns", F.lit(0).cast("long"), lambda a, b: a + b).alias("lang_n")
     order = [F.col("lang"), F.col("lang_n").desc(), F.col("term")]
-    kept = kept.select("lang", "term", "lang_n").repartitionByRange(*order).sortWithinPartitions(*order)
-    return kept.mapInArrow(number, "lang string, term string, lang_n long, page long, bit int")
+    rows = terms.select("lang", "term", lang_n, "sources", "ns").repartitionByRange(*order).sortWithinPartitions(*order)
+    return rows.mapInArrow(number, "lang string, term string, lang_n long, sources array<string>, ns array<long>, page long, bit int")
 
 
 def pair_sums(rows: DataFrame) -> DataFrame:
@@ -179,10 +222,10 @@ def pair_sums(rows: DataFrame) -> DataFrame:
 
 def audit(docs: DataFrame, least_docs: int = LEAST_DOCS, top_terms: int = TOP_TERMS) -> DataFrame:
     """``lang, source, part, item, value, rank``: every other source of a group's language, and its most outstanding terms."""
-    counts = stored(term_counts(docs))
     names = stored(docs.select(*_plain("lang", "source")).distinct().withColumn("gid", F.monotonically_increasing_id()))
-    terms = stored(numbered(counts, least_docs))
-    members = stored(counts.join(terms, ["lang", "term"]).select("lang", "source", "term", "n", "lang_n", "page", "bit"))
+    terms = stored(numbered(stored(kept_terms(term_counts(docs), least_docs))))
+    of_source = F.explode(F.arrays_zip("sources", "ns")).alias("of")
+    members = terms.select("lang", "term", "lang_n", "page", "bit", of_source).select("*", "of.*").drop("of").withColumnsRenamed({"sources": "source", "ns": "n"})
 
     totals = members.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     langs = terms.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("lang_n").alias("lang_total"))
