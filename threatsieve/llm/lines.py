@@ -53,10 +53,11 @@ def without_common_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, least_ch
     seen = lines.select("h1", "h2", "doc_id").distinct()
     common = seen.groupBy("h1", "h2").agg(F.count("*").alias("n_docs")).where(F.col("n_docs") >= least_docs)
     places = F.sort_array(F.collect_set("place")).alias("places")  # as many as the text has lines
-    dropped = lines.join(common, ["h1", "h2"]).groupBy("t1", "t2").agg(places)
+    # Written, so that the join is a plain one: Spark splits the places of a very common line.
+    dropped = lines.join(stored(common.select("h1", "h2")), ["h1", "h2"]).groupBy("t1", "t2").agg(places)
 
     # What stands between two dropped places is cut out as a whole, so the work is in proportion to the text.
-    joined = rows.join(dropped, ["t1", "t2"], "left")
+    joined = rows.join(stored(dropped), ["t1", "t2"], "left")  # likewise for a text with very many copies
     n_lines, n_dropped = F.size("lines"), F.coalesce(F.size("places"), F.lit(0))
     ends = F.concat(F.array(F.lit(-1)), F.col("places"), F.array(n_lines))
     joined = joined.select("doc_id", "lines", n_lines.alias("n_lines"), n_dropped.alias("n_dropped"), ends.alias("ends"))
