@@ -12,7 +12,8 @@ from tokenizers import Tokenizer
 from threatsieve.llm import records
 
 ODD = [
-    "", " ", "  ", " a", "a ", "a  b", "a   b \n c", "\n\n a", "a\n\n b", "a \n\nb", "\t a\t\tb", "it's  I'll", " <|endoftext|> x",
+    "", " ", "  ", " a", "a ", "a  b", "a   b \n c", "\n\n a", "a\n\n b", "a \n\nb", "\t a\t\tb", "it's  I'll", " <|endoftext|> x", "a <|endoftext|> b", "<|endoftext|>",
+    "<|endoftext|><|endoftext|>  a<|endoftext|>\n", "<|endoftext|", "a <|endoftext|>\u00e9",
     "é  ß\xa0x y", "a b c", " \n ", None,
 ]
 
@@ -25,7 +26,8 @@ def coder():
 def test_encoder_equals_the_library(coder):
     rng = random.Random(5)
     texts = [t or "" for t in ODD] + ["".join(rng.choice(" \n\ta'sé1.") for _ in range(rng.randint(0, 14))) for _ in range(2000)]
-    found = coder.tokenizer.encode_batch(texts, add_special_tokens=False)
+    texts += [rng.choice(texts) + "<|endoftext|>" + rng.choice(texts) for _ in range(200)]
+    found = Tokenizer.from_file(records.default_tokenizer()).encode_batch(texts, add_special_tokens=False)
     for _ in range(2):  # the second time from what is kept
         assert coder.encode(texts) == [np.array(x.ids, coder.kind).tobytes() for x in found]
 
@@ -56,7 +58,6 @@ def test_round_trip_and_any_order(spark, tmp_path):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert len(written) > 1 and sum(w.n_docs for w in written) == len(rows)
     tokenizer = Tokenizer.from_file(records.default_tokenizer())
-    tokenizer.encode_special_tokens = True
     start, expected = 0, []
     for doc_id, text, _ in sorted(rows, key=lambda r: r[0]):
         ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 2], "<u4")

@@ -22,6 +22,7 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -69,15 +70,21 @@ class Encoder:
     """Ids of whole texts, as bytes. Words are encoded once per task and kept, up to ``CACHED``.
 
     The tokenizer's patterns never reach from a non-space over a following space, so a text may be cut
-    before each space that follows a word; where spaces stand together the runs are kept whole.
+    before each space that follows a word; where spaces stand together the runs are kept whole. Tokens that were added to the
+    vocabulary (such as an end mark) are looked for first, as the library does, and what stands between them is a text of its own.
     """
 
     _PIECES = re.compile(r"\s*\S+|\s+")
 
     def __init__(self, tokenizer_file: str) -> None:
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.tokenizer.encode_special_tokens = True
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.added = {t.content: np.array([i], self.kind).tobytes() for i, t in added.items()}
+        # Marks that take white space along, or stand for whole words or normalised text only, are left to the library.
+        self.plain = not any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added.values())
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.marks = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if added else None
         self.kept: dict[str, bytes] = {}  # by word, with the space before it
         self.heads: dict[str, bytes] = {}  # by piece, as it is
 
@@ -92,10 +99,11 @@ class Encoder:
         """The ids of the pieces that are not kept; some of them are from now on."""
         missing = list(set().union(*wanted).difference(kept))
         fresh: dict[str, bytes] = {}
+        kind = "H" if self.kind.itemsize == 2 else "I"
         for at in range(0, len(missing), MISSES):
             lot = missing[at : at + MISSES]
             found = self.tokenizer.encode_batch_fast([before + piece for piece in lot], add_special_tokens=False)
-            fresh.update(zip(lot, [np.array(x.ids, self.kind).tobytes() for x in found], strict=True))
+            fresh.update(zip(lot, [array(kind, x.ids).tobytes() for x in found], strict=True))
         room = CACHED - len(self.kept) - len(self.heads)
         if room > 0:
             kept.update([x for x in fresh.items() if len(x[0]) <= CACHED_LENGTH][:room])
@@ -103,16 +111,32 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text; new words of all of them are looked up together."""
+        marked = {k: self.marks.split(text) for k, text in enumerate(texts) if self.marks and self.marks.search(text)}
+        if not marked:
+            return self.encode_unmarked(texts)
+        out = self.encode_unmarked(["" if k in marked else text for k, text in enumerate(texts)])
+        for k, parts in marked.items():
+            if self.plain:
+                between = self.encode_unmarked(parts[::2])
+                out[k] = b"".join(x for pair in zip(between, [*map(self.added.__getitem__, parts[1::2]), b""], strict=True) for x in pair)
+            else:
+                out[k] = np.array(self.tokenizer.encode(texts[k], add_special_tokens=False).ids, self.kind).tobytes()
+        return out
+
+    def encode_unmarked(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts without added tokens."""
         rows = [self.pieces(text) for text in texts]
         new_heads = self.look_up(self.heads, [heads for heads, _ in rows], "")
         new_words = self.look_up(self.kept, [words for _, words in rows], " ")
-        head, word = self.heads.get, self.kept.get
-        out = []
-        for heads, words in rows:
-            ids = [x if (x := head(p)) is not None else new_heads[p] for p in heads]
-            ids += [x if (x := word(p)) is not None else new_words[p] for p in words]
-            out.append(b"".join(ids))
-        return out
+        return [_ids(self.heads, new_heads, heads) + _ids(self.kept, new_words, words) for heads, words in rows]
+
+
+def _ids(kept: dict[str, bytes], fresh: dict[str, bytes], pieces: list[str]) -> bytes:
+    """The ids of all pieces; mostly all of them are kept."""
+    try:
+        return b"".join(map(kept.__getitem__, pieces))
+    except KeyError:
+        return b"".join([kept[p] if p in kept else fresh[p] for p in pieces])
 
 
 def default_tokenizer() -> str:
