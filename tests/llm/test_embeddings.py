@@ -35,8 +35,11 @@ def clustered(seed, n, width, clusters=8, noise=0.35):
     return [[float(np.float32(x)) for x in v] for v in vectors]
 
 
-@pytest.mark.parametrize("kind, block_rows, width", [("float", 10_000, 8), ("float", 40, 8), ("double", 25, 70), ("float", 40, 1300)])
-def test_links_by_brute_force(spark, kind, block_rows, width):
+@pytest.mark.parametrize(
+    "kind, block_rows, width, pivots", [("float", 10_000, 8, 512), ("float", 40, 8, 512), ("double", 25, 70, 2), ("float", 40, 1300, 512)]
+)
+def test_links_by_brute_force(spark, monkeypatch, kind, block_rows, width, pivots):
+    monkeypatch.setattr(embeddings, "MAX_PIVOTS", pivots)
     vectors = clustered(width, 160, width)
     vectors += [vectors[3]] * 5 + [[2 * x for x in vectors[4]], [0.0] * width, [-x for x in vectors[5]], vectors[6][:-1]]
     rows = list(enumerate(vectors))

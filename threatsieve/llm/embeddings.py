@@ -6,7 +6,7 @@ vectors ``x = sx * qx + dx`` the product ``x . y`` differs from ``sx * sy * (qx
 out every pair that cannot reach the threshold. The rest is computed again in double precision.
 
 Equal vectors are compared once. Distinct vectors are dealt into blocks of bounded size around pivots
-(one vector in ``BLOCK_ROWS``, chosen by a hash); a vector is sent to the blocks that a pair of it can be
+(one vector in ``BLOCK_ROWS``, ``MAX_PIVOTS`` at most, chosen by a hash); a vector is sent to the blocks that a pair of it can be
 in by the triangle inequality on angles, and pairs of blocks are compared tile by tile. Tasks return
 counts per vector and a spanning forest, not the pairs.
 
@@ -30,6 +30,8 @@ from pyspark.sql import types as T
 from threatsieve.llm.shared import batch_of, components, stored, unite, whole_groups
 
 BLOCK_ROWS = 8192
+# What every task holds of them is bounded; cells around fewer pivots are cut into more blocks.
+MAX_PIVOTS = 512
 TILE = 1024
 EXACT_PAIRS = 1 << 15
 # Whole numbers below 2 ** 24 are exact in single precision: 127 * 127 * 1024 is.
@@ -119,10 +121,10 @@ def _placed(vectors: DataFrame, threshold: float, block_rows: int) -> DataFrame:
     wide = isinstance(vectors.schema["embedding"].dataType.elementType, T.DoubleType)
     kind = np.float64 if wide else np.float32
     n = vectors.count()
-    wanted = -(-n // block_rows)
+    wanted = min(-(-n // block_rows), MAX_PIVOTS)
     chosen = vectors.orderBy(F.xxhash64("node")).limit(wanted).select("embedding").collect() if wanted > 1 else []
     by_width: dict[int, np.ndarray] = {}
-    for row in chosen:  # one vector in BLOCK_ROWS
+    for row in chosen:  # one vector in BLOCK_ROWS, MAX_PIVOTS at most
         unit = np.array(row[0], np.float64)
         unit /= np.sqrt(unit @ unit)
         by_width[len(unit)] = np.vstack([by_width.get(len(unit), np.empty((0, len(unit)))), unit])
