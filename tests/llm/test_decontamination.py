@@ -38,7 +38,7 @@ def by_hand(docs, items, window=20):
     return found
 
 
-def test_matches_by_brute_force(spark):
+def test_matches_by_brute_force(spark, monkeypatch):
     rng = random.Random(11)
     vocabulary = [a + b for a in "bcdfg" for b in ("an", "el", "ir")]
     items = [(k, " ".join(rng.choice(vocabulary) for _ in range(n))) for k, n in enumerate([3, 5, 9, 10, 13, 15, 20, 33, 120])]
@@ -58,13 +58,24 @@ def test_matches_by_brute_force(spark):
     long_only = bench.where("item_id >= 5")
     found = {(r.doc_id, r.item_id): r.matched for r in d.matches(frame, long_only).collect()}
     assert found == {k: v for k, v in expected.items() if k[1] >= 5}
+    monkeypatch.setattr(d, "BROADCAST_SEEDS", 1)  # seeds are shuffled, lists fetched after
+    found = {(r.doc_id, r.item_id): r.matched for r in d.matches(frame, bench).collect()}
+    assert found == expected
 
 
 def test_shuffled_when_the_benchmark_is_large(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "a b c d e f g h i j k"), (2, "z y x")], "doc_id long, text string")
     bench = spark.createDataFrame([(5, "a b c d e f g h i j")], "item_id long, text string")
     monkeypatch.setattr(d, "BROADCAST_SEEDS", 1)
-    assert [tuple(r) for r in d.matches(docs, bench).collect()] == [(1, 5, 10)]
+    found = d.matches(docs, bench)
+    assert [tuple(r) for r in found.collect()] == [(1, 5, 10)]
+    odd = docs.unionByName(docs.limit(1)).unionByName(spark.createDataFrame([(None, "x a b c d e f g h i j k"), (None, None)], docs.schema))
+    assert sorted((r.doc_id or 0, r.matched) for r in d.matches(odd, bench).collect()) == [(0, 10), (1, 10)]
+    # What is shuffled by seed has no word list.
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "doc_key" in text
+    exchanges = [line for line in found._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange hashpartitioning(seed" in line]
+    assert exchanges
 
 
 def test_odd_rows(spark):

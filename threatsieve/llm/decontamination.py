@@ -66,6 +66,21 @@ def _most_equal(run: Column, needed: Column) -> Column:
     return F.when(total >= needed, F.array_max(sums))
 
 
+def _met(rows: DataFrame, seeds: DataFrame, texts: DataFrame, items: DataFrame) -> DataFrame:
+    """Rows and seeds that are equal, with both word lists.
+
+    While the benchmark's seeds are few they are broadcast, and rows keep their lists. Beyond that only places are shuffled by seed, and
+    those that met fetch the lists of their texts and items, each of which moves once.
+    """
+    if seeds.limit(BROADCAST_SEEDS + 1).count() <= BROADCAST_SEEDS:
+        return rows.join(F.broadcast(seeds), "seed")
+    places = rows.drop("doc").join(seeds.drop("item"), "seed").drop("seed").distinct()
+    once = texts.groupBy("doc_id", "doc_key").agg(F.first("doc").alias("doc")).withColumnsRenamed({"doc_id": "_id", "doc_key": "_key"})
+    found = places.join(once, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("doc_key") == F.col("_key"))).drop("_id", "_key")
+    lists = items.withColumnsRenamed({"item_id": "_id", "item_key": "_key"})
+    return found.join(lists, F.col("item_id").eqNullSafe(F.col("_id")) & (F.col("item_key") == F.col("_key"))).drop("_id", "_key")
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = 20, similarity: float = 0.8) -> DataFrame:
     """``doc_id, item_id, matched`` of every contaminated document: most equal words in a run."""
     words = words_of(F.col("text").cast("string"))
@@ -75,15 +90,14 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = 20, similarity:
     seeds = _seeded(items, "item", "item_at", masks, "item_id", "item_key")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words.alias("doc")).withColumn("doc_key", F.xxhash64("doc"))
     rows = _seeded(texts, "doc", "doc_at", masks, "doc_id", "doc_key")
-    if seeds.limit(BROADCAST_SEEDS + 1).count() <= BROADCAST_SEEDS:
-        seeds = F.broadcast(seeds)
+    met = _met(rows, seeds, texts, items)
     # Hits on one diagonal are one up to a piece of the item. What surrounds them is cut out of the lists as
     # soon as they meet, so that a row holds few words however long its text is.
     shift, piece = F.col("doc_at") - F.col("item_at"), F.floor(F.col("item_at") / window).cast("int")
     low = F.greatest((piece - 1) * window, F.lit(0))
     size = window * 3 + max(map(len, MASKS))
     begin = F.greatest(low + shift, F.lit(0))
-    hits = rows.join(seeds, "seed").select(
+    hits = met.select(
         "doc_id", "doc_key", "item_id", "item_key", shift.alias("shift"), piece.alias("piece"),
         F.size("item").alias("n"), F.slice("item", low + 1, F.lit(size)).alias("near_item"),
         F.slice("doc", begin + 1, F.lit(size)).alias("near_doc"), (begin - low - shift).alias("lead"),
