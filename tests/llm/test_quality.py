@@ -5,6 +5,7 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from threatsieve.llm import quality
 
@@ -70,3 +71,12 @@ def test_odd_rows(spark):
     assert quality.keep_good(docs, model, 1.1).count() == 0
     assert quality.scored(docs.limit(0), model).count() == 0
     assert all(np.isfinite(quality.feature_matrix([b"", b"\xff\xfe", b"a" * 9, "é日\n\n|".encode()])).ravel())
+
+
+def test_repeated_ids_give_one_fit(spark, sf_dir):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    again = docs.unionByName(docs.withColumn("text", F.concat(F.lit("zzz "), "text")).repartition(7))
+    texts = [r.text.encode() for r in docs.orderBy("doc_id").limit(50).collect()]
+    least = again.groupBy("doc_id").agg(F.min("text").alias("text"))
+    first, second, third = (quality.fit_on(d, labels).scores(quality.feature_matrix(texts)).tolist() for d in (again, again.repartition(3), least))
+    assert first == second == third

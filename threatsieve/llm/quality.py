@@ -222,15 +222,16 @@ def fit_on(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     known = known.groupBy("doc_id").agg(F.max("quality").alias("quality"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)  # at most that many small rows
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("quality", "text")
+    # An id that is repeated gives its least text, so the bound holds for rows as well and the fit is the same in every run.
+    rows = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.max("quality").alias("quality"), F.min("text").alias("text"))
+    rows = rows.select("quality", "text")
     schema = pa.schema([("quality", pa.int32()), ("values", pa.list_(pa.float64()))])
 
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch_of(schema, quality=batch["quality"], values=list(feature_matrix(texts_of(batch["text"]))))
 
-    # Repeated ids could bring more rows than labels: the bound holds for rows as well.
-    found = rows.mapInArrow(measure, "quality int, values array<double>").limit(max_labelled).toArrow()
+    found = rows.mapInArrow(measure, "quality int, values array<double>").toArrow()
     values = np.array(found["values"].to_pylist(), np.float64).reshape(found.num_rows, len(FEATURES))
     order = np.lexsort([*values.T, found["quality"].to_numpy()])
     return fit(values[order], found["quality"].to_numpy()[order])
