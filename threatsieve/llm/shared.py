@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all machines share: ``spark.checkpoint.dir``, or one in the warehouse where it is unset."""
+    """The folder all machines share: ``spark.checkpoint.dir``; on one machine also one in the warehouse, where it is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     return folder.rstrip("/")
 
