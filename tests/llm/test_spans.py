@@ -54,6 +54,46 @@ def test_passages_by_brute_force(spark):
     assert len(kept[3].split()) < len(dict(rows)[3].split()) - 50
 
 
+def test_passages_inside_sentences(spark):
+    """Passages of 51 to 60 words that begin and end anywhere in long sentences: nearly all are found, and nothing else goes."""
+    rng = random.Random(7)
+    vocabulary = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(5000)]
+
+    def words(n, left, low, high):
+        out = []
+        for _ in range(n):
+            left -= 1
+            out.append(rng.choice(vocabulary) + ("." if left <= 0 else ""))
+            left = rng.randint(low, high) if left <= 0 else left
+        return out
+
+    rows, passages = [], {}
+    for k in range(400):
+        low, high = rng.choice([(8, 20), (20, 30)])
+        passage = words(rng.randint(51, 60), rng.randint(1, high), low, high)
+        for side in range(2):
+            before, after = words(70 + rng.randint(0, high), high, low, high), words(70, rng.randint(1, high), low, high)
+            rows.append((2 * k + side, " ".join([*before, *passage, *after])))
+        passages[2 * k + 1] = (len(before), len(before) + len(passage))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id: r.text.split() for r in spans.without_repeats(frame).collect()}
+    missed = covered = 0
+    for doc_id, text in rows:
+        own = text.split()
+        if doc_id % 2 == 0:
+            assert kept[doc_id] == own  # the first occurrence stays
+            continue
+        begin, end = passages[doc_id]
+        gone = len(own) - len(kept[doc_id])
+        # One run of words went, from within the passage: what is left is the text around it.
+        head = next((i for i, (a, b) in enumerate(zip(own, kept[doc_id], strict=False)) if a != b), len(kept[doc_id]))
+        assert gone == 0 or (own[:head] + own[head + gone :] == kept[doc_id] and begin - 1 <= head and head + gone <= end + 1)
+        missed += gone == 0
+        covered += gone
+    assert missed <= 0.005 * len(passages)
+    assert covered > 0.75 * sum(e - b for b, e in passages.values())
+
+
 def test_odd_rows(spark):
     frame = spark.createDataFrame([(None, None, 1), (1, "", 2)], "doc_id long, text string, place int")
     assert sorted((r.doc_id or 0, r.text, r.n_removed) for r in spans.without_repeats(frame).collect()) == [(0, None, 0), (1, "", 0)]

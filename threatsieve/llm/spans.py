@@ -2,7 +2,8 @@
 
 A text is cut into units: sentences (ended by a mark and white space, or by a line's end), cut also before one
 word in ``PIECE`` chosen by its hash (so equal passages are cut alike wherever their first sentence began), and those of
-fewer than ``SHORT`` words joined to what follows. Every run of ``span`` consecutive units is hashed over its lower-cased words. Hashes are joined over all documents; units that
+fewer than ``SHORT`` words joined to what follows. What is longer than ``LONG`` words after that is cut before words whose hash is the least among
+``AROUND`` words on either side, so that three whole units fit into nearly any 50 words. Every run of ``span`` consecutive units is hashed over its lower-cased words. Hashes are joined over all documents; units that
 any occurrence of a repeated run covers, but its first, are removed. First is the smallest document id, then the place.
 
 Defined results: a null text stays null, an empty one empty; texts with fewer units than a run stay as they are; the first occurrence
@@ -26,23 +27,37 @@ from threatsieve.llm.shared import batch_of, texts_of
 SPAN = 3
 PIECE = 8
 SHORT = 4
+LONG = 12
+AROUND = 3
 CACHED = 200_000
 NO_ID = -(1 << 63)
 _END = re.compile(r"[.!?…]+[\"'”’»)\]]*\s+|\n\s*")
 _WORD = re.compile(r"\S+")
 
 
-class _Cuts(dict):
-    """Whether a unit may begin at a word: for one word in ``PIECE``, by its hash. Kept up to ``CACHED`` words."""
+class _Hashes(dict):
+    """The hash of a word, by which a unit may begin there. Kept up to ``CACHED`` words."""
 
-    def __missing__(self, word: str) -> bool:
-        cut = xxhash.xxh64_intdigest(word) % PIECE == 0
+    def __missing__(self, word: str) -> int:
+        value = xxhash.xxh64_intdigest(word) & 0x3FFFFFFF
         if len(self) < CACHED:
-            self[word] = cut
-        return cut
+            self[word] = value
+        return value
 
 
-_cuts = _Cuts()
+_hash_of = _Hashes().__getitem__
+
+
+def _least(hashes: list[int], begin: int, end: int) -> list[int]:
+    """Places of a stretch whose hash is the only least one among those around it."""
+    found, at = [], begin + AROUND
+    while at < end - AROUND:
+        own = hashes[at]
+        if own < hashes[at + 1] and own < hashes[at - 1] and own < min(hashes[at - AROUND : at]) and own < min(hashes[at + 1 : at + AROUND + 1]):
+            found.append(at)
+            at += AROUND
+        at += 1
+    return found
 
 
 def units(text: str) -> list[tuple[int, int, str]]:
@@ -55,13 +70,20 @@ def units(text: str) -> list[tuple[int, int, str]]:
             continue
         words = text[at:end].lower().split()
         if len(words) >= 2 * SHORT:
-            marks = [k for k, word in enumerate(words) if _cuts[word]]
+            hashes = list(map(_hash_of, words))
+            marks, last, before = [], 0, len(held)
+            for k in [k for k, value in enumerate(hashes) if not value % PIECE]:
+                if before + k - last >= SHORT and len(words) - k >= SHORT:
+                    marks.append(k)
+                    last, before = k, 0
+            for a, b in zip([0, *marks], [*marks, len(words)], strict=True):
+                if b - a > LONG:
+                    marks += _least(hashes, a, b)
             places = [m.start() for m in _WORD.finditer(text, at, end)] if marks else []
             last = 0
-            for k in marks:
-                if len(held) + k - last >= SHORT and len(words) - k >= SHORT:
-                    out.append((start, places[k], " ".join([*held, *words[last:k]])))
-                    start, last, held = places[k], k, []
+            for k in sorted(marks):
+                out.append((start, places[k], " ".join([*held, *words[last:k]])))
+                start, last, held = places[k], k, []
             words = words[last:]
         at = end
         held += words
