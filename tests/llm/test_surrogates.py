@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import time
 
 import pytest
 
@@ -145,3 +146,25 @@ def test_frames(spark):
     assert counted.columns == ["doc_id", "text", "n_chars", "n_entities", "kinds"]
     assert sorted((r.n_entities, r.kinds) for r in counted.collect()) == [(0, ""), (0, ""), (0, ""), (1, "phone:1"), (1, "phone:1")]
     assert s.with_surrogates(frame.limit(0), KEY).count() == 0
+
+
+def test_long_runs_and_many_entities_take_time_in_proportion():
+    began = time.monotonic()
+    assert s.entities("a." * 100_000 + " x@") == []
+    assert s.entities("a%" * 100_000 + "@") == []
+    many = " ".join(f"a{k}@x.com" for k in range(20_000))
+    assert len(s.entities(many)) == 20_000
+    assert time.monotonic() - began < 20
+    assert s.entities("mail " + "a" * 64 + "@x.com") == [(5, 75, "email")]
+
+
+def test_the_key_comes_from_the_session(spark, sf_dir):
+    frame = spark.createDataFrame([(1, "write to ann.lee@example.com")], "doc_id long, text string")
+    assert s.key_of(spark) == s.DEFAULT_KEY
+    spark.conf.set(s.KEY_SETTING, "another")
+    try:
+        assert s.key_of(spark) == b"another"
+        changed = s.with_surrogates(frame, s.key_of(spark)).first().text
+    finally:
+        spark.conf.unset(s.KEY_SETTING)
+    assert changed == s.replaced("write to ann.lee@example.com", b"another")[0] != s.with_surrogates(frame, s.DEFAULT_KEY).first().text

@@ -6,7 +6,8 @@ length and first digit, given names of one gender, family names with the same pa
 capitals in the same script. A permutation gives distinct entities distinct surrogates and one entity the same surrogate
 in every document, on every machine, without a table of entities; it never maps a value to itself where the form holds
 two values or more. Per document the result is checked: a surrogate that is itself an entity of the document is
-permuted on, and two entities never share one.
+permuted on, and two entities never share one; only there may an entity's surrogate differ from that in other documents.
+Whoever has the key can undo the surrogates.
 
 Types: e-mail address, IPv4 address, payment card (with its check digit), IBAN (with its check digits), US social
 security number, phone number, secret after a naming word or of a known form, name after a title or given name and bare repeats of its parts.
@@ -18,20 +19,23 @@ other columns stay as they are.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 
 ROUNDS = 6
+# The key of the registered queries where the session has none: it is public, so anyone can undo their surrogates.
 DEFAULT_KEY = b"change this key for each release"
+KEY_SETTING = "spark.threatsieve.surrogateKey"
 
 # Given names by gender, as lists that are permuted in themselves.
 GIVEN = {
@@ -50,7 +54,8 @@ LETTERS = {
     "cyrillic": ("аеиоуыэюя", "бвгджзклмнпрстфхцчшщ"),
 }
 
-_EMAIL = re.compile(r"(?<![\w.+-])[A-Za-z0-9](?:[\w.+%-]*[\w+%-])?@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24}(?![\w-])|(?<!\w)[^\W_][\w.+%-]*@[\w-]+(?:\.[\w-]+)+")
+# Local parts have up to 64 characters; unbounded, each dot of a long run would begin a walk over the rest.
+_EMAIL = re.compile(r"(?<![\w.+-])[A-Za-z0-9](?:[\w.+%-]{0,62}[\w+%-])?@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24}(?![\w-])|(?<!\w)[^\W_][\w.+%-]{0,63}@[\w-]+(?:\.[\w-]+)+")
 _IPV4 = re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\w|\.\d)")
 # A run of digit groups that may hold a card; the usual groups of one.
 _CARD = re.compile(r"(?<![\w.])\d(?:[ -]?\d){12,}+")
@@ -277,12 +282,13 @@ def _ibans(text: str) -> list[tuple[int, int]]:
 def entities(text: str) -> list[Entity]:
     """``start, end, type`` of all entities, in order, none overlapping; types found first win."""
     found: list[Entity] = []
-    taken: list[tuple[int, int]] = []
+    taken: list[tuple[int, int]] = []  # in order, none overlapping
 
     def add(start: int, end: int, kind: str) -> None:
-        if all(end <= a or start >= b for a, b in taken):
+        at = bisect.bisect(taken, (start, end))
+        if (at == 0 or taken[at - 1][1] <= start) and (at == len(taken) or taken[at][0] >= end):
             found.append((start, end, kind))
-            taken.append((start, end))
+            taken.insert(at, (start, end))
 
     digit = re.search(r"\d", text) is not None
     if digit or any(mark in text for mark in _MARKS):
@@ -363,7 +369,12 @@ def replaced(text: str, key: bytes) -> tuple[str, list[Entity]]:
     return "".join([*out, text[at:]]), found
 
 
-def with_surrogates(docs: DataFrame, key: bytes = DEFAULT_KEY, counts: bool = False) -> DataFrame:
+def key_of(spark: SparkSession) -> bytes:
+    """The session's key, as text in ``KEY_SETTING``; the public one where it is unset."""
+    return spark.conf.get(KEY_SETTING, DEFAULT_KEY.decode()).encode()
+
+
+def with_surrogates(docs: DataFrame, key: bytes, counts: bool = False) -> DataFrame:
     """``docs`` with replaced texts; with ``counts`` also ``n_entities`` and ``kinds`` (a count per type)."""
     text_at = docs.columns.index("text")
     chars_at = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
@@ -393,4 +404,4 @@ def with_surrogates(docs: DataFrame, key: bytes = DEFAULT_KEY, counts: bool = Fa
 
 def op8_surrogates(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.col("text").cast("string").alias("text"))
-    return with_surrogates(docs, counts=True)
+    return with_surrogates(docs, key_of(spark), counts=True)
