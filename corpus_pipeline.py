@@ -29,8 +29,8 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def private_replaced(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with surrogates for personal data."""
-    return surrogates.with_surrogates(docs)
+    """All documents, with surrogates for personal data under the session's key."""
+    return surrogates.with_surrogates(docs, surrogates.key_of(spark))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
