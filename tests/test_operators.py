@@ -111,6 +111,26 @@ def test_lists_with_and_without_broadcast(spark, threshold):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def test_large_lists_are_tested_before_they_are_shuffled(spark):
+    found = urls(spark, [f"u{k}" for k in range(500)] + [None])
+    listed = spark.range(200_000).select(F.concat(F.lit("u"), F.col("id") * 7).alias("url")).unionByName(urls(spark, [None, "u7", "u7"]))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain, tested = (lists.flag_listed(found, listed, prefilter=p) for p in (False, True))
+        assert sorted(map(str, plain.collect())) == sorted(map(str, tested.collect()))
+        assert {r.url for r in tested.where("listed").collect()} == {f"u{k}" for k in range(0, 500, 7)}
+        kept = [sorted(str(r.url) for r in lists.exclude_listed(found, listed, prefilter=p).collect()) for p in (False, True)]
+        assert kept[0] == kept[1] and len(kept[0]) == 501 - 72
+        whole, hits = max(shuffled_records(plain)), max(shuffled_records(tested))
+        assert whole >= 200_000 and hits < 3000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # A full bitmap lets everything through, and the rows stay right.
+    bitmap = lists.url_bitmap(found, bits=64)
+    assert bitmap.count() == 1
+    assert lists.may_meet(listed, bitmap, bits=64).where("url = 'u7'").count() == 3
+
+
 def test_fusion_counts_every_pair(spark):
     g = spark.createDataFrame([(1, "x")] * 7 + [(1, "y"), (2, "x")], "batch int, url_GBDT string")
     b = spark.createDataFrame(
@@ -130,6 +150,19 @@ def test_fusion_counts_every_pair(spark):
     assert str(row.prob_GBDT) == "0.58" and pairs.schema["prob_GBDT"].dataType.simpleString() == "decimal(2,2)"
 
 
+def test_fusion_leaves_rows_without_keys_out_and_shuffles_less(spark):
+    g = spark.createDataFrame([(1, "x"), (None, "x"), (1, None), (1, "a.com"), (1, "http://b.com")], "batch int, url_GBDT string")
+    b = spark.createDataFrame(
+        [(1, "x", None), (None, "x", 0.5), (1, None, 0.5), (1, "http://a.com", 0.5), (1, "b.com", 0.7), (1, "b.com", 0.9)],
+        "batch int, url_Bayes string, prob_Bayes double",
+    )
+    joined, normalized = fusion.fusion_join(g, b, ["batch"]), fusion.fusion_normalized(g, b, ["batch"])
+    assert [plan(f).count("Exchange hashpartitioning") for f in (joined, normalized)] == [2, 1]
+    assert [(r.batch, r.url, r.prob_Bayes, r.copies) for r in joined.collect()] == [(1, "x", None, 1)]
+    found = sorted((r.url, r.prob_Bayes) for r in normalized.collect())
+    assert found == [("http://a.com", 0.5), ("http://b.com", 0.9), ("http://x", None)]
+
+
 def test_fusion_is_inside_both_sides(spark, sf_dir):
     verdicts = fx.verdicts(fx.hits(spark, sf_dir))
     fused = QUERIES["fusion_join"](spark, sf_dir).select("batch", "url").distinct()

@@ -7,9 +7,10 @@ result is whole and a heavily repeated URL costs one row. ``weights.unweigh`` wr
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threatsieve.functions import constants as C
@@ -31,8 +32,21 @@ def flagged(df: DataFrame, prediction: str) -> DataFrame:
     return df.where(F.col(prediction) == CLASS_SUSPICIOUS)
 
 
-def _rows(df: DataFrame) -> Column:
-    return F.sum(COPIES) if COPIES in df.columns else F.count("*")
+def _whole(keys: Sequence[str]) -> Column:
+    """Whether a row has all keys; the others meet nothing."""
+    return reduce(lambda a, b: a & b, [F.col(key).isNotNull() for key in keys])
+
+
+def _sides(gbdt: DataFrame, bayes: DataFrame, within: Sequence[str], url: Callable[[Column], Column]) -> DataFrame:
+    """Both sides as one frame: ``url, _tree, prob_Bayes`` and the rows that each row stands for."""
+
+    def rows(df: DataFrame) -> Column:
+        return (F.col(COPIES) if COPIES in df.columns else F.lit(1)).cast("decimal(38,0)").alias("_n")
+
+    tree, none = F.lit(True).alias("_tree"), F.lit(None).cast(bayes.schema["prob_Bayes"].dataType).alias("prob_Bayes")
+    left = gbdt.select(*within, url(F.col("url_GBDT")).alias("url"), tree, none, rows(gbdt))
+    right = bayes.select(*within, url(F.col("url_Bayes")).alias("url"), F.lit(False).alias("_tree"), "prob_Bayes", rows(bayes))
+    return left.unionByName(right)
 
 
 def fusion_join(gbdt: DataFrame, bayes: DataFrame, within: Sequence[str] = ()) -> DataFrame:
@@ -41,27 +55,26 @@ def fusion_join(gbdt: DataFrame, bayes: DataFrame, within: Sequence[str] = ()) -
     ``within`` names columns both sides share (a batch) and inside which they are joined. The tree
     side carries the URL with its default scheme and the Bayes side the raw one, so URLs written
     without a scheme do not meet themselves; ``fusion_normalized`` keeps them.
+
+    Both sides are counted in one aggregate and meet in a window over the URL: two shuffles.
     """
-    left = gbdt.groupBy(*within, F.col("url_GBDT").alias("url")).agg(_rows(gbdt).alias("_g"))
-    right = bayes.groupBy(*within, F.col("url_Bayes").alias("url"), "prob_Bayes").agg(
-        _rows(bayes).alias("_b")
-    )
-    return left.join(right, [*within, "url"]).select(
-        *within,
-        "url",
-        gbdt_probability().alias("prob_GBDT"),
-        "prob_Bayes",
-        pair_count(F.col("_g"), F.col("_b")).alias(COPIES),
-    )
+    keys = [*within, "url"]
+    counted = _sides(gbdt, bayes, within, lambda url: url).groupBy(*keys, "_tree", "prob_Bayes").agg(F.sum("_n").alias("_n"))
+    trees = F.max(F.when(F.col("_tree"), F.col("_n"))).over(Window.partitionBy(*keys))
+    met = counted.where(_whole(keys)).withColumn("_g", trees).where(~F.col("_tree") & F.col("_g").isNotNull())
+    return met.select(
+        *within, "url", gbdt_probability().alias("prob_GBDT"), "prob_Bayes",
+        pair_count(F.col("_g"), F.col("_n")).alias(COPIES),
+    )
 
 
 def fusion_normalized(gbdt: DataFrame, bayes: DataFrame, within: Sequence[str] = ()) -> DataFrame:
-    """The same join on the URL with its default scheme, every URL once."""
-    left = gbdt.select(*within, with_default_scheme(F.col("url_GBDT")).alias("url")).distinct()
-    right = bayes.groupBy(*within, with_default_scheme(F.col("url_Bayes")).alias("url")).agg(
-        F.max("prob_Bayes").alias("prob_Bayes")
+    """The same join on the URL with its default scheme, every URL once; one shuffle."""
+    keys = [*within, "url"]
+    met = _sides(gbdt, bayes, within, with_default_scheme).where(_whole(keys)).groupBy(*keys).agg(
+        F.bool_or("_tree").alias("_gbdt"), F.bool_and("_tree").alias("_only"), F.max("prob_Bayes").alias("prob_Bayes")
     )
-    return left.join(right, [*within, "url"]).select(
+    return met.where(F.col("_gbdt") & ~F.col("_only")).select(
         *within, "url", gbdt_probability().alias("prob_GBDT"), "prob_Bayes"
     )
 

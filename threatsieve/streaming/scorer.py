@@ -37,7 +37,8 @@ class Scorer:
     both overwritten when a batch is run again. ``repeat`` writes a line as often as the join of
     both verdict sides has it; otherwise a batch has every URL once. ``bad_lines`` is where lines
     without a URL go; without it they are only counted. ``commits`` is where a manifest of every whole batch goes, written
-    last; a batch that has one is not run again.
+    last; a batch that has one is not run again. ``large_whitelist`` tests a list that outgrows the batches against a
+    bitmap of the batch's URLs before it is shuffled.
     """
 
     models: Models
@@ -49,6 +50,7 @@ class Scorer:
     repeat: bool = False
     bad_lines: str | None = None
     commits: str | None = None
+    large_whitelist: bool = False
 
     def prepare(self, lines: DataFrame) -> DataFrame:
         """The stateless part: the URL and the batch's recorded time, which a replay repeats."""
@@ -87,7 +89,7 @@ class Scorer:
             urls = urls.withColumn("listed", F.lit(False))
         else:
             listed = self.whitelist(batch.sparkSession).select(with_default_scheme(F.col("url")).alias("url"))
-            urls = flag_listed(urls, listed)
+            urls = flag_listed(urls, listed, prefilter=self.large_whitelist)
         return score_both(urls, self.models)
 
     def write_results(self, scored: DataFrame, day: str, name: str) -> dict:
