@@ -1,0 +1,78 @@
+"""Merging small files by size."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from threatsieve.sinks import text
+from threatsieve.sources.lines import read_lines
+
+TARGET = 20_000
+
+
+def put(folder, rng, names):
+    lines = []
+    folder.mkdir(parents=True, exist_ok=True)
+    for name in names:
+        own = [f"{name} {k} " + "x" * rng.randint(0, 60) + rng.choice(["é", "", "下载"]) for k in range(rng.choice([1, 5, 60, 150, 1500]))]
+        (folder / name).write_text("".join(f"{x}\n" for x in own))
+        lines += own
+    return lines
+
+
+def sizes(target):
+    return sorted(p.stat().st_size for p in target.glob("run=*/part-*"))
+
+
+def test_files_are_half_to_all_of_the_size(spark, tmp_path):
+    rng = random.Random(1)
+    source, target = tmp_path / "day", tmp_path / "merged"
+    lines = put(source / "batch=0", rng, [f"a{k}" for k in range(60)]) + put(source / "batch=1", rng, [f"b{k}" for k in range(20)])
+    (source / "batch=1" / "_hidden").write_text("no\n")
+    (source / "batch=1" / "empty").write_text("")
+    taken = text.merge_by_size(spark, str(source), str(target), TARGET)
+    assert taken == 80
+    assert sorted(r.value for r in text.read_merged(spark, str(target)).collect()) == sorted(lines)
+    assert sorted(r.value for r in read_lines(spark, str(target)).collect()) == sorted(lines)
+    found = sizes(target)
+    total = sum(p.stat().st_size for p in source.glob("*/[ab]*"))
+    assert sum(found) == total and len(found) <= total / (TARGET / 2) + 1
+    whole = [s for s in found if s >= TARGET / 2]
+    assert len(found) - len(whole) <= 1  # the last one
+    assert max(found) <= TARGET * 1.02  # a line that begins in a piece is written with it
+    plan = spark.read.text(str(source))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_a_rerun_takes_new_files_only(spark, tmp_path):
+    rng = random.Random(2)
+    source, target = tmp_path / "day", tmp_path / "merged"
+    lines = put(source, rng, ["a", "b"])
+    assert text.merge_by_size(spark, str(source), str(target), TARGET) == 2
+    before = sizes(target)
+    assert text.merge_by_size(spark, str(source), str(target), TARGET) == 0 and sizes(target) == before
+    lines += put(source / "later", rng, ["c"])
+    assert text.merge_by_size(spark, str(source), str(target), TARGET) == 1
+    assert sorted(r.value for r in text.read_merged(spark, str(target)).collect()) == sorted(lines)
+    assert sorted(p.name for p in source.iterdir() if not p.name.startswith(".")) == ["a", "b", "later"]
+
+
+def test_a_half_run_is_not_read(spark, tmp_path, monkeypatch):
+    rng = random.Random(3)
+    source, target = tmp_path / "day", tmp_path / "merged"
+    lines = put(source, rng, ["a", "b", "c"])
+    assert text.read_merged(spark, str(target)).count() == 0
+    with monkeypatch.context() as patch:
+        coalesce = type(spark.range(1)).coalesce
+
+        def fail(self, n):
+            raise RuntimeError("lost")
+
+        patch.setattr(type(spark.range(1)), "coalesce", fail)
+        with pytest.raises(RuntimeError):
+            text.merge_by_size(spark, str(source), str(target), TARGET)
+    assert coalesce and sizes(target) and text.read_merged(spark, str(target)).count() == 0
+    assert text.merge_by_size(spark, str(source), str(target), TARGET) == 3
+    assert sorted(r.value for r in text.read_merged(spark, str(target)).collect()) == sorted(lines)

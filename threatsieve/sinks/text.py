@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threatsieve.operators.weights import COPIES
-from threatsieve.sources.lines import read_lines
+from threatsieve.sources.lines import LINE_SCHEMA, read_lines
 
 
 def delimited(columns: Sequence[str], separator: str = "|", keep_positions: bool = False) -> Column:
@@ -43,6 +44,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
+def ensure_folder(spark: SparkSession, path: str) -> None:
+    """Make a folder that a stream is to read before anything was written there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(place)
+
+
 def drop_batch_text(spark: SparkSession, directory: str, day: str, batch: str) -> None:
     """Remove what was written for a batch, if anything, and the folders above that are empty then."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{directory}/{day}/batch={batch}")
@@ -67,6 +74,48 @@ def merge_small_files(
     lines.write.mode("overwrite").option("compression", "none").text(target)
 
 
+def new_files(spark: SparkSession, source: str, target: str) -> DataFrame:
+    """``path, length`` of the files below ``source`` that no finished merge into ``target`` has taken; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source).select("path", "length")
+    return files.join(_merged(spark, target), "path", "left_anti") if path_exists(spark, f"{target}/_merged") else files
+
+
+def _merged(spark: SparkSession, target: str) -> DataFrame:
+    return spark.read.schema("path STRING, run STRING").parquet(f"{target}/_merged")
+
+
+def merge_by_size(spark: SparkSession, source: str, target: str, file_bytes: int = 128 << 20) -> int:
+    """Copy the lines of new files below ``source`` into files of half to all of ``file_bytes``; gives how many were new.
+
+    Spark packs the files, and pieces of larger ones, into read tasks of up to that size, and each task writes one file: all
+    tasks read at once and nothing is shuffled. Only the last file may be smaller. The files taken are listed last, per run;
+    a run that died before that is neither read nor in the way, and another run takes its files again. The driver holds
+    a path per new file, as for any scan.
+    """
+    new = new_files(spark, source, target).where("length > 0").persist()
+    try:
+        paths = [row.path for row in new.select("path").collect()]
+        if not paths:
+            return 0
+        run = uuid.uuid4().hex
+        packed = spark.newSession()
+        for key, value in (("maxPartitionBytes", file_bytes), ("openCostInBytes", 0), ("minPartitionNum", 1)):
+            packed.conf.set(f"spark.sql.files.{key}", str(value))
+        packed.read.text(paths).write.option("compression", "none").text(f"{target}/run={run}")
+        new.select("path").coalesce(1).write.parquet(f"{target}/_merged/run={run}")
+    finally:
+        new.unpersist()
+    return len(paths)
+
+
+def read_merged(spark: SparkSession, target: str) -> DataFrame:
+    """The lines of all finished merges; a row per run passes the driver."""
+    if not path_exists(spark, f"{target}/_merged"):
+        return spark.createDataFrame([], LINE_SCHEMA)
+    runs = [row.run for row in _merged(spark, target).select("run").distinct().collect()]
+    return read_lines(spark, [f"{target}/run={run}" for run in runs])
+
+
 def write_report(report: DataFrame, directory: str, day: str, name: str = "malicious_urls") -> str:
     """The one-row report as a single text file in ``directory/yyyyMMdd_name``; gives the path."""
     path = f"{directory.rstrip('/')}/{day}_{name}"
