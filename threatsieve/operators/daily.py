@@ -11,8 +11,8 @@ from threatsieve.operators.weights import pair_count
 STAGES = ("input_count", "suffix_count", "gbdt_count", "bayes_count", "output_count")
 
 
-def verdict_stats(verdicts: DataFrame) -> DataFrame:
-    """Rows per day after every stage, from rows with both predictions.
+def url_stats(verdicts: DataFrame) -> DataFrame:
+    """Rows per day, batch and URL after every stage, from rows with both predictions.
 
     Needs ``ts, batch, kept, gbdt_url, bayes_url, gbdt_pred, bayes_pred``. The fused count of a
     batch and URL is (tree rows) x (Bayes rows), so it is counted first and summed per day after;
@@ -20,7 +20,7 @@ def verdict_stats(verdicts: DataFrame) -> DataFrame:
     """
     gbdt = F.col("kept") & (F.col("gbdt_pred") == 0)
     bayes = F.col("kept") & (F.col("bayes_pred") == 0)
-    per_url = verdicts.groupBy(stamp(F.col("ts"), DAY).alias("day"), "batch", "gbdt_url").agg(
+    return verdicts.groupBy(stamp(F.col("ts"), DAY).alias("day"), "batch", "gbdt_url").agg(
         F.count("*").alias("input_count"),
         F.count_if("kept").alias("suffix_count"),
         F.count_if(gbdt).alias("gbdt_count"),
@@ -29,7 +29,16 @@ def verdict_stats(verdicts: DataFrame) -> DataFrame:
             F.count_if(gbdt), F.count_if(bayes & (F.col("gbdt_url") == F.col("bayes_url")))
         ).alias("output_count"),
     )
-    return daily_stats(per_url)
+
+
+def verdict_stats(verdicts: DataFrame) -> DataFrame:
+    """Rows per day after every stage; takes what ``url_stats`` does."""
+    return daily_stats(url_stats(verdicts))
+
+
+def batch_stats(verdicts: DataFrame) -> DataFrame:
+    """Rows per day and batch after every stage; takes what ``url_stats`` does."""
+    return url_stats(verdicts).groupBy("day", "batch").agg(*[F.sum(stage).alias(stage) for stage in STAGES])
 
 
 def daily_stats(metrics: DataFrame) -> DataFrame:

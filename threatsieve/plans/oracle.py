@@ -212,6 +212,23 @@ sc AS (
 )"""
 
 
+_DAILY = """, kept AS (SELECT *, {kept} AS kept FROM verdicts),
+fused AS (
+  SELECT substr(g.batch, 1, 8) AS day, count(*) AS output_count
+  FROM kept g JOIN kept b ON g.batch = b.batch AND g.gbdt_url = b.bayes_url
+  WHERE g.kept AND b.kept AND g.gbdt_pred = 0 AND b.bayes_pred = 0 GROUP BY ALL
+),
+stages AS (
+  SELECT strftime(ts, '%Y%m%d') AS day, count(*) AS input_count, count(*) FILTER (kept) AS suffix_count,
+    count(*) FILTER (kept AND gbdt_pred = 0) AS gbdt_count,
+    count(*) FILTER (kept AND bayes_pred = 0) AS bayes_count
+  FROM kept GROUP BY ALL
+)
+SELECT day, input_count, suffix_count, gbdt_count, bayes_count,
+  CAST(coalesce(output_count, 0) AS VARCHAR) AS output_count
+FROM stages LEFT JOIN fused USING (day)"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL per query name; the tree model's verdicts follow from the rule of the rows it was fitted on."""
     hit_parts = "(SELECT event_id, url AS raw FROM hits) h"
@@ -219,6 +236,7 @@ def oracle_sql() -> dict[str, str]:
     training = "(SELECT label, url AS raw FROM labelled) l"
     reported = (HITS, LISTS, REPORT_URLS, _parts("report_urls", False, "raw"), REPORT_ROWS)
     kept = _ends_with("bayes_url", C.DOWNLOAD_SUFFIXES)
+    daily_stats = _with(HITS, VERDICTS) + _DAILY.format(kept=kept)
     return {
         "hit_lines": _with(HITS, HIT_LINES) + "SELECT event_id, value FROM hit_lines",
         "extract_field": _with(HITS, HIT_LINES)
@@ -290,22 +308,9 @@ SELECT CAST(sum(n) AS BIGINT) AS input_count, CAST(sum(n) AS BIGINT) - count(*)
   count(*) AS dedup_count, count(*) - count(*) FILTER (in_result) AS filtered_count,
   count(*) FILTER (in_result) AS result_count
 FROM distinct_urls""",
-        "daily_stats": _with(HITS, VERDICTS)
-        + f""", kept AS (SELECT *, {kept} AS kept FROM verdicts),
-fused AS (
-  SELECT substr(g.batch, 1, 8) AS day, count(*) AS output_count
-  FROM kept g JOIN kept b ON g.batch = b.batch AND g.gbdt_url = b.bayes_url
-  WHERE g.kept AND b.kept AND g.gbdt_pred = 0 AND b.bayes_pred = 0 GROUP BY ALL
-),
-stages AS (
-  SELECT strftime(ts, '%Y%m%d') AS day, count(*) AS input_count, count(*) FILTER (kept) AS suffix_count,
-    count(*) FILTER (kept AND gbdt_pred = 0) AS gbdt_count,
-    count(*) FILTER (kept AND bayes_pred = 0) AS bayes_count
-  FROM kept GROUP BY ALL
-)
-SELECT day, input_count, suffix_count, gbdt_count, bayes_count,
-  CAST(coalesce(output_count, 0) AS VARCHAR) AS output_count
-FROM stages LEFT JOIN fused USING (day)""",
+        "daily_stats": daily_stats,
+        "stream_daily_stats": daily_stats,
+        "stream_unique_urls": _with(HITS) + "SELECT DISTINCT strftime(ts, '%Y%m%d') AS day, url FROM hits",
         "date_stamps": _with(HITS)
         + """SELECT event_id, strftime(ts, '%Y%m%d') AS day, strftime(ts, '%Y%m%d%H%M%S') AS second,
   strftime(ts, '%Y-%m-%d %H:%M:%S') AS readable

@@ -14,6 +14,7 @@ from threatsieve.functions.url import lexical_features, url_parts, with_default_
 from threatsieve.operators import daily, filters, fusion, lists, report, scoring, token_bayes, training
 from threatsieve.operators.weights import weigh_where
 from threatsieve.plans import fixtures as fx
+from threatsieve.plans import streams
 from threatsieve.session import shared_folder
 from threatsieve.sinks.text import verdict_lines
 from threatsieve.sources import lines as src
@@ -228,6 +229,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "package_urls": package_urls,
     "funnel_counts": funnel_counts,
     "daily_stats": daily_stats,
+    "stream_daily_stats": streams.stream_daily_stats,
+    "stream_unique_urls": streams.stream_unique_urls,
     "date_stamps": date_stamps,
     "province_codes": province_codes,
     "report_rows": report_rows,

@@ -37,6 +37,10 @@ def session_now(spark: SparkSession) -> datetime:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Where all machines can read what a job keeps for itself: ``spark.checkpoint.dir``, or the warehouse where it is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """Where all machines can read what a job keeps for itself: ``spark.checkpoint.dir``; on one machine also the warehouse."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+        folder = spark.conf.get("spark.sql.warehouse.dir")
     return f"{folder.rstrip('/')}/{spark.sparkContext.applicationId}"
