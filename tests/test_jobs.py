@@ -9,8 +9,12 @@ import pytest
 
 from threatsieve.jobs import daily_report, feed_lines, fit_models, score_stream
 from threatsieve.plans import fixtures as fx
+from threatsieve.operators.training import save_model
+from threatsieve.plans.queries import models_for
 from threatsieve.sources.lines import read_lines
+from threatsieve.streaming.daily import read_daily
 from threatsieve.streaming.scorer import read_metrics
+from threatsieve.streaming.unique import read_unique
 
 
 class Borrowed:
@@ -71,6 +75,37 @@ def test_fit_score_report(spark, sf_dir, tmp_path, call):
     assert [e["url"] for e in document["list"]] == sorted(packages)[:7]
 
 
+def test_followers_of_the_scorer(spark, sf_dir, tmp_path, call):
+    models = models_for(spark, sf_dir)
+    save_model(models.gbdt, str(tmp_path / "gbdt"))
+    save_model(models.bayes, str(tmp_path / "bayes"))
+    lines = fx.hit_lines(fx.hits(spark, sf_dir)).select("value").repartition(4)
+    lines.write.text(str(tmp_path / "lines"))
+    stop = tmp_path / "stop"
+    places = {k: tmp_path / k for k in ("out", "metrics", "commits", "daily", "unique")}
+    common = (
+        "--lines", tmp_path / "lines", "--url-index", fx.URL_INDEX, "--gbdt-model", tmp_path / "gbdt", "--bayes-model", tmp_path / "bayes",
+        "--output", places["out"], "--metrics", places["metrics"], "--commits", places["commits"], "--daily", places["daily"],
+        "--unique", places["unique"], "--checkpoint", tmp_path / "ck", "--files", 2,
+    )
+    call(score_stream, *common, "--once")
+    stop.write_text("")
+    call(score_stream, *common, "--seconds", 1, "--stop-file", stop)  # nothing is left to do: stops at once
+    (day,) = read_daily(spark, str(places["daily"])).collect()
+    assert day.input_count == 1000 == read_metrics(spark, str(places["metrics"])).agg({"input_count": "sum"}).first()[0]
+    written = {r.value for r in read_lines(spark, str(places["out"])).collect()}
+    unique = [r.value for r in read_unique(spark, str(places["unique"]), day.day).collect()]
+    assert sorted(unique) == sorted(written)
+    empty = tmp_path / "empty.txt"
+    empty.write_text("")
+    call(
+        daily_report, "--input", places["out"], "--commits", places["commits"], "--day", day.day, "--output", tmp_path / "report",
+        "--white", empty, "--black", empty, "--limit", 5,
+    )
+    (report,) = (tmp_path / "report").glob("*_malicious_urls")
+    assert len(json.loads(spark.read.text(str(report)).first().value)["list"]) == 5
+
+
 def test_one_source_must_be_given(call, tmp_path):
     with pytest.raises(SystemExit):
         call(

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import pathlib
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -154,9 +155,31 @@ def test_kafka_options():
     }
     with pytest.raises(ValueError):
         src.kafka_options("h", "t", start="middle")
+    noon = datetime(2024, 5, 1, 12, tzinfo=timezone(timedelta(hours=8)))
+    timed = src.kafka_options("h:9092", "t", start_time=noon)
+    assert timed == {
+        "kafka.bootstrap.servers": "h:9092", "subscribe": "t",
+        "startingTimestamp": "1714536000000", "startingOffsetsByTimestampStrategy": "latest",
+    }
+    with pytest.raises(ValueError):
+        src.kafka_options("h", "t", start_time=datetime(2024, 5, 1))
     assert st.publish_options("h:9092", "url")["kafka.acks"] == "1"
 
 
+def test_files_are_paced_by_bytes(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for k in range(6):
+        (folder / f"{k}.log").write_text(f"line {k}\n" * 100)
+    stream = src.stream_lines(spark, str(folder), max_bytes="1500")
+    query = stream.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+    assert query.awaitTermination(120) and query.exception() is None
+    rows = [p.numInputRows for p in query.recentProgress if p.numInputRows]
+    assert sum(rows) == 600 and len(rows) == 3
+    with pytest.raises(ValueError):
+        src.stream_lines(spark, str(folder), 1, "1m")
+
+
 def test_probe_prints_rows(spark, source, tmp_path, capfd):
     query = st.probe_query(src.stream_lines(spark, source), fx.URL_INDEX, rows=10, seconds=1)
     try:
