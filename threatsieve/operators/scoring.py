@@ -43,14 +43,15 @@ def first_probability(vector: Column) -> Column:
 
 
 def bayes_transform(rows: DataFrame, model: PipelineModel | TokenBayes) -> DataFrame:
-    """Append ``predictions`` and ``prob_Bayes`` to distinct rows with their token text in ``Word``."""
+    """``predictions`` and ``prob_Bayes`` instead of the token text in ``Word``, of distinct rows."""
+    kept = [c for c in rows.columns if c != "Word"]
     if isinstance(model, TokenBayes):
-        scored = token_bayes.with_verdicts(rows, model, F.col("Word"))
+        scored = token_bayes.with_verdicts(rows, model, F.col("Word"), kept)
         probability = F.get("myProbability", 0)
     else:
         scored = model.transform(rows.withColumn("Word", F.coalesce("Word", F.lit(""))))
         probability = first_probability(F.col("myProbability"))
-    return scored.select(*rows.columns, "predictions", probability.alias("prob_Bayes"))
+    return scored.select(*kept, "predictions", probability.alias("prob_Bayes"))
 
 
 def gbdt_verdicts(urls: DataFrame, model: PipelineModel) -> DataFrame:

@@ -1,8 +1,9 @@
 """Multinomial naive Bayes whose model is two tables, for vocabularies of any size.
 
-``weights`` has ``token, label, log_weight`` for every token of the labelled URLs and every label, ``classes`` has
-``label, log_prior``, a row per label. Both come from one aggregate over the exploded tokens; a URL is scored by joining its tokens
-with the weights. No vocabulary passes through the driver and no labelled row is left out.
+``weights`` has ``token, log_weights`` for every token of the labelled URLs, a logarithm per label; ``classes`` has
+``label, log_prior``, a row per label, in the order of the labels. Both come from one aggregate over the exploded tokens; a URL is scored by
+joining its tokens with the weights and adding up. No vocabulary passes through the driver, only the classes do, and
+no labelled row is left out.
 
 Tokens such as ``com`` stand in nearly every URL. When fitting, they are summed in each task before they are shuffled. When scoring,
 small weights are broadcast by their measured size, and large ones joined by a plain sort-merge join, whose
@@ -11,6 +12,7 @@ large partitions Spark splits at run time.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,14 +22,23 @@ from threatsieve.functions.tokens import token_word
 from threatsieve.operators.weights import COPIES
 
 SMOOTHING = 1.0
+# Logarithms are added up as whole numbers of this part of one, so that sums do not depend on the order of their terms.
+UNITS = 10**10
 
 
 @dataclass(frozen=True)
 class TokenBayes:
-    """A fitted model."""
+    """A fitted model; ``priors`` are the rows of ``classes``, by ascending label."""
 
     weights: DataFrame
     classes: DataFrame
+    priors: tuple[tuple[int, float], ...]
+
+    def long(self) -> DataFrame:
+        """``token, label, log_weight``, a row per token and label."""
+        labels = F.array(*[F.lit(label) for label, _ in self.priors])
+        pairs = F.explode(F.arrays_zip(labels.alias("label"), F.col("log_weights").alias("log_weight"))).alias("of")
+        return self.weights.select("token", pairs).select("token", "of.label", "of.log_weight")
 
 
 def tokens_of(word: Column) -> Column:
@@ -43,8 +54,8 @@ def token_counts(labelled: DataFrame) -> DataFrame:
     return rows.groupBy("token", "label").agg(F.sum(COPIES).alias("n"))
 
 
-def model_of(counts: DataFrame, smoothing: float = SMOOTHING) -> TokenBayes:
-    """The model of ``token_counts``; read more than once, so give it a stored or persisted frame."""
+def tables_of(counts: DataFrame, smoothing: float = SMOOTHING) -> tuple[DataFrame, DataFrame]:
+    """``weights`` and ``classes`` of ``token_counts``; read more than once, so give it a stored or persisted frame."""
     known = counts.where("token IS NOT NULL")
     every = F.lit(smoothing)
     sizes = counts.groupBy("label").agg(
@@ -59,57 +70,58 @@ def model_of(counts: DataFrame, smoothing: float = SMOOTHING) -> TokenBayes:
 
     tokens = known.groupBy("token").agg(F.map_from_entries(F.collect_list(F.struct("label", "n"))).alias("by_label"))
     vocabulary = known.select(F.count_distinct("token")).scalar()
-    totals = sizes.agg(F.collect_list(F.struct("label", "total"))).scalar()
-    spread = tokens.select("token", "by_label", F.explode(totals).alias("of"))
-    n = F.coalesce(F.try_element_at("by_label", F.col("of.label")), F.lit(0))
-    weight = F.log((n + every) / (F.col("of.total") + every * vocabulary))
-    return TokenBayes(spread.select("token", F.col("of.label").alias("label"), weight.alias("log_weight")), classes)
+    totals = sizes.agg(F.array_sort(F.collect_list(F.struct("label", "total")))).scalar()
+    sized = tokens.select("token", "by_label", totals.alias("totals"), vocabulary.alias("vocabulary"))
+
+    def weight(of: Column) -> Column:
+        n = F.coalesce(F.try_element_at("by_label", of["label"]), F.lit(0))
+        return F.log((n + every) / (of["total"] + every * F.col("vocabulary")))
+
+    return sized.select("token", F.transform("totals", weight).alias("log_weights")), classes
 
 
 def fit(labelled: DataFrame, path: str, smoothing: float = SMOOTHING) -> TokenBayes:
     """Fit on all labelled rows and write the model below ``path``; gives it as read from there."""
     spark = labelled.sparkSession
     token_counts(labelled).write.mode("overwrite").parquet(f"{path}/counts")
-    model = model_of(spark.read.parquet(f"{path}/counts"), smoothing)
-    save(model, path)
+    _write(*tables_of(spark.read.parquet(f"{path}/counts"), smoothing), path)
     return load(spark, path)
 
 
+def _write(weights: DataFrame, classes: DataFrame, path: str) -> None:
+    """Both tables; ``classes`` last, so that a model without it is not whole."""
+    weights.write.mode("overwrite").parquet(f"{path}/weights")
+    classes.coalesce(1).write.mode("overwrite").parquet(f"{path}/classes")
+
+
 def save(model: TokenBayes, path: str) -> None:
-    """Write both tables; ``classes`` last, so that a model without it is not whole."""
-    model.weights.write.mode("overwrite").parquet(f"{path}/weights")
-    model.classes.coalesce(1).write.mode("overwrite").parquet(f"{path}/classes")
+    _write(model.weights, model.classes, path)
 
 
 def load(spark: SparkSession, path: str) -> TokenBayes:
-    return TokenBayes(spark.read.parquet(f"{path}/weights"), spark.read.parquet(f"{path}/classes"))
+    weights, classes = (spark.read.parquet(f"{path}/{table}") for table in ("weights", "classes"))
+    return TokenBayes(weights, classes, tuple(sorted(map(tuple, classes.collect()))))  # a row per label
 
 
-def with_verdicts(rows: DataFrame, model: TokenBayes, word: Column) -> DataFrame:
+def with_verdicts(rows: DataFrame, model: TokenBayes, word: Column, keep: Sequence[str] | None = None) -> DataFrame:
     """Append ``predictions`` and ``myProbability`` (by ascending label) from the token text ``word``.
 
-    Rows must be distinct, as weighted frames are. Tokens that the model does not know say nothing. A sum's order is that of its
-    terms, so that a URL has the same probability in every run and plan.
+    Rows must be distinct in the columns to ``keep`` (all), as weighted frames are. Tokens that the model does not know say nothing. A URL has the same
+    probability in every run and plan; the smaller label wins a tie.
     """
-    classes = model.classes.agg(F.array_sort(F.collect_list(F.struct("label", "log_prior")))).scalar()
-    kept = [F.col(f"`{c}`") for c in rows.columns]
+    if not model.priors:
+        raise ValueError("the model was fitted on no rows")
+    kept = [F.col(f"`{c}`") for c in keep or rows.columns]
     exploded = rows.select(*kept, F.explode_outer(tokens_of(word)).alias("_token"))
-    weights = model.weights.select(F.col("token").alias("_token"), F.struct("label", "log_weight").alias("_known"))
-    # Nulls (unknown tokens, URLs without tokens) are not collected.
-    gathered = exploded.join(weights, "_token", "left").groupBy(*kept).agg(F.array_sort(F.collect_list("_known")).alias("_found"))
-    gathered = gathered.withColumn("_classes", classes)
-
-    def raw_of(label: Column) -> Column:
-        own = F.filter("_found", lambda known: known["label"] == label["label"])
-        return F.aggregate(own, label["log_prior"], lambda total, known: total + known["log_weight"])
-
-    scored = gathered.withColumn("_raw", F.transform("_classes", raw_of))
-    shares = F.transform("_raw", lambda raw: F.exp(raw - F.array_max("_raw")))
-    scored = scored.withColumn("_shares", shares)
-    total = F.aggregate("_shares", F.lit(0.0), lambda a, b: a + b)
-    best = F.array_position("_raw", F.array_max("_raw")).cast("int")
-    return scored.select(
-        *kept,
-        F.element_at("_classes", best)["label"].alias("predictions"),
-        F.transform("_shares", lambda share: share / total).alias("myProbability"),
-    )
+    places = range(len(model.priors))
+    units = [F.round(F.get("log_weights", k) * UNITS).cast("bigint").alias(f"_w{k}") for k in places]
+    weights = model.weights.select(F.col("token").alias("_token"), *units)
+    sums = [F.coalesce(F.sum(f"_w{k}"), F.lit(0)).alias(f"_s{k}") for k in places]
+    summed = exploded.join(weights, "_token", "left").groupBy(*kept).agg(*sums)
+    raw = [F.lit(prior) + F.col(f"_s{k}") / F.lit(float(UNITS)) for k, (_, prior) in enumerate(model.priors)]
+    scored = summed.select(*kept, F.array(*raw).alias("_raw")).select("*", F.array_max("_raw").alias("_top"))
+    shares = [F.exp(F.get("_raw", k) - F.col("_top")) for k in places]
+    labels = F.array(*[F.lit(label) for label, _ in model.priors])
+    best = F.element_at(labels, F.array_position("_raw", F.col("_top")).cast("int"))
+    total = sum(shares[1:], shares[0])
+    return scored.select(*kept, best.alias("predictions"), F.array(*[share / total for share in shares]).alias("myProbability"))

@@ -103,7 +103,7 @@ def bayes_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both tables of the model; the priors as weights of the empty token."""
     model = models_for(spark, sf_dir).bayes
     priors = model.classes.select(F.lit("").alias("token"), "label", F.col("log_prior").alias("log_weight"))
-    return model.weights.unionByName(priors).withColumn("log_weight", F.round("log_weight", 6))
+    return model.long().unionByName(priors).withColumn("log_weight", F.round("log_weight", 6))
 
 
 def gbdt_score(spark: SparkSession, sf_dir: str) -> DataFrame:
