@@ -9,10 +9,10 @@ a page. A group has a 64-bit set per page and count; its terms with count zero a
 their bits counted, give the joint cells: so many terms have this count here and that count there, each worth the same ``f``.
 Where a page has sets of very many groups, these are dealt over pairs of blocks.
 
-All arithmetic is exact: shares and ``f`` are integers below 2^63, totals decimals.
+All arithmetic is exact: shares and ``f`` are integers below 2^63, the products that shares come from are decimals.
 
-Defined results: a null text, language or source is an empty one; every row is a document, repeated ones too; a group without terms, or a
-language without kept terms, has its pairs all the same (value 0 where no term is kept) and no terms; a language with one source has no
+Defined results: a null text, language or source is an empty one; every row is a document, repeated ones too; a group without terms and a
+language without kept terms still have their pairs (value 0 where no term is kept), but no terms; a language with one source has no
 pairs; ties go in the order of the items' UTF-8; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -40,9 +40,9 @@ HELD = 600_000
 ROWS = 10_000
 WORD_BITS = 64
 BLOCK_ROWS = 1024
-# Terms are ASCII letters and all that is not ASCII; texts are lower-cased (A-Z) before.
 TERM_COLUMNS = ["lang", "term", "docs", "sources", "ns"]
 TERM_ROWS = "lang string, term string, docs long, sources array<string>, ns array<long>"
+# Terms are ASCII letters and all that is not ASCII; texts are lower-cased (A-Z) before.
 _TERM = re.compile(rb"[a-z\x80-\xff]+")
 _GAP = re.compile(rb"[^a-z\x80-\xff]")
 
