@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threatsieve.llm.shared import batch_of, texts_of
+from threatsieve.llm.shared import batch_of, stored, texts_of
 
 SPAN = 3
 PIECE = 8
@@ -123,9 +123,10 @@ def without_repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
     """``doc_id, text, n_units, n_removed`` of every row; ``text`` without what repeats."""
     rows = docs.select(F.col("doc_id").cast("long").alias("row_id"), F.col("text").cast("string").alias("text"))
     rows = rows.withColumn("doc_id", F.coalesce("row_id", F.lit(NO_ID)))
-    found = runs(rows.select("doc_id", "text"), span)
+    found = stored(runs(rows.select("doc_id", "text"), span))  # used twice
     first = found.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "place")).alias("first")).where("n > 1")
-    repeats = found.join(first, ["h1", "h2"]).where("struct(doc_id, place) <> first")
+    # Written, so that the join is a plain one: Spark splits the places of a very common run.
+    repeats = found.join(stored(first), ["h1", "h2"]).where("struct(doc_id, place) <> first")
     covered = repeats.groupBy("doc_id").agg(F.collect_set("place").alias("places"))  # as many as the document has units
 
     shape = "doc_id long, text string, n_units int, n_removed int"
