@@ -45,8 +45,8 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def ensure_folder(spark: SparkSession, path: str) -> None:
-    """Make a folder that a stream is to read before anything was written there."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    """Make a folder that a stream is to read before anything was written there; it is not taken for empty and dropped later."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_followed")
     place.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(place)
 
 
