@@ -84,7 +84,8 @@ def test_ties_and_long_parts_take_no_longer(coder):
         began = time.monotonic()
         found = coder.encode(text)
         assert time.monotonic() - began < 20
-        assert len(found) == 4 and coder.decode(found[-1][1].tolist()) == text
+        # Characters without longer pieces have one segmentation.
+        assert len(found) == (4 if text.isascii() else 1) and coder.decode(found[-1][1].tolist()) == text
         assert [s for s, _ in found] == sorted((s for s, _ in found), reverse=True)
 
 
