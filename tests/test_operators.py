@@ -211,6 +211,35 @@ def test_models_learn_the_labels(spark, sf_dir):
     assert again.stages[-1].toDebugString.split("\n")[1:] == once.stages[-1].toDebugString.split("\n")[1:]
 
 
+def test_trees_are_fitted_on_distinct_features(spark, monkeypatch):
+    """URLs with equal features and label are one row of their weight, counted before or not."""
+    rows = [(f"http://a.com/x{n}.apk", n % 2) for n in range(10, 40)] + [("http://a.com/x11.apk", 1)] * 5
+    labelled = spark.createDataFrame(rows, "url string, label int")
+    seen, kept = [], training._kept
+
+    def spy(frame):
+        seen.append(sorted((r.label, r.copies) for r in frame.collect()))
+        return kept(frame)
+
+    monkeypatch.setattr(training, "_kept", spy)
+    trees = [training.fit_gbdt(of, rounds=2).stages[-1].toDebugString.split("\n")[1:] for of in (labelled, weigh(labelled, "url", "label"))]
+    assert seen == [[(0, 15), (1, 20)]] * 2 and trees[0] == trees[1]
+
+
+def test_weighted_hits_are_labelled_once(spark, sf_dir):
+    hits = fx.hits(spark, sf_dir)
+    counted = weigh(fx.labelled(hits), "url", "label")
+    whole, once = fx.ruled(hits), fx.ruled(counted)
+    assert once.count() == counted.count() < whole.count()
+    assert set(map(tuple, weigh(once, "url", "label").collect())) == set(map(tuple, weigh(whole, "url", "label").collect()))
+
+
+def test_downloads_are_told_by_their_end(spark):
+    values = ["apk", "pk", "", "k", "é.apk", "日本sisx", "😀rar", "sisx ", "x.apk\n", "apkx", None, "下" * 300 + "zip"]
+    found = [r.d for r in urls(spark, values).select(filters.is_download(F.col("url")).alias("d")).collect()]
+    assert found == [None if v is None else v.endswith(C.DOWNLOAD_SUFFIXES) for v in values]
+
+
 def test_fits_are_bounded_by_whole_urls(spark, sf_dir):
     labelled = fx.labelled(fx.hits(spark, sf_dir))
     counted = weigh(labelled, "url", "label")

@@ -10,14 +10,16 @@ from threatsieve.functions.url import ends_with_any
 
 
 _DOWNLOAD = rf"(?:{'|'.join(C.DOWNLOAD_SUFFIXES)})\z"
+_LONGEST = max(map(len, C.DOWNLOAD_SUFFIXES))
 
 
 def is_download(url: Column) -> Column:
     """Download-like URL: case-sensitive, no dot asked for, on the raw URL.
 
-    One pattern, so that a URL which is itself worked out is worked out once.
+    One pattern, so that a URL which is itself worked out is worked out once; only the end is looked at, as a
+    pattern would be tried at every place of the URL.
     """
-    return url.rlike(_DOWNLOAD)
+    return F.substring(url, -_LONGEST, _LONGEST).rlike(_DOWNLOAD)
 
 
 def download_suffix(df: DataFrame, column: str = "url", stored: bool = False) -> DataFrame:

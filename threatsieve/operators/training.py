@@ -61,7 +61,7 @@ def _counted(labelled: DataFrame, max_labelled: int) -> Iterator[DataFrame]:
     """Equal labelled rows as one weighted row, at most about ``max_labelled`` URLs; kept during the fit."""
     rows = weigh(labelled, "url", "label").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        total = rows.select("url").distinct().count()
+        total = rows.select(F.xxhash64("url")).distinct().count()  # the hash that a bound goes by
         log.info("fitting on %d of %d distinct labelled URLs", min(total, max_labelled), total)
         # The many small stages of a fit are as wide as its rows ask for, not as the session is.
         tasks = 1 + min(total, max_labelled) // URLS_PER_TASK
@@ -83,15 +83,17 @@ def _kept(rows: DataFrame) -> Iterator[DataFrame]:
 def fit_gbdt(
     labelled: DataFrame, rounds: int = 20, depth: int = 5, seed: int = 7, max_labelled: int = MAX_LABELLED
 ) -> PipelineModel:
-    """Boosted trees on the lexical features; equal rows are fitted as one weighted row."""
+    """Boosted trees on the lexical features; URLs with equal features and label are fitted as one weighted row."""
     assembler = VectorAssembler(inputCols=list(LEXICAL_FEATURES), outputCol="features")
     trees = GBTClassifier(
         featuresCol="features", labelCol="label", predictionCol="predictions",
         weightCol=COPIES, maxIter=rounds, maxDepth=depth, seed=seed,
     )
     with _counted(labelled, max_labelled) as counted:
-        with _kept(lexical_features(counted, keep=["label", COPIES])) as rows:
-            return Pipeline(stages=[assembler, trees]).fit(rows)
+        featured = weigh(lexical_features(counted, keep=["label", COPIES]), *LEXICAL_FEATURES, "label")
+        with _kept(featured) as rows:
+            tasks = 1 + rows.count() // URLS_PER_TASK
+            return Pipeline(stages=[assembler, trees]).fit(rows.coalesce(tasks))
 
 
 def fit_bayes(labelled: DataFrame, max_labelled: int = MAX_LABELLED) -> PipelineModel:

@@ -18,8 +18,9 @@ def pair_count(left: Column, right: Column) -> Column:
 
 
 def weigh(df: DataFrame, *columns: str) -> DataFrame:
-    """Distinct values of the columns with their row count as ``copies``."""
-    return df.groupBy(*columns).agg(F.count("*").alias(COPIES))
+    """Distinct values of the columns with their row count as ``copies``; weighted rows count as often as they say."""
+    count = F.sum(COPIES) if COPIES in df.columns else F.count("*")
+    return df.groupBy(*columns).agg(count.alias(COPIES))
 
 
 def weigh_where(df: DataFrame, condition: Column, column: str = "url") -> DataFrame:

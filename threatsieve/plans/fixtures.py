@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threatsieve.functions.url import lexical_columns
+from threatsieve.operators.weights import COPIES
 from threatsieve.sources.lines import spread
 
 URL_INDEX = 2
@@ -84,9 +85,13 @@ def labelled(hits: DataFrame) -> DataFrame:
 
 
 def ruled(hits: DataFrame) -> DataFrame:
-    """Training rows without noise: the label is a rule over lexical features, so verdicts can be stated."""
+    """Training rows without noise: the label is a rule over lexical features, so verdicts can be stated.
+
+    Weighted hits give weighted rows, each labelled once.
+    """
     rule = "valid AND is_Prefix_sensitive AND (isIP OR port <> 80)"
-    return lexical_columns(hits.select("url")).select("url", F.expr(f"CASE WHEN {rule} THEN 0 ELSE 1 END").alias("label"))
+    kept = [c for c in ("url", COPIES) if c in hits.columns]
+    return lexical_columns(hits.select(kept)).select(*kept, F.expr(f"CASE WHEN {rule} THEN 0 ELSE 1 END").alias("label"))
 
 
 def verdicts(hits: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from threatsieve.functions.stamps import DAY, READABLE, SECOND, province, stamp
 from threatsieve.functions.tokens import token_text
 from threatsieve.functions.url import lexical_features, url_parts, with_default_scheme
 from threatsieve.operators import daily, filters, fusion, lists, report, scoring, token_bayes, training
-from threatsieve.operators.weights import weigh_where
+from threatsieve.operators.weights import weigh, weigh_where
 from threatsieve.plans import fixtures as fx
 from threatsieve.plans import streams
 from threatsieve.session import shared_folder
@@ -26,14 +26,16 @@ def models_for(spark: SparkSession, sf_dir: str) -> scoring.Models:
     """Both models, once per application and data set.
 
     The trees are fitted on rows labelled by a rule, so that SQL can state their verdicts; naive Bayes, as tables
-    in the shared folder, on the noisy rows, as SQL can state its probabilities.
+    in the shared folder, on the noisy rows, as SQL can state its probabilities. Equal rows are counted first and
+    written, so that both fits go over distinct URLs and the hits are worked out once.
     """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MODELS:
-        hits = fx.hits(spark, sf_dir)
-        folder = f"{shared_folder(spark)}/bayes-{uuid.uuid4().hex}"
+        folder = f"{shared_folder(spark)}/models-{uuid.uuid4().hex}"
+        weigh(fx.labelled(fx.hits(spark, sf_dir)), "url", "label").write.parquet(f"{folder}/labelled")
+        counted = spark.read.parquet(f"{folder}/labelled")
         _MODELS[key] = scoring.Models(
-            training.fit_gbdt(fx.ruled(hits)), token_bayes.fit(fx.labelled(hits), folder)
+            training.fit_gbdt(fx.ruled(counted)), token_bayes.fit(counted, f"{folder}/bayes")
         )
     return _MODELS[key]
 
