@@ -84,3 +84,16 @@ def test_odd_rows(spark, tmp_path):
     assert sorted(r.start for r in found) == [0, *sorted(r.start for r in found)[1:]] and max(r.start for r in found) == 5
     empty = str(tmp_path / "empty")
     assert records.read(spark, records.write(frame.limit(0), empty).collect(), empty, 2).count() == 0
+
+
+def test_new_words_are_encoded_together():
+    """Words joined to one text, and apart from their punctuation, have the ids that the untouched library gives."""
+    rng = random.Random(8)
+    plain = Tokenizer.from_file(records.default_tokenizer())
+    coder = records.Encoder(records.default_tokenizer())
+    pool = ["don't", "don'", "it's'", "été,", "naïve...", "a\nb", "\nx", "x\n", "日本。", "😀!", "x_y", "12.", "ab12!?", "", "\x1c", " z", "'s", "word", "word.", "word,!", "ß)", "é."]
+    texts = [" ".join(rng.choices(pool, k=rng.randint(1, 30))) for _ in range(300)]
+    for text, ids in zip(texts, coder.encode(texts), strict=True):
+        assert np.frombuffer(ids, coder.kind).tolist() == plain.encode(text, add_special_tokens=False).ids, text
+    lot = ["word", "été", "日本。", "don't"]
+    assert coder.joins and [np.frombuffer(x, coder.kind).tolist() for x in coder.words(lot)] == [plain.encode(" " + w, add_special_tokens=False).ids for w in lot]

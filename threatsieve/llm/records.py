@@ -18,6 +18,7 @@ ids are in a fixed order, each with a record; an empty table gives no record and
 from __future__ import annotations
 
 import functools
+import json
 import re
 import struct
 import uuid
@@ -41,6 +42,7 @@ NO_ID = -(1 << 63)
 CACHED = 800_000
 CACHED_LENGTH = 48
 MISSES = 4096
+JOINED = 512
 FLUSH = 4 << 20
 LOT = 256
 INDEX = np.dtype([("doc_id", "<i8"), ("offset", "<i8"), ("size", "<i8"), ("before", "<i8")])
@@ -70,11 +72,13 @@ class Encoder:
     """Ids of whole texts, as bytes. Words are encoded once per task and kept, up to ``CACHED``.
 
     The tokenizer's patterns never reach from a non-space over a following space, so a text may be cut
-    before each space that follows a word; where spaces stand together the runs are kept whole. Tokens that were added to the
+    before each space that follows a word; where spaces stand together the runs are kept whole. For the same reason new words are
+    encoded many at once, as one text, and without their punctuation, where the library works byte by byte. Tokens that were added to the
     vocabulary (such as an end mark) are looked for first, as the library does, and what stands between them is a text of its own.
     """
 
     _PIECES = re.compile(r"\s*\S+|\s+")
+    _TAILED = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]+)")  # the library cuts between the two
 
     def __init__(self, tokenizer_file: str) -> None:
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
@@ -85,6 +89,14 @@ class Encoder:
         self.plain = not any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added.values())
         longest_first = sorted(self.added, key=len, reverse=True)
         self.marks = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if added else None
+        spec = json.loads(self.tokenizer.to_str())
+        cut = spec["pre_tokenizer"] or {}
+        # Only then do the ids' bytes add up to the text's, and no token crosses the space between two words.
+        whole = spec["normalizer"] is None and cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space")
+        self.joins = bool(whole) and spec["post_processor"] is None and not any(" " in mark for mark in self.added)
+        self.sizes = np.zeros(max(self.tokenizer.get_vocab().values(), default=0) + 1, np.int64)  # bytes of each id: a letter each
+        for name, i in self.tokenizer.get_vocab().items():
+            self.sizes[i] = len(name)
         self.kept: dict[str, bytes] = {}  # by word, with the space before it
         self.heads: dict[str, bytes] = {}  # by piece, as it is
 
@@ -99,6 +111,20 @@ class Encoder:
         """The ids of the pieces that are not kept; some of them are from now on."""
         missing = list(set().union(*wanted).difference(kept))
         fresh: dict[str, bytes] = {}
+        if before == " " and self.joins:
+            tailed = {word: found.groups() for word in missing if (found := self._TAILED.fullmatch(word))}
+            stems = {stem for stem, _ in tailed.values()}.difference(kept)
+            joined = [word for word in stems.union(missing).difference(tailed) if word and word == word.strip()]
+            for at in range(0, len(joined), JOINED):
+                lot = joined[at : at + JOINED]
+                fresh.update(zip(lot, self.words(lot), strict=False))
+            tails = [tail for _, tail in tailed.values()]
+            new_tails = self.look_up(self.heads, [tails], "")
+            for word, (stem, tail) in tailed.items():
+                ids = kept.get(stem) or fresh.get(stem)
+                if ids:
+                    fresh[word] = ids + (self.heads.get(tail) or new_tails[tail])
+            missing = [word for word in missing if word not in fresh]
         kind = "H" if self.kind.itemsize == 2 else "I"
         for at in range(0, len(missing), MISSES):
             lot = missing[at : at + MISSES]
@@ -109,6 +135,18 @@ class Encoder:
             kept.update([x for x in fresh.items() if len(x[0]) <= CACHED_LENGTH][:room])
         return fresh
 
+    def words(self, lot: list[str]) -> list[bytes]:
+        """The ids of words with a space before each, encoded as one text and cut by their bytes; none if they do not fit."""
+        text = " " + " ".join(lot)
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
+        ends = np.cumsum(self.sizes[ids])
+        wanted = np.cumsum([len(word) + 1 for word in (lot if text.isascii() else map(str.encode, lot))])
+        last = np.searchsorted(ends, wanted)
+        if len(ends) == 0 or ends[-1] != wanted[-1] or (ends[last] != wanted).any():
+            return []
+        raw, cuts = ids.tobytes(), ((last + 1) * self.kind.itemsize).tolist()
+        return [raw[a:b] for a, b in zip([0, *cuts], cuts, strict=False)]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text; new words of all of them are looked up together."""
         marked = {k: self.marks.split(text) for k, text in enumerate(texts) if self.marks and self.marks.search(text)}
