@@ -226,6 +226,35 @@ def test_trees_are_fitted_on_distinct_features(spark, monkeypatch):
     assert seen == [[(0, 15), (1, 20)]] * 2 and trees[0] == trees[1]
 
 
+def test_trees_are_fitted_on_all_urls(spark):
+    """Beyond a million distinct URLs too: the suspicious ones are those a bound by hash would leave out."""
+    many = spark.range(1_010_000).select(F.format_string("http://a.com/x%d.exe", "id").alias("url"), F.lit(1).alias("label"))
+    odd = spark.range(2000).select(F.format_string("http://a.com:8080/x%d.apk", "id").alias("url"))
+    odd = odd.orderBy(F.shiftrightunsigned(F.xxhash64("url"), 2).desc()).limit(5).withColumn("label", F.lit(0))
+    model = training.fit_gbdt(many.union(odd).withColumn("copies", F.lit(1).cast("bigint")), rounds=1)
+    found = model.transform(lexical_features(odd.union(many.limit(5)), keep=["label"])).collect()
+    assert len(found) == 10 and all(r.predictions == r.label for r in found)
+
+
+def test_thresholds_of_trees_come_from_all_rows(spark):
+    """A value that one of 40,000 feature rows has is told apart, though Spark would look at a quarter of them."""
+    path = "concat('http://a.com/', repeat('p', int(id % 200)), '/', repeat('q', int(id div 200)), '.exe')"
+    many = spark.range(40_000).select(F.expr(path).alias("url"), F.lit(1).alias("label"))
+    odd = urls(spark, ["http://a.com:8080/p/q.exe", "http://10.1.2.3/p/q.exe", "http://a.com/p/下.exe", "http://a.b.c.d.com/p/q.exe"])
+    odd = odd.withColumn("label", F.lit(0))
+    featured = lexical_features(many.union(odd), keep=["label"])
+    assert featured.select(*LEXICAL_FEATURES).distinct().count() == 40_004
+    model = training.fit_gbdt(many.union(odd), rounds=1)
+    assert model.transform(featured).where("predictions <> label").count() == 0
+
+
+def test_bins_take_in_all_rows():
+    assert [training.whole_bins(n) for n in (0, 1, 10_000, 10_001, 40_000, 40_001)] == [32, 32, 32, 101, 200, 201]
+    assert training.whole_bins(46_340**2) ** 2 < 2**31
+    with pytest.raises(ValueError):
+        training.whole_bins(46_340**2 + 1)
+
+
 def test_weighted_hits_are_labelled_once(spark, sf_dir):
     hits = fx.hits(spark, sf_dir)
     counted = weigh(fx.labelled(hits), "url", "label")

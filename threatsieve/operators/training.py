@@ -8,6 +8,7 @@ output columns (``predictions`` and, for naive Bayes, ``myProbability``).
 from __future__ import annotations
 
 import logging
+import math
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -25,8 +26,10 @@ from threatsieve.operators.token_bayes import TokenBayes
 from threatsieve.operators.weights import COPIES, once_per_row, weigh
 from threatsieve.sinks.text import path_exists
 
-# Most distinct labelled URLs a fit uses; what the driver holds of the vocabulary follows from it.
+# Most distinct labelled URLs the naive Bayes pipeline uses; what the driver holds of the vocabulary follows from it.
 MAX_LABELLED = 1_000_000
+# Spark looks for the thresholds of trees in a sample of this many rows, or of the square of the bins if that is more.
+SAMPLED_ROWS, USUAL_BINS, MOST_BINS = 10_000, 32, 46_340
 ANY_VOCABULARY = 2**31 - 1
 URLS_PER_TASK = 20_000
 log = logging.getLogger(__name__)
@@ -80,20 +83,31 @@ def _kept(rows: DataFrame) -> Iterator[DataFrame]:
         rows.unpersist()
 
 
-def fit_gbdt(
-    labelled: DataFrame, rounds: int = 20, depth: int = 5, seed: int = 7, max_labelled: int = MAX_LABELLED
-) -> PipelineModel:
-    """Boosted trees on the lexical features; URLs with equal features and label are fitted as one weighted row."""
+def whole_bins(rows: int) -> int:
+    """So many bins that Spark looks for thresholds in all rows; only those of values that occur take space."""
+    bins = USUAL_BINS if rows <= SAMPLED_ROWS else math.isqrt(rows - 1) + 1
+    if bins > MOST_BINS:  # Spark squares them as an int
+        raise ValueError(f"thresholds of {rows} feature rows would come from a sample")
+    return bins
+
+
+def fit_gbdt(labelled: DataFrame, rounds: int = 20, depth: int = 5, seed: int = 7) -> PipelineModel:
+    """Boosted trees on the lexical features of all labelled URLs, with thresholds from all of them.
+
+    URLs with equal features and label are fitted as one weighted row. Rows that were not counted are first, so that
+    features are worked out once per URL.
+    """
     assembler = VectorAssembler(inputCols=list(LEXICAL_FEATURES), outputCol="features")
-    trees = GBTClassifier(
-        featuresCol="features", labelCol="label", predictionCol="predictions",
-        weightCol=COPIES, maxIter=rounds, maxDepth=depth, seed=seed,
-    )
-    with _counted(labelled, max_labelled) as counted:
-        featured = weigh(lexical_features(counted, keep=["label", COPIES]), *LEXICAL_FEATURES, "label")
-        with _kept(featured) as rows:
-            tasks = 1 + rows.count() // URLS_PER_TASK
-            return Pipeline(stages=[assembler, trees]).fit(rows.coalesce(tasks))
+    counted = once_per_row(labelled if COPIES in labelled.columns else weigh(labelled, "url", "label"))
+    featured = weigh(lexical_features(counted, keep=["label", COPIES]), *LEXICAL_FEATURES, "label")
+    with _kept(featured) as rows:
+        total = rows.count()
+        tasks = 1 + total // URLS_PER_TASK
+        trees = GBTClassifier(
+            featuresCol="features", labelCol="label", predictionCol="predictions",
+            weightCol=COPIES, maxIter=rounds, maxDepth=depth, maxBins=whole_bins(total), seed=seed,
+        )
+        return Pipeline(stages=[assembler, trees]).fit(rows.coalesce(tasks))
 
 
 def fit_bayes(labelled: DataFrame, max_labelled: int = MAX_LABELLED) -> PipelineModel:
